@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 
 from sievewright.contracts import INVISIBLE_CHARACTERS, REPLACEMENT_CHARACTER, SPECIAL_CHARACTERS
 from sievewright.functions.dates import DATE_PATTERN, parse_multi, parse_permissive
-from sievewright.functions.text import is_null_token, quoted, strip_currency
+from sievewright.functions.text import backticked, is_null_token, quoted, strip_currency
 
 # Patterns of the type, number and character rules.
 INTEGER_PATTERN = r"^-?\d+$"
@@ -160,17 +160,19 @@ def char_issue(name: str) -> Column:
     )
 
 
-def special_names(c: Column) -> Column:
+def special_names(name: str) -> Column:
     """Names of the special characters found, in the fixed order of the character list."""
-    named = {REPLACEMENT_CHARACTER: "unknown replacement char", **INVISIBLE_CHARACTERS}
-    return F.concat_ws(", ", *[F.when(c.contains(ch), F.lit(text)) for ch, text in named.items()])
+    listed = {REPLACEMENT_CHARACTER: "unknown replacement char", **INVISIBLE_CHARACTERS}
+    known = ",".join(f"{ch}:{text}" for ch, text in listed.items())
+    return F.expr(f"""array_join(transform(
+        filter(map_entries(str_to_map('{known}')), e -> contains({backticked(name)}, e.key)), e -> e.value), ', ')""")
 
 
 def char_issue_described(name: str) -> Column:
     c = quoted(name).cast("string")
     return (
         F.when(c.rlike(SPECIAL_PATTERN),
-               F.concat(F.lit(f"Contains special char(s) in {name}: "), special_names(c)))
+               F.concat(F.lit(f"Contains special char(s) in {name}: "), special_names(name)))
         .when(c.rlike(EDGE_PATTERN), f"Invalid leading/trailing character in {name}")
         .when(char_bad(name), f"Invalid characters in {name}")
     )

@@ -30,9 +30,14 @@ NUMBER_WORDS = {
 }
 
 
+def backticked(name: str) -> str:
+    """A column name for SQL text and for ``select``; it may hold spaces or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """A column by its exact name, which may hold spaces or dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its exact name."""
+    return F.col(backticked(name))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -98,45 +103,37 @@ def is_null_token(c: Column, case_sensitive: bool = False) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def spelled_number(c: Column) -> Column:
+def spelled_number(name: str) -> Column:
     """``twenty one`` -> ``21``; text without number words, or not a well-formed number, is unchanged.
 
     Words that are not number words are skipped, scales must fall (million before thousand), digits may
     follow ``point``. One fold over the words of texts that hold a letter; numbers never enter it.
     """
-    big = "bigint"
-    point = -1
-    known = F.str_to_map(F.lit(",".join(f"{w}:{n}" for w, n in {**NUMBER_WORDS, "point": point}.items())))
-    words = F.transform(F.split(F.translate(F.lower(c), "-", " "), r"\s+"),
-                        lambda w: F.try_element_at(known, w).cast(big))
-    start = F.struct(
-        F.lit(0).cast(big).alias("total"), F.lit(0).cast(big).alias("group"),
-        F.lit(10**12).cast(big).alias("scale"), F.lit(None).cast("string").alias("digits"),
-        F.lit(0).alias("count"), F.lit(True).alias("ok"),
-    )
-
-    def step(acc: Column, n: Column) -> Column:
-        after = acc["digits"].isNotNull()
-        is_point, is_scale, is_hundred = n == point, n >= 1000, n == 100
-        group = F.greatest(acc["group"], F.lit(1).cast(big))
-        plain = n.isNull() | after | is_point
-        return F.struct(
-            F.when(~plain & is_scale, acc["total"] + group * n).otherwise(acc["total"]).alias("total"),
-            F.when(plain, acc["group"]).when(is_scale, F.lit(0).cast(big))
-            .when(is_hundred & (group < 100), group * 100).when(is_hundred, group)
-            .otherwise(acc["group"] + n).alias("group"),
-            F.when(~plain & is_scale, n).otherwise(acc["scale"]).cast(big).alias("scale"),
-            F.when(n.isNull(), acc["digits"]).when(is_point, F.lit(""))
-            .when(after, F.concat(acc["digits"], n.cast("string"))).otherwise(acc["digits"]).alias("digits"),
-            F.when(n.isNull(), acc["count"]).otherwise(acc["count"] + 1).alias("count"),
-            F.when(n.isNull(), acc["ok"]).when(is_point, acc["ok"] & ~after).when(after, acc["ok"] & (n < 10))
-            .when(is_scale, acc["ok"] & (n < acc["scale"]) & (group < 1000))
-            .when(is_hundred, acc["ok"] & (group < 100)).otherwise(acc["ok"]).alias("ok"),
-        )
-
-    def finish(acc: Column) -> Column:
-        number = (acc["total"] + acc["group"]).cast("string")
-        fine = acc["ok"] & (acc["count"] > 0) & F.coalesce(acc["digits"] != "", F.lit(True))
-        return F.when(fine, F.concat_ws(".", number, acc["digits"]))
-
-    return F.when(c.rlike(r"\p{L}"), F.coalesce(F.aggregate(words, start, step, finish), c)).otherwise(c)
+    known = ",".join(f"{word}:{number}" for word, number in {**NUMBER_WORDS, "point": -1}.items())
+    return F.expr(r"""
+        CASE WHEN {c} RLIKE r'\p{{L}}' THEN coalesce(aggregate(
+          transform(split(translate(lower({c}), '-', ' '), r'\s+'),
+                    w -> cast(try_element_at(str_to_map('{known}'), w) AS bigint)),
+          named_struct('total', 0L, 'group', 0L, 'scale', 1000000000000L, 'digits', cast(NULL AS string),
+                       'words', 0, 'ok', true),
+          (a, n) -> CASE
+            WHEN n IS NULL THEN a
+            WHEN n = -1 THEN named_struct(
+              'total', a.total, 'group', a.`group`, 'scale', a.scale, 'digits', '',
+              'words', a.words + 1, 'ok', a.ok AND a.digits IS NULL)
+            WHEN a.digits IS NOT NULL THEN named_struct(
+              'total', a.total, 'group', a.`group`, 'scale', a.scale, 'digits', concat(a.digits, cast(n AS string)),
+              'words', a.words + 1, 'ok', a.ok AND n < 10)
+            WHEN n >= 1000 THEN named_struct(
+              'total', a.total + greatest(a.`group`, 1L) * n, 'group', 0L, 'scale', n, 'digits', a.digits,
+              'words', a.words + 1, 'ok', a.ok AND n < a.scale AND a.`group` < 1000)
+            WHEN n = 100 THEN named_struct(
+              'total', a.total, 'group', least(greatest(a.`group`, 1L), 100L) * 100, 'scale', a.scale,
+              'digits', a.digits, 'words', a.words + 1, 'ok', a.ok AND a.`group` < 100)
+            ELSE named_struct(
+              'total', a.total, 'group', a.`group` + n, 'scale', a.scale, 'digits', a.digits,
+              'words', a.words + 1, 'ok', a.ok) END,
+          a -> CASE WHEN a.ok AND a.words > 0 AND coalesce(a.digits <> '', true)
+                    THEN concat_ws('.', cast(a.total + a.`group` AS string), a.digits) END
+        ), {c}) ELSE {c} END
+    """.format(c=backticked(name), known=known))

@@ -60,6 +60,13 @@ def audit_record(spark: SparkSession, username: str, action: str, table_name: st
         "username string, action string, table_name string, details string")
 
 
+def load_audit(loaded: DataFrame, username: str, table_name: str) -> DataFrame:
+    """The audit record of a successful load, with the number of rows counted by Spark."""
+    return loaded.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(username).alias("username"), F.lit("INSERT").alias("action"), F.lit(table_name).alias("table_name"),
+        F.concat(F.lit("Loaded "), F.col("rows").cast("string"), F.lit(" rows")).alias("details"))
+
+
 def audit_event(spark: SparkSession, action: str, table_name: str, status: str, source_file: str,
                 run_ts: datetime) -> DataFrame:
     return spark.createDataFrame(

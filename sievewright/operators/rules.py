@@ -17,7 +17,7 @@ from sievewright.contracts import Profile
 from sievewright.functions import checks
 from sievewright.functions.dates import strict_issue
 from sievewright.functions.identity import row_hash
-from sievewright.functions.text import quoted
+from sievewright.functions.text import backticked, quoted
 from sievewright.operators.dedup import dedup_full_row, dedup_row_hash
 from sievewright.operators.keyed import conflicting_keys, keep_listed
 from sievewright.operators.schema import align, normalize_headers
@@ -41,8 +41,8 @@ class Stamp:
         return F.lit(self.run_ts).cast("timestamp").alias("logged_at")
 
 
-def _business(names) -> list[Column]:
-    return [quoted(n) for n in names]
+def _business(names) -> list[str]:
+    return [backticked(n) for n in names]
 
 
 def _hash(names) -> Column:
@@ -213,7 +213,7 @@ def bigint(df: DataFrame, column: str, stamp: Stamp) -> DataFrame:
     c = quoted(column)
     bad = c.isNotNull() & (~c.rlike(checks.BIGINT_PATTERN) | c.try_cast("bigint").isNull())
     return dedup_row_hash(df.where(bad).select(
-        *[quoted(n) for n in df.columns], F.lit(column).alias("dirty_column"), c.alias("dirty_value"),
+        *_business(df.columns), F.lit(column).alias("dirty_column"), c.alias("dirty_value"),
         F.lit("INVALID_BIGINT").alias("error_type"), stamp.source(), stamp.logged(),
         F.sha2(F.concat_ws("|", c.cast("string"), F.lit(stamp.source_file)), 256).alias("row_hash"),
     ))

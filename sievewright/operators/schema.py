@@ -10,6 +10,7 @@ from sievewright.contracts import Profile
 from sievewright.functions.checks import any_of, convert
 from sievewright.functions.dates import DATE_LIKE_PATTERN
 from sievewright.functions.text import (
+    backticked,
     blank_to_null,
     quoted,
     strip_currency,
@@ -27,12 +28,12 @@ def align(df: DataFrame, contract: StructType, extras: str = "drop") -> DataFram
     """
     present = set(df.columns)
     cols = [
-        quoted(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+        backticked(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
         for f in contract.fields
     ]
     if extras == "keep":
         expected = set(contract.fieldNames())
-        cols += [quoted(c) for c in df.columns if c not in expected]
+        cols += [backticked(c) for c in df.columns if c not in expected]
     elif extras != "drop":
         raise ValueError(f"extras must be 'drop' or 'keep', not {extras!r}")
     return df.select(cols)
@@ -100,8 +101,9 @@ def detect_date_columns(df: DataFrame, contract: StructType | None = None) -> Da
 def to_text(df: DataFrame) -> DataFrame:
     """Every column as text; arrays, maps and structs as JSON, because no table sink takes them portably."""
     nested = (ArrayType, MapType, StructType)
-    return df.select([
-        (F.to_json(quoted(f.name)) if isinstance(f.dataType, nested) else quoted(f.name).cast("string")).alias(f.name)
+    return df.selectExpr(*[
+        ("to_json({c}) AS {c}" if isinstance(f.dataType, nested) else "cast({c} AS string) AS {c}").format(
+            c=backticked(f.name))
         for f in df.schema.fields
     ])
 
@@ -109,7 +111,7 @@ def to_text(df: DataFrame) -> DataFrame:
 def _each_text_column(df: DataFrame, fn, skip=()) -> DataFrame:
     return df.select([
         fn(quoted(f.name)).alias(f.name)
-        if isinstance(f.dataType, StringType) and f.name not in skip else quoted(f.name)
+        if isinstance(f.dataType, StringType) and f.name not in skip else backticked(f.name)
         for f in df.schema.fields
     ])
 
@@ -126,7 +128,7 @@ def clean_strings(df: DataFrame, mode: str = "words", skip=()) -> DataFrame:
 def clean_ids(df: DataFrame, id_columns=()) -> DataFrame:
     """Upper-case the listed columns; listed columns the table lacks are ignored."""
     wanted = set(id_columns)
-    return df.select([upper_id(quoted(c)).alias(c) if c in wanted else quoted(c) for c in df.columns])
+    return df.select([upper_id(quoted(c)).alias(c) if c in wanted else backticked(c) for c in df.columns])
 
 
 def strip_special_characters(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from sievewright.contracts import Profile
-from sievewright.operators.audits import audit_record
+from sievewright.operators.audits import audit_record, load_audit
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import detect_id_column
 from sievewright.plans import financials, sales
@@ -56,7 +56,7 @@ def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: S
         counts = report_of(result.judged, records, clean)
         counts.write.mode("overwrite").parquet(f"{sinks.report}/run_date={run_date}")
         tables.append(clean, sinks.target)
-        tables.append_audit(audit_record(spark, username, "INSERT", sinks.target, "ETL success"), sinks.audit)
+        tables.append_audit(load_audit(clean, username, sinks.target), sinks.audit)
     except Exception as error:
         tables.append_audit(audit_record(spark, username, "ROLLBACK", sinks.target, str(error)), sinks.audit)
         raise

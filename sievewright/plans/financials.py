@@ -16,7 +16,7 @@ from sievewright.contracts import Profile
 from sievewright.functions import checks
 from sievewright.functions.dates import parse_permissive, parse_strict
 from sievewright.functions.identity import row_hash
-from sievewright.functions.text import quoted, spelled_number, strip_currency
+from sievewright.functions.text import backticked, quoted, spelled_number, strip_currency
 from sievewright.operators import rules
 from sievewright.operators.dedup import dedup_full_row
 from sievewright.operators.rules import Stamp
@@ -35,20 +35,17 @@ def prepare(df: DataFrame, profile: Profile) -> DataFrame:
     cleaned = align(clean_strings(df, profile.title_mode, profile.skip_clean), profile.contract, extras="keep")
     kinds = {f.name: f.dataType for f in profile.contract.fields}
 
-    def one(name: str) -> Column:
-        c = quoted(name)
-        if isinstance(kinds.get(name), NumericType):
-            return strip_currency(spelled_number(c)).alias(name)
-        return c
-
-    return cleaned.select([one(n) for n in cleaned.columns])
+    return cleaned.select([
+        strip_currency(spelled_number(n)).alias(n) if isinstance(kinds.get(n), NumericType) else backticked(n)
+        for n in cleaned.columns
+    ])
 
 
 def settle_dates(rows: DataFrame, profile: Profile) -> DataFrame:
     """Dates a strict format reads are rewritten as ``yyyy-MM-dd``; other texts are kept as they are."""
     dates = {f.name for f in profile.contract.fields if isinstance(f.dataType, DateType)}
     return rows.select([
-        F.coalesce(parse_strict(quoted(n)).cast("string"), quoted(n)).alias(n) if n in dates else quoted(n)
+        F.coalesce(parse_strict(quoted(n)).cast("string"), quoted(n)).alias(n) if n in dates else backticked(n)
         for n in rows.columns
     ])
 
@@ -91,14 +88,14 @@ def quarantine_of(prepared: DataFrame, dirty: DataFrame, profile: Profile, stamp
     names = profile.columns
 
     def rows_of(rule: str) -> DataFrame:
-        return dirty.where(F.col("rule") == rule).select(*[quoted(n) for n in names])
+        return dirty.where(F.col("rule") == rule).select(*[backticked(n) for n in names])
 
     def common(rule: str, found: DataFrame, issue: str = "issue", flagged: Column | None = None) -> DataFrame:
         return to_text(found.select(
             F.lit(rule).alias("rule"), F.col(issue).alias("issue"),
             (F.lit(None) if flagged is None else flagged).cast("string").alias("flagged"),
             "source_file", stamp.project(), "logged_at", row_hash(names).alias("row_hash"),
-            *[quoted(n) for n in names],
+            *[backticked(n) for n in names],
         ))
 
     parts = [

@@ -159,7 +159,8 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
 
 
 def row_hash_of_typed(profile: Profile) -> Column:
-    return F.sha2(F.concat_ws("|", *[typed(profile, n).cast("string") for n in profile.columns]), 256)
+    text = checks.text_fields(profile.contract)
+    return row_hash([n if n in text else typed_name(n) for n in profile.columns])
 
 
 def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile) -> DataFrame:
