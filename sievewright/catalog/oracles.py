@@ -547,8 +547,10 @@ def oracle_sql() -> dict[str, str]:
         "sink_align_append": _with(RAW, "SELECT * FROM raw UNION ALL SELECT * FROM raw"),
         "audit_events": _with(CLEAN, "SELECT 'admin' AS username, 'INSERT' AS action, 'sales' AS table_name, "
                               f"'Loaded ' || count(*) || ' rows' AS details FROM c WHERE {' AND '.join(f'{convert(n, q(n))} IS NOT NULL' for n in S)}"),
-        "schema_event": f"SELECT 'DIRTY_TYPE_SCHEMA' AS event_type, 'dirty_type_conversion' AS table_name, "
-                        f"{lit('[' + ','.join(chr(34) + n + chr(34) for n in ['issue', 'source_file', 'logged_at', 'dirty_columns', 'dirty_values', *S]) + ']')} AS columns, '{RUN_TS}' AS logged_at",
+        "schema_event": _with(CLEAN, "SELECT 'DIRTY_TYPE_SCHEMA' AS event_type, 'dirty_type_conversion' AS table_name, "
+                              "CAST(to_json(list_sort(list(DISTINCT dirty_columns))) AS VARCHAR) AS columns, "
+                              f"'{RUN_TS}' AS logged_at FROM ({type_cells('c')})"),
+        "sink_empty_schema": _with(CLEAN, type_rows("c")),
         "kafka_envelope": _with(CLEAN, f"SELECT row_hash AS key, * FROM ({invalid_region('c')})"),
         "clean_blank_to_null": _with(RAW, f"{landed} FROM raw"),
         "clean_strings": _with(CLEAN, "SELECT * FROM c"),

@@ -18,7 +18,7 @@ from sievewright.contracts import (
 
 # White space other than the blank, in ASCII and in all of Unicode.
 OTHER_WHITE_SPACE = "\t\n\x0b\f\r"
-UNICODE_WHITE_SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+UNICODE_WHITE_SPACE = r"[\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 # English number words.
 NUMBER_WORDS = {
@@ -44,11 +44,22 @@ def blank_to_null(c: Column) -> Column:
     return F.when(F.trim(c) != "", c)
 
 
+def untidy(text: Column) -> Column:
+    return reduce(or_, [text.contains(w) for w in ("  ", *OTHER_WHITE_SPACE)])
+
+
 def collapse_spaces(c: Column) -> Column:
     """Trim blanks and make each run of white space one blank; tidy text skips the regular expression."""
     text = F.trim(c)
-    untidy = reduce(or_, [text.contains(w) for w in ("  ", *OTHER_WHITE_SPACE)])
-    return F.when(untidy, F.regexp_replace(text, r"\s+", " ")).otherwise(text)
+    return F.when(untidy(text), F.regexp_replace(text, r"\s+", " ")).otherwise(text)
+
+
+def collapse_unicode_spaces(c: Column) -> Column:
+    """As :func:`collapse_spaces` with all Unicode white space, also at the edges."""
+    text = F.trim(c)
+    suspect = untidy(text) | (F.octet_length(text) != F.length(text))
+    collapsed = F.trim(F.regexp_replace(text, UNICODE_WHITE_SPACE, " "))
+    return F.when(suspect, collapsed).otherwise(text)
 
 
 def null_if_cleaning_token(c: Column, cleaned: Column) -> Column:
@@ -66,7 +77,7 @@ def title_letters(c: Column) -> Column:
     Unicode blanks are trimmed and collapsed too. Plain words take the built-in ``initcap``; only text
     with a letter behind a sign or digit pays for the split.
     """
-    tidy = F.trim(F.regexp_replace(c, UNICODE_WHITE_SPACE, " "))
+    tidy = collapse_unicode_spaces(c)
     pieces = F.split(F.lower(tidy), r"(?<!\p{L})(?=\p{L})")
     titled = F.array_join(
         F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), ""

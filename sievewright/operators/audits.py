@@ -74,8 +74,10 @@ def audit_event(spark: SparkSession, action: str, table_name: str, status: str,
         "action string, table_name string, status string, source_file string, logged_at string")
 
 
-def schema_event(table: DataFrame, table_name: str, run_ts: datetime) -> DataFrame:
-    """One record that announces the columns of a quarantine table."""
-    return table.sparkSession.createDataFrame(
-        [("DIRTY_TYPE_SCHEMA", table_name, list(table.columns), run_ts.isoformat())],
-        "event_type string, table_name string, columns array<string>, logged_at string")
+def schema_event(cells: DataFrame, column: str, table_name: str, run_ts: datetime) -> DataFrame:
+    """One record that announces the columns of a quarantine table: the distinct values of ``column``,
+    of which there are no more than the contract has columns."""
+    names = F.array_sort(F.collect_set(quoted(column)))
+    return cells.agg(names.alias("columns")).select(
+        F.lit("DIRTY_TYPE_SCHEMA").alias("event_type"), F.lit(table_name).alias("table_name"), "columns",
+        F.lit(run_ts.isoformat()).alias("logged_at"))

@@ -12,6 +12,7 @@ from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import detect_id_column
 from sievewright.plans import financials, sales
 from sievewright.plans.sales import PipelineResult, report_of
+from sievewright.session import tune
 from sievewright.sources import tables
 from sievewright.storage import Workspace
 
@@ -44,6 +45,7 @@ def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: S
     Safe to repeat: keys already in the target are not loaded again, and quarantine and report of the day
     are replaced. An error is put on record as a rollback and raised again.
     """
+    tune(spark)
     workspace = Workspace(spark, f"{profile.name}-{run_date}")
     try:
         keys = None

@@ -19,6 +19,7 @@ from sievewright.operators import audits, rules
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import detect_id_column, to_text
 from sievewright.plans import sales
+from sievewright.session import tune
 from sievewright.sources import tables
 from sievewright.sources.streams import split_corrupt
 from sievewright.storage import Workspace
@@ -36,6 +37,7 @@ class Job:
     processing_time: str = "10 seconds"
 
     def start(self, stream: DataFrame, body: Callable[[DataFrame, int], None]) -> StreamingQuery:
+        tune(stream.sparkSession)
         writer = (stream.writeStream.queryName(self.name).option("checkpointLocation", self.checkpoint)
                   .outputMode("append").foreachBatch(body))
         if self.available_now:
