@@ -17,16 +17,39 @@ def keep_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None)
     return df.join(right, quoted(on) == right["__k"], "left_semi")
 
 
-def drop_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
-    """Anti join; a NULL key never matches, so such rows stay."""
+def _spread(df: DataFrame, salts: int):
+    """A number below ``salts`` that depends on the content of the row only, so a repeated task agrees."""
+    return F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salts)).cast("int")
+
+
+def drop_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None, null_salts: int = 1) -> DataFrame:
+    """Anti join; a NULL key never matches, so such rows stay.
+
+    All NULL keys hash alike. Where many rows may lack a key, ``null_salts`` spreads them over that many
+    partitions of the join.
+    """
     right = _keys_as(keys, key or on, "__k")
-    return df.join(right, quoted(on) == right["__k"], "left_anti")
+    if null_salts == 1:
+        return df.join(right, quoted(on) == right["__k"], "left_anti")
+    right = right.withColumn("__s", F.lit(0))
+    salt = F.when(quoted(on).isNull(), _spread(df, null_salts)).otherwise(0)
+    salted = df.withColumn("__salt", salt)
+    return salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_anti").drop("__salt")
 
 
-def flag_listed(df: DataFrame, unique_keys: DataFrame, on: str, flag: str) -> DataFrame:
-    """Add a boolean column: is the key listed? One outer join serves both the kept and the listed rows."""
-    right = unique_keys.select(unique_keys.columns[0]).toDF("__k").withColumn("__hit", F.lit(True))
-    joined = df.join(right, quoted(on) == right["__k"], "left_outer")
+def flag_listed(df: DataFrame, unique_keys: DataFrame, on: str, flag: str, salts: int = 1) -> DataFrame:
+    """Add a boolean column: is the key listed? One outer join serves both the kept and the listed rows.
+
+    With ``salts`` the rows of one key, also of the NULL key, go to that many partitions and the keys are
+    repeated for each; meant for key sets too large to broadcast yet much smaller than the rows.
+    """
+    right = unique_keys.select(F.col(unique_keys.columns[0]).alias("__k"), F.lit(True).alias("__hit"))
+    if salts == 1:
+        joined = df.join(right, quoted(on) == right["__k"], "left_outer")
+    else:
+        right = right.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = df.withColumn("__salt", _spread(df, salts))
+        joined = salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_outer")
     return joined.select(*[quoted(c) for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(flag))
 
 
@@ -37,14 +60,16 @@ def conflicting_keys(df: DataFrame, key: str, attribute: str, domain=()) -> Data
     is a hash table of integers; otherwise smallest and largest value are compared. Either way no distinct set is built.
     """
     key_col, value = quoted(key), quoted(attribute)
-    rows = df.where(key_col.isNotNull() & value.isNotNull())
     if domain:
         if len(domain) > 60:
             raise ValueError("a bit per value needs a domain of at most 60 values")
+        # No filter before the aggregate: it would be pushed below the cleaning and repeat that work.
         bit = F.lit(0).cast("bigint")
         for i, v in enumerate(domain):
             bit = F.when(value == v, F.lit(1 << i).cast("bigint")).otherwise(bit)
-        seen = rows.where(value.isin(*domain)).groupBy(key_col.alias(key)).agg(F.bit_or(bit).alias("__seen"))
+        bit = F.when(key_col.isNull(), F.lit(0).cast("bigint")).otherwise(bit)
+        seen = df.groupBy(key_col.alias(key)).agg(F.bit_or(bit).alias("__seen"))
         return seen.where(F.bit_count("__seen") > 1).select(quoted(key))
+    rows = df.where(key_col.isNotNull() & value.isNotNull())
     grouped = rows.groupBy(key_col.alias(key)).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     return grouped.where(F.col("__lo") != F.col("__hi")).select(quoted(key))

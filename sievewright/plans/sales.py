@@ -23,16 +23,17 @@ from sievewright.functions.identity import row_hash
 from sievewright.functions.text import quoted
 from sievewright.operators import rules
 from sievewright.operators.dedup import one_per_key
-from sievewright.operators.keyed import conflicting_keys, drop_listed, flag_listed
+from sievewright.operators.keyed import conflicting_keys, drop_listed, flag_listed, keep_listed
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import align, clean_for, detect_id_column
-from sievewright.storage import Workspace, broadcast_if_small
+from sievewright.storage import Workspace, is_small
 
 TYPED = "typed_"
 REGION, CONFLICT, TYPE, NULL, NONPOSITIVE, CHARS, TYPO = (
     "invalid_region", "region_conflicts", "type_conversion", "null_values", "negative_values",
     "unknown_chars", "typos",
 )
+HOT_KEY_SALTS = 16
 ISSUES = {
     REGION: "Invalid Region Value",
     CONFLICT: "Conflicting Region for Customer",
@@ -105,8 +106,11 @@ def conflicting_customers(cleaned: DataFrame, profile: Profile) -> DataFrame:
     return conflicting_keys(cleaned, profile.customer_column, profile.region_column, profile.regions)
 
 
-def flag_conflicts(judged: DataFrame, profile: Profile, customers: DataFrame) -> DataFrame:
-    return flag_listed(judged, customers, profile.customer_column, "is_" + CONFLICT)
+def flag_conflicts(judged: DataFrame, profile: Profile, customers: DataFrame, small: bool = False) -> DataFrame:
+    """Mark the rows of the customers; a set too large to broadcast is joined with salted keys, because one
+    customer, or the rows without a customer, may be a large share of the table."""
+    keys = F.broadcast(customers) if small else customers
+    return flag_listed(judged, keys, profile.customer_column, "is_" + CONFLICT, 1 if small else HOT_KEY_SALTS)
 
 
 def _reached_types() -> Column:
@@ -134,8 +138,9 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
         alive = alive & ~F.col("is_" + CHARS)
     useful = alive | F.col("is_" + TYPE) if by_id else alive
     number = typed(profile, id_column)
+    others = [n for n in profile.columns if n != id_column]
     hashed = F.when(alive, F.struct(
-        row_hash_of_typed(profile).alias("hash"), *[typed(profile, n).alias(n) for n in profile.columns]))
+        row_hash_of_typed(profile).alias("hash"), *[typed(profile, n).alias(n) for n in others]))
     rows = flagged.where(_reached_types() & useful & quoted(id_column).isNotNull()).select(
         quoted(id_column).alias("id_text"), number.alias("id"),
         (F.col("is_" + TYPE) if by_id else F.lit(False)).alias("bad_type"),
@@ -155,7 +160,7 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
         settled = reduce_by(rows.where(F.col("id").isNotNull()), "id")
         settled = settled.where(~F.col("bad_type") & F.col("best").isNotNull())
     return settled.where(~F.col("bad_chars")).select(
-        *[F.col("best").getField(n).alias(n) for n in profile.columns])
+        *[F.col("id" if n == id_column else f"best.{n}").alias(n) for n in profile.columns])
 
 
 def row_hash_of_typed(profile: Profile) -> Column:
@@ -163,12 +168,25 @@ def row_hash_of_typed(profile: Profile) -> Column:
     return row_hash([n if n in text else typed_name(n) for n in profile.columns])
 
 
-def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile) -> DataFrame:
-    """Drop ids the target already holds. The rows are already partitioned by id, only keys move."""
+def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile,
+             workspace: Workspace | None = None) -> DataFrame:
+    """Drop ids the target already holds.
+
+    The target may hold far more keys than one load brings rows. Given a workspace, a load small enough to
+    broadcast its ids first picks those keys out of the target's, without a shuffle of either. Otherwise the
+    keys are shuffled to the rows, which :func:`settle` has already partitioned by id.
+    """
     if existing_keys is None:
         return clean
     id_column = detect_id_column(profile.columns)
-    return drop_listed(clean, existing_keys, id_column, existing_keys.columns[0])
+    key = existing_keys.columns[0]
+    if workspace is not None:
+        clean = workspace.hold(clean, "settled")
+        ids = clean.select(quoted(id_column))
+        if is_small(ids):
+            held_already = keep_listed(existing_keys, F.broadcast(ids), key, id_column).distinct()
+            return drop_listed(clean, F.broadcast(held_already), id_column, key)
+    return drop_listed(clean, existing_keys, id_column, key)
 
 
 def any_flag() -> Column:
@@ -198,7 +216,7 @@ def reported_rows(dirty: DataFrame, profile: Profile) -> DataFrame:
     passed_types = ~F.col("is_" + TYPE) | quoted(id_column).isNull() if by_id else ~F.col("is_" + TYPE)
     late = dirty.where(_reached_types() & passed_types & caught_late)
     if by_id:
-        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text")
+        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text", HOT_KEY_SALTS)
     if profile.nonpositive_before_nulls:
         found = F.array_compact(F.array(
             F.when(F.col("is_" + NULL), NULL), F.when(F.col("is_" + NONPOSITIVE), NONPOSITIVE),
@@ -306,8 +324,8 @@ def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
     """
     customers = workspace.hold(conflicting_customers(clean_for(df, profile), profile), "conflicts")
     flagged = workspace.hold(
-        flag_conflicts(judge(df, profile), profile, broadcast_if_small(customers)), "flagged")
+        flag_conflicts(judge(df, profile), profile, customers, is_small(customers)), "flagged")
     dirty = workspace.hold(flagged.where(any_flag()), "dirty")
     one_way = profile.reject_by == "row" or ids_written_one_way(flagged, profile)
-    clean = new_only(settle(flagged, profile, one_way), existing_keys, profile)
+    clean = new_only(settle(flagged, profile, one_way), existing_keys, profile, workspace)
     return PipelineResult(clean, quarantine_of(flagged, dirty, profile, stamp), flagged)

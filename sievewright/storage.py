@@ -1,4 +1,4 @@
-"""Work space in the shared checkpoint folder, written intermediate tables, size-checked broadcasts."""
+"""Work space in the shared checkpoint folder, written intermediate tables, the size check before a broadcast."""
 
 from __future__ import annotations
 
@@ -66,16 +66,10 @@ class Workspace:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def broadcast_if_small(
-    keys: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Mark a *held* key table for broadcast after measuring it; beyond the bound leave the join to
-    a shuffle, whose hot partitions adaptive execution splits."""
+def is_small(keys: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Measure a *held* key table: may every executor keep a copy of it?"""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns), F.lit(16)
     )
     size = keys.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-    return F.broadcast(keys) if small else keys
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes

@@ -6,13 +6,12 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sievewright import storage
 from sievewright.contracts import FINANCIALS, FINANCIALS_BATCH, SALES, SALES_BATCH, SALES_STREAM, all_text
 from sievewright.fixtures import sales_raw, table
 from sievewright.operators.rules import Stamp
 from sievewright.plans import financials, sales
 from sievewright.plans.batch import Sinks, run_batch
-from sievewright.storage import Workspace
+from sievewright.storage import Workspace, is_small
 
 STAMP = Stamp(datetime(2024, 1, 1), "file.csv")
 NAMES = SALES.fieldNames()
@@ -135,32 +134,47 @@ def test_ids_written_in_two_ways_are_noticed(spark):
 
 
 def test_hot_key_and_no_broadcast(spark, monkeypatch):
-    """A third of the rows share one id and one customer, and no key set may be broadcast."""
-    monkeypatch.setattr(storage, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(sales, "broadcast_if_small", lambda keys: storage.broadcast_if_small(keys, max_rows=0))
-    rows = random_rows(120, 9) + [("9", "Customer 77", "West", "2024-03-01", "Bolt", "4", "6", "10", "Cash")] * 60
-    result = sales.run(spark.createDataFrame(rows, all_text(SALES)), SALES_BATCH, STAMP, Workspace(spark, "t"))
-    assert sorted(map(tuple, result.clean.collect())) == brute_force(rows, set(), "id")
+    """A third of the rows share one id and one customer, a sixth have neither; no key set may be broadcast."""
+    monkeypatch.setattr(sales, "is_small", lambda keys: False)
+    hot = [("9", "Customer 77", "West", "2024-03-01", "Bolt", "4", "6", "10", "Cash")] * 60
+    bare = [(None, None, "West", "2024-03-01", "Bolt", "4", "6", "10", "Cash")] * 30
+    rows = random_rows(120, 9) + hot + bare
+    keys = spark.createDataFrame([(3,), (3,), (4,)], "Order_ID int")
+    result = sales.run(spark.createDataFrame(rows, all_text(SALES)), SALES_BATCH, STAMP, Workspace(spark, "t"), keys)
+    assert sorted(map(tuple, result.clean.collect())) == brute_force(rows, {3, 4}, "id")
+    shuffled = {tuple(r) for r in result.quarantine.collect()}
+    monkeypatch.undo()
+    again = sales.run(spark.createDataFrame(rows, all_text(SALES)), SALES_BATCH, STAMP, Workspace(spark, "t"), keys)
+    assert {tuple(r) for r in again.quarantine.collect()} == shuffled
+
+
+def test_size_check(spark):
+    keys = spark.createDataFrame([("a",), ("b",)], "k string")
+    assert is_small(keys) and not is_small(keys, max_rows=1) and not is_small(keys, max_bytes=10)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    keys = spark.createDataFrame([("a",), ("b",)], "k string")
-    marked = storage.broadcast_if_small(keys)._jdf.queryExecution().analyzed().toString()
-    plain = storage.broadcast_if_small(keys, max_rows=1)._jdf.queryExecution().analyzed().toString()
-    wide = storage.broadcast_if_small(keys, max_bytes=10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in marked and "broadcast" not in plain and "broadcast" not in wide
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_id_aggregate_is_reused_by_the_key_join(spark):
-    """One shuffle of rows from flagged rows to new ones: the anti join takes the aggregate's partitioning."""
+def test_rows_are_shuffled_once_from_flagged_to_new(spark):
+    """The anti join takes the partitioning and the order of the id aggregate; only the keys move."""
     df = spark.createDataFrame(random_rows(20, 1), all_text(SALES))
     judged = sales.judge(df, SALES_BATCH).withColumn("is_region_conflicts", F.lit(False))
     flagged = Workspace(spark, "t").hold(judged, "f")
     keys = spark.range(10).select(F.col("id").cast("int").alias("Order_ID")).hint("merge")
-    plan = sales.new_only(sales.settle(flagged, SALES_BATCH, one_text_per_id=True), keys, SALES_BATCH)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning(id") + text.count("Exchange hashpartitioning(Order_ID") <= 2
-    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+    plan = plan_of(sales.new_only(sales.settle(flagged, SALES_BATCH, one_text_per_id=True), keys, SALES_BATCH))
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_small_load_shuffles_no_target_keys(spark):
+    ws = Workspace(spark, "t")
+    df = spark.createDataFrame(random_rows(20, 1), all_text(SALES))
+    flagged = ws.hold(sales.judge(df, SALES_BATCH).withColumn("is_region_conflicts", F.lit(False)), "f")
+    keys = ws.hold(spark.range(1000).select(F.col("id").cast("int").alias("Order_ID")), "keys")
+    plan = plan_of(sales.new_only(sales.settle(flagged, SALES_BATCH), keys, SALES_BATCH, ws))
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
 def test_stream_profile_reports_both_rules(spark):
