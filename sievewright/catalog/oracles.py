@@ -362,6 +362,26 @@ def sales_quarantine() -> str:
     ])
 
 
+def rule_records() -> str:
+    """The quarantine again, every rule in the column order of its own table, joined by ``|``."""
+    front = {
+        "invalid_region": "issue, flagged, source_file, project_name, row_hash",
+        "region_conflicts": "issue, source_file, row_hash",
+        "type_conversion": "issue, source_file, flagged, bad_value",
+        "null_values": "issue, flagged, source_file, project_name, row_hash",
+        "negative_values": "issue, flagged, source_file, project_name, row_hash",
+        "unknown_chars": "issue, bad_value, source_file, row_hash",
+    }
+    return " UNION ALL ".join(
+        f"SELECT rule, concat_ws('|', {names}, {cols(S)}) AS record FROM dirty WHERE rule = {lit(rule)}"
+        for rule, names in front.items())
+
+
+TOPIC = (("invalid_region", "dirty-region-events"), ("region_conflicts", "dirty-region-conflicts"),
+         ("type_conversion", "dirty-type-events"), ("null_values", "dirty-null-values"),
+         ("negative_values", "dirty-negative-values"), ("unknown_chars", "dirty-special-chars"))
+
+
 def stream_clean() -> str:
     """The stream cleans ids as well, which title case has already made tidy."""
     names = ", ".join(f"{upper_id(title(q(n))) if n == 'Order_ID' else title(q(n))} AS {q(n)}" for n in S)
@@ -603,6 +623,9 @@ def oracle_sql() -> dict[str, str]:
         "etl_batch_clean": _with(sales_stages(), "SELECT * FROM loaded"),
         "etl_batch_reject_rows": _with(sales_stages(reject="row"), "SELECT * FROM loaded"),
         "quarantine_all": _with(sales_stages(), sales_quarantine()),
+        "quarantine_tables": _with(f"{sales_stages()}, dirty AS MATERIALIZED ({sales_quarantine()})", rule_records()),
+        "kafka_topics": _with(sales_stages(), "SELECT CASE rule " + " ".join(f"WHEN {lit(r)} THEN {lit(t)}" for r, t in TOPIC)
+                              + f" END AS topic, row_hash AS key, issue, Order_ID FROM ({sales_quarantine()})"),
         "quality_report": _with(sales_stages(), f"SELECT 'raw' AS stage, count(*) AS rows FROM c UNION ALL SELECT rule, count(*) FROM ({sales_quarantine()}) GROUP BY rule UNION ALL SELECT 'loaded', count(*) FROM loaded"),
         "etl_financials_clean": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "quarantine_financials": _with(FINANCIAL_STAGES, financial_quarantine()),

@@ -27,6 +27,7 @@ from sievewright.operators import audits, dedup, keyed, rules, schema
 from sievewright.operators.rules import Stamp
 from sievewright.plans import financials, sales
 from sievewright.sources import files, streams, tables
+from sievewright.sources.sinks import RULES, Sinks, rule_table, to_topics
 from sievewright.storage import Workspace
 from sievewright.streaming import runner
 
@@ -459,6 +460,26 @@ def quarantine_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_run(spark, sf_dir, "quarantine_all").quarantine.drop("logged_at")
 
 
+@query
+def quarantine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine table of every rule, each in its own layout, as one JSON record per row."""
+    found = _sales_run(spark, sf_dir, "quarantine_tables").quarantine
+    out = None
+    for rule in RULES[:-1]:
+        rows = rule_table(found, rule, SALES.fieldNames()).drop("logged_at")
+        shaped = rows.select(F.lit(rule).alias("rule"), F.concat_ws("|", *rows.columns).alias("record"))
+        out = shaped if out is None else out.unionByName(shaped)
+    return out
+
+
+@query
+def kafka_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of all rules with the topic each goes to."""
+    sent = to_topics(_sales_run(spark, sf_dir, "kafka_topics").quarantine)
+    return sent.select("topic", "key", F.get_json_object("value", "$.issue").alias("issue"),
+                       F.get_json_object("value", "$.Order_ID").alias("Order_ID"))
+
+
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_run(spark, sf_dir, "quality_report").report
@@ -517,19 +538,17 @@ def stream_raw_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_pipeline(spark: SparkSession, sf_dir: str, ws: Workspace, deliveries: int) -> None:
-    tables.append(schema.enforce(loaded_keys(spark, sf_dir), SALES).limit(0), ws.path("target"))
     stream = _sales_stream(spark, sf_dir, ws)
     for i in range(deliveries):
         job = _job(ws, f"pipeline_{i}")
-        runner.start_pipeline(stream, ws.path("target"), ws.path("quarantine"), ws.path("audit"), SALES_STREAM,
-                              SALES_STAMP, job).awaitTermination()
+        runner.start_pipeline(stream, Sinks(ws.path("out")), SALES_STREAM, SALES_STAMP, job).awaitTermination()
 
 
 @query
 def stream_etl_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "stream_etl_clean")
     _stream_pipeline(spark, sf_dir, ws, 1)
-    return spark.read.parquet(ws.path("target"))
+    return spark.read.parquet(ws.path("out/target"))
 
 
 @query
@@ -537,7 +556,7 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records delivered twice, the second time without a memory of the first."""
     ws = Workspace(spark, "stream_replay_idempotent")
     _stream_pipeline(spark, sf_dir, ws, 2)
-    return spark.read.parquet(ws.path("target"))
+    return spark.read.parquet(ws.path("out/target"))
 
 
 @query

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sievewright.contracts import Profile
@@ -13,24 +11,10 @@ from sievewright.operators.schema import detect_id_column
 from sievewright.plans import financials, sales
 from sievewright.plans.sales import PipelineResult, report_of
 from sievewright.session import tune
-from sievewright.sources import tables
+from sievewright.sources.sinks import JobSinks
 from sievewright.storage import Workspace
 
 
-@dataclass(frozen=True)
-class Sinks:
-    """Folders of the four output tables."""
-
-    target: str
-    quarantine: str
-    report: str
-    audit: str
-
-    @classmethod
-    def below(cls, root: str) -> Sinks:
-        return cls(*(f"{root}/{name}" for name in ("target", "quarantine", "report", "audit")))
-
-
 def run_pipeline(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
                  existing_keys: DataFrame | None = None) -> PipelineResult:
     if profile.region_column is None:
@@ -38,9 +22,9 @@ def run_pipeline(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Works
     return sales.run(df, profile, stamp, workspace, existing_keys)
 
 
-def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: Sinks, run_date: str, stamp: Stamp,
-              username: str = "etl") -> DataFrame:
-    """One load. Returns the row counts.
+def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: JobSinks, run_date: str, stamp: Stamp,
+              username: str = "etl") -> dict[str, int]:
+    """One load. Returns the row counts: what came in, records per rule, rows loaded.
 
     Safe to repeat: keys already in the target are not loaded again, and quarantine and report of the day
     are replaced. An error is put on record as a rollback and raised again.
@@ -50,18 +34,18 @@ def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: S
     try:
         keys = None
         if profile.region_column is not None:
-            keys = tables.existing_keys(spark, sinks.target, detect_id_column(profile.columns))
+            keys = sinks.existing_keys(spark, detect_id_column(profile.columns))
         result = run_pipeline(source, profile, stamp, workspace, keys)
         records = workspace.hold(result.quarantine, "records")
         clean = workspace.hold(result.clean, "clean")
-        tables.write_quarantine(records, sinks.quarantine, "run_date", run_date)
-        counts = report_of(result.judged, records, clean)
-        counts.write.mode("overwrite").parquet(f"{sinks.report}/run_date={run_date}")
-        tables.append(clean, sinks.target)
-        tables.append_audit(load_audit(clean, username, sinks.target), sinks.audit)
+        counts = workspace.hold(report_of(result.judged, records, clean), "counts")
+        sinks.quarantine(records, "run_date", run_date)
+        sinks.report(counts, "run_date", run_date)
+        sinks.load(clean)
+        sinks.audit(load_audit(clean, username, sinks.name))
+        return {r["stage"]: r["rows"] for r in counts.collect()}
     except Exception as error:
-        tables.append_audit(audit_record(spark, username, "ROLLBACK", sinks.target, str(error)), sinks.audit)
+        sinks.audit(audit_record(spark, username, "ROLLBACK", sinks.name, str(error)))
         raise
     finally:
         workspace.close()
-    return spark.read.parquet(f"{sinks.report}/run_date={run_date}")

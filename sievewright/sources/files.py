@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ def prefix_glob(folder: str, prefix: str) -> str:
 
 def _entry_name(prefix: str):
     """The folder entry a row came from: a file, or a directory of part files."""
-    name = F.regexp_extract(F.col("_metadata.file_path"), f"/((?i:{prefix})[^/]*)", 1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"/((?i:{re.escape(prefix)})[^/]*)", 1)
     return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 

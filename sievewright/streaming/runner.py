@@ -21,6 +21,7 @@ from sievewright.operators.schema import detect_id_column, to_text
 from sievewright.plans import sales
 from sievewright.session import tune
 from sievewright.sources import tables
+from sievewright.sources.sinks import JobSinks
 from sievewright.sources.streams import split_corrupt
 from sievewright.storage import Workspace
 
@@ -110,8 +111,7 @@ def start_detectors(stream: DataFrame, quarantine: str, profile: Profile, stamp:
     return job.start(stream, body)
 
 
-def start_pipeline(stream: DataFrame, target: str, quarantine: str, audit: str, profile: Profile, stamp: Stamp,
-                   job: Job) -> StreamingQuery:
+def start_pipeline(stream: DataFrame, sinks: JobSinks, profile: Profile, stamp: Stamp, job: Job) -> StreamingQuery:
     """The full pipeline per micro-batch: keys already loaded are skipped, so replays add nothing."""
     key = detect_id_column(profile.columns)
 
@@ -120,18 +120,18 @@ def start_pipeline(stream: DataFrame, target: str, quarantine: str, audit: str,
         workspace = Workspace(spark, job.name, mode="memory")
         try:
             good, bad = split_corrupt(workspace.hold(batch, "batch"))
-            result = sales.run(good, profile, stamp, workspace, tables.existing_keys(spark, target, key))
+            result = sales.run(good, profile, stamp, workspace, sinks.existing_keys(spark, key))
             records = result.quarantine.unionByName(
                 bad.select(F.lit(CORRUPT_RULE).alias("rule"), F.col("payload").alias("bad_value")),
                 allowMissingColumns=True)
-            tables.write_quarantine(records, quarantine, "batch_id", str(batch_id))
-            tables.append(result.clean, target)
-            event = audits.audit_event(spark, "INSERT", target, "ETL_SUCCESS", stamp.source_file, stamp.run_ts)
+            sinks.quarantine(records, "batch_id", str(batch_id))
+            sinks.load(result.clean)
+            event = audits.audit_event(spark, "INSERT", sinks.name, "ETL_SUCCESS", stamp.source_file, stamp.run_ts)
         except Exception as error:
-            event = audits.audit_event(spark, "ROLLBACK", target, str(error), stamp.source_file, stamp.run_ts)
+            event = audits.audit_event(spark, "ROLLBACK", sinks.name, str(error), stamp.source_file, stamp.run_ts)
             raise
         finally:
-            tables.append_audit(event, audit)
+            sinks.audit(event)
             workspace.close()
 
     return job.start(stream, body)

@@ -10,7 +10,9 @@ from sievewright.contracts import FINANCIALS, FINANCIALS_BATCH, SALES, SALES_BAT
 from sievewright.fixtures import sales_raw, table
 from sievewright.operators.rules import Stamp
 from sievewright.plans import financials, sales
-from sievewright.plans.batch import Sinks, run_batch
+from sievewright.plans.batch import run_batch
+from sievewright.sources.sinks import RULES, JdbcSinks, Sinks, rule_table, to_topics
+from sievewright.sources.tables import JdbcTarget
 from sievewright.storage import Workspace, is_small
 
 STAMP = Stamp(datetime(2024, 1, 1), "file.csv")
@@ -213,30 +215,66 @@ def test_financials_rules(spark):
 
 
 def test_batch_job_is_repeatable_and_audited(spark, tmp_path):
-    sinks = Sinks.below(str(tmp_path))
+    sinks = Sinks(str(tmp_path))
     good = [(str(i), "Ann", "West", "2024-01-05", "Bolt", "2", "5", "10", "Cash") for i in range(1, 6)]
     dirty = [("9", "Bob", "Nrth", "2024-01-05", "Bolt", "2", "5", "10", "Cash")]
     first = spark.createDataFrame(good[:3] + dirty, all_text(SALES))
     second = spark.createDataFrame(good, all_text(SALES))
     counts = run_batch(spark, SALES_BATCH, first, sinks, "2024-01-01", STAMP)
-    assert {r["stage"]: r["rows"] for r in counts.collect()} == {"raw": 4, "invalid_region": 1, "loaded": 3}
+    assert counts == {"raw": 4, "invalid_region": 1, "loaded": 3}
     run_batch(spark, SALES_BATCH, second, sinks, "2024-01-01", STAMP)
-    assert sorted(r["Order_ID"] for r in spark.read.parquet(sinks.target).collect()) == [1, 2, 3, 4, 5]
-    details = sorted(r["details"] for r in spark.read.parquet(sinks.audit).collect())
+    assert sorted(r["Order_ID"] for r in spark.read.parquet(sinks.name).collect()) == [1, 2, 3, 4, 5]
+    assert spark.read.parquet(sinks.path("report")).where("stage NOT IN ('raw', 'loaded')").count() == 0
+    details = sorted(r["details"] for r in spark.read.parquet(sinks.path("audit")).collect())
     assert details == ["Loaded 2 rows", "Loaded 3 rows"]
 
 
 def test_failed_batch_is_on_record(spark, tmp_path):
-    sinks = Sinks.below(str(tmp_path))
+    sinks = Sinks(str(tmp_path))
     broken = spark.createDataFrame([("1",)], "Order_ID string").where(F.raise_error(F.lit("no such luck")).isNull())
     with pytest.raises(Exception, match="no such luck"):
         run_batch(spark, SALES_BATCH, broken, sinks, "2024-01-01", STAMP)
-    record = spark.read.parquet(sinks.audit).first()
+    record = spark.read.parquet(sinks.path("audit")).first()
     assert record["action"] == "ROLLBACK" and "no such luck" in record["details"]
 
 
 def test_financials_job_keeps_extra_columns(spark, tmp_path):
-    sinks = Sinks.below(str(tmp_path))
+    sinks = Sinks(str(tmp_path))
     rows = spark.createDataFrame([financial_row()], all_text(FINANCIALS)).withColumn("source_file", F.lit("Financials"))
     run_batch(spark, FINANCIALS_BATCH, rows, sinks, "2024-01-01", STAMP)
-    assert spark.read.parquet(sinks.target).columns == [*FINANCIALS.fieldNames(), "source_file"]
+    assert spark.read.parquet(sinks.name).columns == [*FINANCIALS.fieldNames(), "source_file"]
+
+
+def test_rule_tables_have_their_own_layout(spark):
+    rows = spark.createDataFrame(random_rows(120, 4), all_text(SALES))
+    records = sales.run(rows, SALES_STREAM, STAMP, Workspace(spark, "t", "memory")).quarantine
+    for rule in RULES:
+        names = rule_table(records, rule, NAMES).columns
+        if rule == "typos":
+            assert names[:9] == NAMES and names[9:] == [
+                "dirty_reason", "column_flagged", "suggested_value", "source_file", "logged_at"]
+        elif rule == "region_conflicts":
+            assert names == ["issue", "source_file", "logged_at", "row_hash", *[n.lower() for n in NAMES]]
+        else:
+            assert names[0] == "issue" and names[-9:] == NAMES
+    sent = to_topics(records)
+    assert sent.columns == ["topic", "key", "value"] and sent.where("topic IS NULL").count() == 0
+
+
+def test_database_sinks(spark, monkeypatch):
+    """No database here: what would be written, and where, is recorded instead."""
+    written = {}
+
+    def record(self, df, table, mode="append", text=False):
+        written[table] = (mode, df.count())
+
+    monkeypatch.setattr(JdbcTarget, "write", record)
+    monkeypatch.setattr(JdbcTarget, "read", lambda self, spark, table, **split: spark.createDataFrame(
+        [(1, "x")], "Order_ID int, other string"))
+    good = [(str(i), "Ann", "West", "2024-01-05", "Bolt", "2", "5", "10", "Cash") for i in (1, 2)]
+    dirty = [("9", "Bob", "Nrth", "2024-01-05", "Bolt", "2", "5", "10", "Cash")]
+    sinks = JdbcSinks(JdbcTarget("jdbc:x:y"), "sales", NAMES)
+    run_batch(spark, SALES_BATCH, spark.createDataFrame(good + dirty, all_text(SALES)), sinks, "2024-01-31", STAMP)
+    assert written["sales"] == ("append", 1) and written["audit_log"] == ("append", 1)
+    assert written["dirty_invalid_region_2024_01_31"] == ("overwrite", 1)
+    assert written["dirty_null_values_2024_01_31"] == ("overwrite", 0)

@@ -7,6 +7,7 @@ from sievewright.contracts import CSV_NA_TOKENS, SALES, SALES_STREAM, all_text
 from sievewright.operators import audits
 from sievewright.operators.rules import Stamp
 from sievewright.sources import files, streams, tables
+from sievewright.sources.sinks import Sinks
 from sievewright.streaming import runner
 
 from test_operators import STAMP, sales_rows
@@ -104,8 +105,8 @@ def stream_of(spark, path, max_files=None):
 
 def run_pipeline(spark, tmp_path, name, max_files=None):
     job = runner.Job(name, f"{tmp_path}/cp-{name}")
-    runner.start_pipeline(stream_of(spark, f"{tmp_path}/in", max_files), f"{tmp_path}/target", f"{tmp_path}/q",
-                          f"{tmp_path}/audit", SALES_STREAM, STAMP, job).awaitTermination()
+    runner.start_pipeline(stream_of(spark, f"{tmp_path}/in", max_files), Sinks(str(tmp_path)), SALES_STREAM, STAMP,
+                          job).awaitTermination()
     return sorted(r["Order_ID"] for r in spark.read.parquet(f"{tmp_path}/target").collect())
 
 
@@ -115,7 +116,7 @@ def test_stream_split_replay_and_corrupt_payload(spark, tmp_path):
     json_file(sales_rows(spark, {"Order_ID": "2"}, {"Order_ID": "3"}, {"Order_ID": "4", "Region": "Nrth"}), path)
     assert run_pipeline(spark, tmp_path, "split", max_files=1) == [1, 2, 3]
     assert run_pipeline(spark, tmp_path, "replay") == [1, 2, 3]
-    found = tables.read_quarantine(spark, f"{tmp_path}/q")
+    found = tables.read_quarantine(spark, f"{tmp_path}/quarantine")
     assert {r["rule"] for r in found.select("rule").collect()} == {"corrupt_json", "invalid_region"}
     assert found.where("rule = 'corrupt_json'").first()["bad_value"] == "{oops"
     assert {r["action"] for r in spark.read.parquet(f"{tmp_path}/audit").collect()} == {"INSERT"}
