@@ -396,14 +396,16 @@ def rule_region_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_conflict_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_sales(spark, sf_dir)
-    return keyed.drop_listed(rows, keyed.conflicting_keys(rows, "Customer_Name", "Region"), "Customer_Name")
+    customers = keyed.conflicting_keys(rows, "Customer_Name", "Region")
+    return keyed.drop_listed(rows, customers, "Customer_Name", salts=keyed.HOT_KEY_SALTS)
 
 
 @query
 def reject_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_sales(spark, sf_dir)
     dirty = rules.type_dirty_rows(rows, SALES_BATCH, SALES_STAMP)
-    return keyed.drop_listed(rows, dirty.select("Order_ID").distinct(), "Order_ID")
+    ids = dirty.select("Order_ID").distinct()
+    return keyed.drop_listed(rows, ids, "Order_ID", null_salts=keyed.HOT_KEY_SALTS)
 
 
 @query

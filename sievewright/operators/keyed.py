@@ -2,55 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.functions.text import quoted
+from sievewright.functions.text import backticked, quoted
 
+# Partitions over which the rows of one key are spread in joins where a key may be hot.
+HOT_KEY_SALTS = 16
 
-def _keys_as(keys: DataFrame, key: str, name: str) -> DataFrame:
-    return keys.select(quoted(key).alias(name))
 
+def _spread(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` that depends on the content of the row only, so a repeated task agrees."""
+    return F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salts)).cast("int")
 
-def keep_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None) -> DataFrame:
-    right = _keys_as(keys, key or on, "__k")
-    return df.join(right, quoted(on) == right["__k"], "left_semi")
 
+def _key_join(df: DataFrame, keys: DataFrame, on: str, how: str, salts: int) -> DataFrame:
+    """Join on one key. With ``salts`` the rows of a key, also of the NULL key, go to that many partitions and
+    the keys are repeated for each; meant for keys that are few beside the rows, one of which may be hot."""
+    if salts == 1:
+        return df.join(keys, quoted(on) == keys["__k"], how)
+    keys = keys.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("__salt", _spread(df, salts))
+    return salted.join(keys, (quoted(on) == keys["__k"]) & (F.col("__salt") == keys["__s"]), how)
+
+
+def _named(keys: DataFrame, key: str) -> DataFrame:
+    return keys.select(quoted(key).alias("__k"))
 
-def _spread(df: DataFrame, salts: int):
-    """A number below ``salts`` that depends on the content of the row only, so a repeated task agrees."""
-    return F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salts)).cast("int")
 
+def keep_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None, salts: int = 1) -> DataFrame:
+    joined = _key_join(df, _named(keys, key or on), on, "left_semi", salts)
+    return joined.select(*[backticked(c) for c in df.columns])
 
-def drop_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None, null_salts: int = 1) -> DataFrame:
+
+def drop_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None, salts: int = 1,
+                null_salts: int = 1) -> DataFrame:
     """Anti join; a NULL key never matches, so such rows stay.
 
-    All NULL keys hash alike. Where many rows may lack a key, ``null_salts`` spreads them over that many
-    partitions of the join.
+    All NULL keys hash alike. Where the keys are too many to repeat but many rows may lack one,
+    ``null_salts`` spreads only those rows.
     """
-    right = _keys_as(keys, key or on, "__k")
+    right = _named(keys, key or on)
     if null_salts == 1:
-        return df.join(right, quoted(on) == right["__k"], "left_anti")
-    right = right.withColumn("__s", F.lit(0))
-    salt = F.when(quoted(on).isNull(), _spread(df, null_salts)).otherwise(0)
-    salted = df.withColumn("__salt", salt)
-    return salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_anti").drop("__salt")
+        joined = _key_join(df, right, on, "left_anti", salts)
+    else:
+        right = right.withColumn("__s", F.lit(0))
+        salted = df.withColumn("__salt", F.when(quoted(on).isNull(), _spread(df, null_salts)).otherwise(0))
+        joined = salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_anti")
+    return joined.select(*[backticked(c) for c in df.columns])
 
 
 def flag_listed(df: DataFrame, unique_keys: DataFrame, on: str, flag: str, salts: int = 1) -> DataFrame:
-    """Add a boolean column: is the key listed? One outer join serves both the kept and the listed rows.
-
-    With ``salts`` the rows of one key, also of the NULL key, go to that many partitions and the keys are
-    repeated for each; meant for key sets too large to broadcast yet much smaller than the rows.
-    """
-    right = unique_keys.select(F.col(unique_keys.columns[0]).alias("__k"), F.lit(True).alias("__hit"))
-    if salts == 1:
-        joined = df.join(right, quoted(on) == right["__k"], "left_outer")
-    else:
-        right = right.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = df.withColumn("__salt", _spread(df, salts))
-        joined = salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_outer")
-    return joined.select(*[quoted(c) for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(flag))
+    """Add a boolean column: is the key listed? One outer join serves both the kept and the listed rows."""
+    right = _named(unique_keys, unique_keys.columns[0]).withColumn("__hit", F.lit(True))
+    joined = _key_join(df, right, on, "left_outer", salts)
+    return joined.select(*[backticked(c) for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(flag))
 
 
 def conflicting_keys(df: DataFrame, key: str, attribute: str, domain=()) -> DataFrame:

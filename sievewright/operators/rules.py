@@ -19,7 +19,7 @@ from sievewright.functions.dates import strict_issue
 from sievewright.functions.identity import row_hash
 from sievewright.functions.text import backticked, quoted
 from sievewright.operators.dedup import dedup_full_row, dedup_row_hash
-from sievewright.operators.keyed import conflicting_keys, keep_listed
+from sievewright.operators.keyed import HOT_KEY_SALTS, conflicting_keys, keep_listed
 from sievewright.operators.schema import align, normalize_headers
 
 
@@ -74,7 +74,7 @@ def region_conflicts(df: DataFrame, profile: Profile, stamp: Stamp, conflicts: D
     if conflicts is None:
         conflicts = conflicting_keys(rows, customer, region)
     names = rows.columns
-    hit = keep_listed(rows, conflicts, customer, conflicts.columns[0])
+    hit = keep_listed(rows, conflicts, customer, conflicts.columns[0], HOT_KEY_SALTS)
     return dedup_row_hash(hit.select(
         F.lit("Conflicting Region for Customer").alias("issue"), stamp.source(), stamp.logged(),
         _hash(names), *_business(names),

@@ -24,10 +24,9 @@ from sievewright.operators.schema import align, clean_strings, to_text
 from sievewright.plans.sales import PipelineResult
 from sievewright.storage import Workspace
 
-DATES, NULL, NEGATIVE, NUMERIC_TEXT, CHARS, TYPO, TYPE = (
-    "dirty_dates", "null_values", "negative_values", "numeric_strings", "unknown_chars", "typos",
-    "type_conversion",
-)
+RULES = (
+    "dirty_dates", "null_values", "negative_values", "numeric_strings", "unknown_chars", "typos", "type_conversion")
+DATES, NULL, NEGATIVE, NUMERIC_TEXT, CHARS, TYPO, TYPE = RULES
 
 
 def prepare(df: DataFrame, profile: Profile) -> DataFrame:
@@ -83,8 +82,11 @@ def clean_rows(judged: DataFrame, profile: Profile) -> DataFrame:
     return dedup_full_row(kept.select(*[_typed(f) for f in profile.contract.fields], *[quoted(c) for c in extras]))
 
 
-def quarantine_of(prepared: DataFrame, dirty: DataFrame, profile: Profile, stamp: Stamp) -> DataFrame:
-    """All rules in one layout: rule, issue, flagged columns, metadata, record hash, business columns as text."""
+def quarantine_of(judged: DataFrame, dirty: DataFrame, profile: Profile, stamp: Stamp) -> DataFrame:
+    """All rules in one layout: rule, issue, flagged columns, metadata, record hash, business columns as text.
+
+    Settled dates serve the date rule as well: a text that no strict format reads has been kept.
+    """
     names = profile.columns
 
     def rows_of(rule: str) -> DataFrame:
@@ -99,7 +101,7 @@ def quarantine_of(prepared: DataFrame, dirty: DataFrame, profile: Profile, stamp
         ))
 
     parts = [
-        common(DATES, rules.dirty_dates(prepared, profile, stamp), flagged=F.col("column_flagged")),
+        common(DATES, rules.dirty_dates(judged, profile, stamp), flagged=F.col("column_flagged")),
         common(NULL, rules.nulls(rows_of(NULL), profile, stamp), flagged=F.concat_ws(",", "null_columns")),
         common(NEGATIVE, rules.nonpositive(rows_of(NEGATIVE), profile, stamp),
                flagged=F.concat_ws(",", "negative_columns")),
@@ -115,8 +117,7 @@ def quarantine_of(prepared: DataFrame, dirty: DataFrame, profile: Profile, stamp
 
 
 def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace) -> PipelineResult:
-    prepared = workspace.hold(prepare(df, profile), "prepared")
     judged = workspace.hold(
-        settle_dates(prepared, profile).withColumn("rule", leaves_at(profile)), "judged")
+        settle_dates(prepare(df, profile), profile).withColumn("rule", leaves_at(profile)), "judged")
     dirty = workspace.hold(judged.where(F.col("rule").isNotNull()), "dirty")
-    return PipelineResult(clean_rows(judged, profile), quarantine_of(prepared, dirty, profile, stamp), judged)
+    return PipelineResult(clean_rows(judged, profile), quarantine_of(judged, dirty, profile, stamp), judged)

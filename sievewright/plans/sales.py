@@ -23,7 +23,7 @@ from sievewright.functions.identity import row_hash
 from sievewright.functions.text import quoted
 from sievewright.operators import rules
 from sievewright.operators.dedup import one_per_key
-from sievewright.operators.keyed import conflicting_keys, drop_listed, flag_listed, keep_listed
+from sievewright.operators.keyed import HOT_KEY_SALTS, conflicting_keys, drop_listed, flag_listed, keep_listed
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import align, clean_for, detect_id_column
 from sievewright.storage import Workspace, is_small
@@ -33,7 +33,6 @@ REGION, CONFLICT, TYPE, NULL, NONPOSITIVE, CHARS, TYPO = (
     "invalid_region", "region_conflicts", "type_conversion", "null_values", "negative_values",
     "unknown_chars", "typos",
 )
-HOT_KEY_SALTS = 16
 ISSUES = {
     REGION: "Invalid Region Value",
     CONFLICT: "Conflicting Region for Customer",
@@ -216,7 +215,7 @@ def reported_rows(dirty: DataFrame, profile: Profile) -> DataFrame:
     passed_types = ~F.col("is_" + TYPE) | quoted(id_column).isNull() if by_id else ~F.col("is_" + TYPE)
     late = dirty.where(_reached_types() & passed_types & caught_late)
     if by_id:
-        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text", HOT_KEY_SALTS)
+        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text", null_salts=HOT_KEY_SALTS)
     if profile.nonpositive_before_nulls:
         found = F.array_compact(F.array(
             F.when(F.col("is_" + NULL), NULL), F.when(F.col("is_" + NONPOSITIVE), NONPOSITIVE),

@@ -27,6 +27,7 @@ FRONT = {
                         ("project_name", "project_name"), ("logged_at", "logged_at"), ("row_hash", "row_hash")),
     "unknown_chars": (("issue", "issue"), ("bad_value", "bad_value"), ("source_file", "source_file"),
                       ("logged_at", "logged_at"), ("row_hash", "row_hash")),
+    "corrupt_json": (("payload", "bad_value"),),
 }
 BEHIND = {
     "typos": (("dirty_reason", "issue"), ("column_flagged", "flagged"), ("suggested_value", "suggested_value"),
@@ -45,11 +46,17 @@ TOPICS = {
 
 
 def rule_table(records: DataFrame, rule: str, business: list[str]) -> DataFrame:
-    """The quarantine table of one rule: its own metadata columns, then the business columns (typos: before)."""
+    """The quarantine table of one rule: its own metadata columns, then the business columns (typos: before).
+
+    Records of a rule or layout not listed keep all their columns.
+    """
     def renamed(pairs) -> list[Column]:
         return [F.col(source).alias(name) for name, source in pairs]
 
     rows = records.where(F.col("rule") == rule)
+    listed = FRONT.get(rule, BEHIND.get(rule))
+    if listed is None or not {source for _, source in listed} <= set(records.columns):
+        return rows.drop("rule")
     if rule in BEHIND:
         return rows.select(*[backticked(n) for n in business], *renamed(BEHIND[rule]))
     if rule == "region_conflicts":
@@ -118,13 +125,14 @@ class Sinks:
 class JdbcSinks:
     """A database: the target table, one dated quarantine table per rule, an audit table.
 
-    The target must exist. With ``kafka_servers`` the quarantine goes to the topics of the rules instead.
+    The target must exist. ``rules`` are the tables to write, empty ones included. With ``kafka_servers`` the quarantine goes to the topics of the rules instead.
     """
 
     db: JdbcTarget
     target: str
     business: list[str]
     audit_table: str = "audit_log"
+    rules: tuple[str, ...] = RULES
     kafka_servers: str | None = None
     key_range: dict[str, int] = field(default_factory=dict)
 
@@ -144,7 +152,7 @@ class JdbcSinks:
             (to_topics(records).write.format("kafka")
              .option("kafka.bootstrap.servers", self.kafka_servers).save())
             return
-        for rule in RULES:
+        for rule in self.rules:
             self.db.write(rule_table(records, rule, self.business), dated_table(f"dirty_{rule}", value),
                           mode="overwrite", text=True)
 

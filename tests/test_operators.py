@@ -2,7 +2,15 @@ from datetime import datetime
 
 import pytest
 
-from sievewright.contracts import FINANCIALS, FINANCIALS_BATCH, SALES, SALES_BATCH, all_text
+from sievewright.contracts import (
+    DIRTY_METADATA,
+    FINANCIALS,
+    FINANCIALS_BATCH,
+    SALES,
+    SALES_BATCH,
+    all_text,
+    contract_from_names,
+)
 from sievewright.operators import dedup, keyed, rules, schema
 from sievewright.operators.rules import Stamp
 
@@ -86,6 +94,27 @@ def test_null_keys_survive_anti_join(spark):
     assert {(r["n"], r["hit"]) for r in flagged} == {(1, True), (2, False), (3, False)}
 
 
+def test_salted_joins_give_the_same_rows(spark):
+    """One key and the missing key hold most rows, copies included."""
+    df = spark.createDataFrame([("hot", i % 3) for i in range(40)] + [(None, 1)] * 30 + [("b", 7)], "k string, n int")
+    keys = spark.createDataFrame([("hot",), ("x",)], "k string")
+
+    def rows(frame):
+        return sorted(map(tuple, frame.collect()), key=str)
+
+    for salts in ({"salts": 5}, {"null_salts": 5}):
+        assert rows(keyed.drop_listed(df, keys, "k", **salts)) == rows(keyed.drop_listed(df, keys, "k"))
+    assert rows(keyed.keep_listed(df, keys, "k", salts=5)) == rows(keyed.keep_listed(df, keys, "k"))
+    assert rows(keyed.flag_listed(df, keys, "k", "hit", 5)) == rows(keyed.flag_listed(df, keys, "k", "hit"))
+
+
+def test_contract_from_type_names():
+    contract = contract_from_names({"a": "int64", "d": "date", "x": "mystery"}, DIRTY_METADATA)
+    kinds = [f.dataType.simpleString() for f in contract.fields]
+    assert kinds[:3] == ["bigint", "date", "string"] and len(kinds) == 3 + len(DIRTY_METADATA)
+    assert contract["logged_at"].dataType.simpleString() == "timestamp"
+
+
 def test_region_rules(spark):
     df = sales_rows(spark, {}, {"Region": "Nrth"}, {"Region": None}, {"Region": "Nrth"})
     found = rules.invalid_region(df, SALES_BATCH, STAMP).collect()
