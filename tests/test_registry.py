@@ -35,10 +35,10 @@ def normal(rows, names):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.registered.REGISTRY) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.registered.REGISTRY))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     cursor = duck.execute(contract.oracle_sql()[name])
