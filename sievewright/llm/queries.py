@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import classifier, quality_rules
+from sievewright.llm import classifier, id_files, packing, quality_rules, sharding
 from sievewright.llm.shipping import ship
+from sievewright.storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,6 +36,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The tokenizer of the queries; the operators take any path.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op1_id_files")
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = Workspace(spark, "id-files")
+    id_files.write(table(spark, sf_dir, "documents"), TOKENIZER, space.path("files"), space)
+    return id_files.digests(spark, space.path("files"))
+
+
+@register("op3_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER), Workspace(spark, "packing"))
+
+
+@register("op5_sharding")
+def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"), Workspace(spark, "sharding"))
+
+
 @register("op8_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
