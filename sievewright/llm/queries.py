@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import classifier, id_files, packing, quality_rules, sharding
+from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, quality_rules, sharding
 from sievewright.llm.shipping import ship
 from sievewright.storage import Workspace
 
@@ -47,11 +47,22 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.digests(spark, space.path("files"))
 
 
+@register("op2_line_dedup", line_dedup.SQL)
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"), Workspace(spark, "line-dedup"))
+
+
 @register("op3_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER), Workspace(spark, "packing"))
 
 
+@register("op4_decontamination", decontamination.SQL)
+def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.report(documents, benchmark, Workspace(spark, "decontamination"))
+
+
 @register("op5_sharding")
 def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"), Workspace(spark, "sharding"))
