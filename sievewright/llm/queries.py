@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, quality_rules, sharding
+from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, quality_rules, sharding, simhash
 from sievewright.llm.shipping import ship
 from sievewright.storage import Workspace
 
@@ -68,6 +68,11 @@ def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"), Workspace(spark, "sharding"))
 
 
+@register("op6_simhash")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"), Workspace(spark, "simhash"))
+
+
 @register("op8_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
