@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.keys import keyed, unkeyed
@@ -20,13 +20,13 @@ from sievewright.storage import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, Workspa
 SIZE = 13
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Ends every document's words. No word looks like it, and it keeps one row of every document through the join.
-_END = "\n"
 KEY = ["doc_id", "__copy"]
 
 
 def words(text: str = "text") -> F.Column:
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _UPPER.lower())
+    body = F.coalesce(F.col(text), F.lit(""))
+    # Only A-Z is lowered; lower() does the same to ASCII texts and is faster than translate().
+    lowered = F.when(F.octet_length(body) == F.length(body), F.lower(body)).otherwise(F.translate(body, _UPPER, _UPPER.lower()))
     return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
 
 
@@ -50,54 +50,51 @@ def _union(parts: Iterator[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def hits(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: int = SIZE) -> DataFrame:
-    """``doc_id, __copy, n_words, start, len, items``: where windows stand in the texts (``start`` from 0), and one
-    row without ``start`` per document."""
-    item = space.hold(item_windows(benchmark, size), "items")
-    tokens = space.hold(item.select(F.explode("window").alias("word")).distinct(), "tokens")
-    every = keyed_docs.select(F.explode(words()).alias("word"))
+def prefixes(every: DataFrame, windows: DataFrame, space: Workspace) -> DataFrame:
+    """``word, wants``: the rarest word of each window, with the windows (``id, at, len``) it stands for. ``every``: the
+    ``word`` column of the corpus. A window with a word that no text has is left out, as it stands nowhere."""
+    tokens = space.hold(windows.select(F.explode("window").alias("word")).distinct(), "tokens")
     counts = _union(every.join(t, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")) for t in _parts(tokens, "word"))
-    # A word that no text has rules its windows out.
-    numbered = item.withColumn("id", F.xxhash64("window"))
-    ordered = numbered.select("id", F.posexplode("window").alias("at", "word")).join(counts, "word", "left")
-    rarest = ordered.groupBy("id").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("prefix")).where("prefix.n > 0")
-    wanted = numbered.join(rarest, "id").select(
-        F.col("prefix.word").alias("word"), F.struct(F.col("prefix.at").alias("at"), "window", "items").alias("want"))
-    prefixes = space.hold(wanted.groupBy("word").agg(F.collect_list("want").alias("wants")), "prefixes")
-    end = item.sparkSession.range(1).select(
-        F.lit(_END).alias("word"), F.array().cast(prefixes.schema["wants"].dataType).alias("wants"))
-    texts = keyed_docs.select(*KEY, words().alias("words"))
-    found = []
-    for i, part in enumerate(_parts(prefixes, "word")):
-        # posexplode_outer: the plain form makes Spark filter on the size of the words and so compute them twice.
-        ended = F.concat("words", F.array(F.lit(_END))) if i == 0 else F.col("words")
-        places = texts.select(*KEY, "words", F.posexplode_outer(ended).alias("pos", "word"))
-        table = F.broadcast(part.unionByName(end)) if i == 0 else part
-        verified = F.expr("""filter(wants, x -> pos >= x.at and pos - x.at + size(x.window) <= size(words)
-            and slice(words, greatest(pos - x.at, 0) + 1, size(x.window)) = x.window)""")
-        found.append(places.join(table, "word").select(
-            *KEY, F.size("words").cast("bigint").alias("n_words"), "pos", F.col("word").alias("prefix"), verified.alias("match"))
-            .where((F.size("match") > 0) | (F.col("prefix") == _END)))
-    return _union(found).select(*KEY, "n_words", "pos", F.explode_outer("match").alias("m")).select(
-        *KEY, "n_words", (F.col("pos") - F.col("m.at")).alias("start"), F.size("m.window").alias("len"), F.col("m.items").alias("items"))
+    ordered = windows.select("id", F.size("window").alias("len"), F.posexplode("window").alias("at", "word")).join(counts, "word", "left")
+    rarest = ordered.groupBy("id", "len").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("rare"))
+    return space.hold(
+        rarest.where("rare.n > 0").groupBy(F.col("rare.word").alias("word"))
+        .agg(F.collect_list(F.struct("id", "rare.at", "len")).alias("wants")), "prefixes")
 
 
 def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: int = SIZE) -> DataFrame:
     """``doc_id, __copy, n_words, n_hit, n_items, items_sha256, contaminated`` of every document.
 
     A text of nulls or without words has no hits and is clean; so is everything if no item has words. Equal windows
-    of several items count for each of them.
+    of several items count for each of them. A benchmark too large to broadcast is joined in parts.
     """
-    rows = hits(keyed_docs, benchmark, space, size)
-    spans = F.expr("sort_array(collect_set(if(start is null, null, named_struct('start', start, 'len', len))))")
-    per_doc = rows.groupBy(*KEY).agg(
-        F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    windows = space.hold(item_windows(benchmark, size).withColumn("id", F.xxhash64("window")), "windows")
+    # The outer forms: for the plain ones Spark filters on the size of the words first and so computes them twice.
+    wanted = prefixes(keyed_docs.select(F.explode_outer(words()).alias("word")), windows, space)
+    places = keyed_docs.select(*KEY, F.posexplode_outer(words()).alias("pos", "word"))
+    candidates = _union(
+        places.join(part, "word").select(*KEY, "pos", F.explode("wants").alias("want")).where("pos >= want.at")
+        .select(*KEY, (F.col("pos") - F.col("want.at")).alias("start"), "want.id", "want.len")
+        for part in _parts(wanted, "word"))
+    per_doc = candidates.groupBy(*KEY).agg(F.collect_set(F.struct("start", "len", "id")).alias("tries"))
+    # The bound on the length, then the slice of the text against the window: by hash here, word for word below.
+    there = F.expr("""filter(transform(filter(coalesce(tries, array()), x -> x.start + x.len <= size(words)),
+        x -> named_struct('start', x.start, 'len', x.len, 'id', x.id, 'window', slice(words, x.start + 1, x.len))),
+        x -> xxhash64(x.window) = x.id)""")
+    base = space.hold(
+        keyed_docs.select(*KEY, "text").join(per_doc, KEY, "left").select(*KEY, words().alias("words"), "tries")
+        .select(*KEY, F.size("words").cast("bigint").alias("n_words"), there.alias("found")), "base")
+    hits = _union(
+        base.select(*KEY, F.explode("found").alias("x")).select(*KEY, "x.start", "x.len", F.col("x.window").alias("window"))
+        .join(part.select("window", "items"), "window") for part in _parts(windows, "id"))
+    spans = F.sort_array(F.collect_set(F.struct("start", "len")))
+    found = hits.groupBy(*KEY).agg(spans.alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     covered = F.expr("""aggregate(spans, named_struct('n', 0L, 'end', 0L), (a, s) -> named_struct(
         'n', a.n + greatest(s.start + s.len - greatest(a.end, s.start), 0L), 'end', greatest(a.end, cast(s.start + s.len as bigint))), a -> a.n)""")
-    return per_doc.select(
-        *KEY, "n_words", covered.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return base.drop("found").join(found, KEY, "left").select(
+        *KEY, "n_words", F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array(items), ","), 256).alias("items_sha256"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
