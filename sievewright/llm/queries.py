@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, quality_rules, sharding, simhash
+from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, ppm, quality_rules, sharding, simhash, suffix_dedup
 from sievewright.llm.shipping import ship
 from sievewright.storage import Workspace
 
@@ -73,11 +73,21 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"), Workspace(spark, "simhash"))
 
 
+@register("op7_ppm_scoring")
+def byte_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.report(table(spark, sf_dir, "documents"), Workspace(spark, "ppm"))
+
+
 @register("op8_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op9_suffix_dedup")
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"), Workspace(spark, "suffix-dedup"))
+
+
 @register("op10_quality_rules")
 def learned_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -20,10 +20,11 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column, and where each text starts and ends (one number more than texts). Null: empty."""
+    """All bytes of a string or binary column, and where each value starts and ends (one number more). Null: empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    wide = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
+    column = column.fill_null(pa.scalar("", column.type)).cast(wide)
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64, count=column.offset + len(column) + 1)[column.offset:]
     if not len(column) or offsets[-1] == offsets[0]:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
