@@ -492,7 +492,7 @@ def financial_typed(n: str) -> str:
     if n == "Date":
         return f"{parse_permissive(q(n))} AS {q(n)}"
     if n in F_INT:
-        return f"CAST({to_double(q(n))} AS BIGINT) AS {q(n)}"
+        return f"CAST(TRY_CAST({q(n)} AS DECIMAL(38, 10)) AS BIGINT) AS {q(n)}"
     return f"{to_double(q(n))} AS {q(n)}" if n in F_NUM else q(n)
 
 
@@ -628,9 +628,12 @@ def oracle_sql() -> dict[str, str]:
                               + f" END AS topic, row_hash AS key, issue, Order_ID FROM ({sales_quarantine()})"),
         "quality_report": _with(sales_stages(), f"SELECT 'raw' AS stage, count(*) AS rows FROM c UNION ALL SELECT rule, count(*) FROM ({sales_quarantine()}) GROUP BY rule UNION ALL SELECT 'loaded', count(*) FROM loaded"),
         "etl_financials_clean": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
+        "etl_financials_repeat": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "quarantine_financials": _with(FINANCIAL_STAGES, financial_quarantine()),
         "stream_json_source": _with(RAW, "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw"),
         "stream_raw_sink": _with(RAW, "SELECT * FROM raw"),
+        "stream_two_jobs_raw": _with(RAW, "SELECT * FROM raw"),
+        "stream_two_jobs_quarantine": _with(RAW, stream_keys),
         "stream_etl_clean": stream_loaded,
         "stream_replay_idempotent": stream_loaded,
         "stream_quarantine": _with(RAW, stream_keys),

@@ -100,6 +100,7 @@ CSV_NA_TOKENS = (
 class Profile:
     """How one business schema is cleaned and judged.
 
+    ``key`` is the column that identifies a record: one row per key is loaded, and keys already loaded are skipped.
     ``reject_by``: ``"id"`` drops every row that shares its id with a type- or char-dirty row,
     ``"row"`` drops the dirty rows only. ``reject_chars=False`` reports char-dirty rows and keeps them.
     ``nonpositive_before_nulls`` lets the number rule also see rows that leave as null rows.
@@ -107,6 +108,7 @@ class Profile:
 
     name: str
     contract: StructType
+    key: str
     project_name: str = "sales_etl"
     title_mode: str = "words"
     upper_ids: tuple[str, ...] = ()
@@ -125,6 +127,10 @@ class Profile:
     flag_valid_typos: bool = False
     min_text_length: int = 3
 
+    def __post_init__(self) -> None:
+        if self.key not in self.contract.fieldNames():
+            raise ValueError(f"the key {self.key!r} is no column of the contract of {self.name!r}")
+
     @property
     def columns(self) -> list[str]:
         return self.contract.fieldNames()
@@ -136,6 +142,7 @@ class Profile:
 SALES_BATCH = Profile(
     name="sales",
     contract=SALES,
+    key="Order_ID",
     region_column="Region",
     customer_column="Customer_Name",
     regions=VALID_REGIONS,
@@ -152,6 +159,7 @@ SALES_STREAM = SALES_BATCH.with_options(
 FINANCIALS_BATCH = Profile(
     name="financials",
     contract=FINANCIALS,
+    key="Row ID",
     title_mode="letters",
     nonpositive_op="<",
     reject_by="row",

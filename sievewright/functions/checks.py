@@ -57,6 +57,10 @@ def text_fields(contract: StructType) -> list[str]:
     return [f.name for f in contract.fields if isinstance(f.dataType, StringType)]
 
 
+# Holds every 64-bit integer, also one written with fraction or exponent.
+EXACT = "decimal(38,10)"
+
+
 # --- missing values -----------------------------------------------------------------------------
 
 def missing(name: str, case_sensitive: bool = False) -> Column:
@@ -85,7 +89,8 @@ def _reads_as(c: Column, dtype: DataType, date_check: str, currency: bool) -> Co
         number = text.rlike(ANY_NUMBER_PATTERN)
         if isinstance(dtype, (DoubleType, FloatType)):
             return number
-        return number & (text.try_cast("double") == F.floor(text.try_cast("double")))
+        exact, whole = text.try_cast(EXACT), text.try_cast("double") == F.floor(text.try_cast("double"))
+        return F.coalesce(number & whole & (exact == F.floor(exact)) & exact.try_cast(dtype).isNotNull(), F.lit(False))
     if isinstance(dtype, IntegerType):
         return c.rlike(INTEGER_PATTERN)
     if isinstance(dtype, (DoubleType, FloatType)):

@@ -36,19 +36,17 @@ def keep_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None,
 
 
 def drop_listed(df: DataFrame, keys: DataFrame, on: str, key: str | None = None, salts: int = 1,
-                null_salts: int = 1) -> DataFrame:
+                split_nulls: bool = False) -> DataFrame:
     """Anti join; a NULL key never matches, so such rows stay.
 
-    All NULL keys hash alike. Where the keys are too many to repeat but many rows may lack one,
-    ``null_salts`` spreads only those rows.
+    All NULL keys hash alike. With ``split_nulls`` rows without a key stay out of the join and its shuffle; the
+    rows are read twice for that, so they should be a held table.
     """
     right = _named(keys, key or on)
-    if null_salts == 1:
-        joined = _key_join(df, right, on, "left_anti", salts)
-    else:
-        right = right.withColumn("__s", F.lit(0))
-        salted = df.withColumn("__salt", F.when(quoted(on).isNull(), _spread(df, null_salts)).otherwise(0))
-        joined = salted.join(right, (quoted(on) == right["__k"]) & (F.col("__salt") == right["__s"]), "left_anti")
+    if split_nulls:
+        joined = _key_join(df.where(quoted(on).isNotNull()), right, on, "left_anti", salts)
+        return joined.select(*[backticked(c) for c in df.columns]).unionAll(df.where(quoted(on).isNull()))
+    joined = _key_join(df, right, on, "left_anti", salts)
     return joined.select(*[backticked(c) for c in df.columns])
 
 
@@ -62,13 +60,14 @@ def flag_listed(df: DataFrame, unique_keys: DataFrame, on: str, flag: str, salts
 def conflicting_keys(df: DataFrame, key: str, attribute: str, domain=()) -> DataFrame:
     """Keys that appear with more than one non-null value of ``attribute``.
 
-    With a known domain only its values count, and each is one bit of an integer, so the partial aggregate
-    is a hash table of integers; otherwise smallest and largest value are compared. Either way no distinct set is built.
+    With a known domain of at most 60 values only these count, and each is one bit of an integer, so the partial
+    aggregate is a hash table of integers; otherwise smallest and largest value are compared. Either way no distinct set is built.
     """
     key_col, value = quoted(key), quoted(attribute)
     if domain:
         if len(domain) > 60:
-            raise ValueError("a bit per value needs a domain of at most 60 values")
+            known = F.when(value.isin(*domain), value)
+            return conflicting_keys(df.select(key_col.alias(key), known.alias(attribute)), key, attribute)
         # No filter before the aggregate: it would be pushed below the cleaning and repeat that work.
         bit = F.lit(0).cast("bigint")
         for i, v in enumerate(domain):

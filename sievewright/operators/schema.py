@@ -67,17 +67,6 @@ def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def detect_id_column(columns) -> str:
-    """``order_id`` in any case, else the first column ending in ``_id``."""
-    by_lower = {c.lower(): c for c in columns}
-    if "order_id" in by_lower:
-        return by_lower["order_id"]
-    for c in columns:
-        if c.lower().endswith("_id"):
-            return c
-    raise ValueError(f"no id column among {list(columns)}")
-
-
 def detect_date_columns(df: DataFrame, contract: StructType | None = None) -> DataFrame:
     """One row per date column (``column_name``): by contract type, else by content.
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from sievewright.contracts import Profile
 from sievewright.operators.audits import audit_record, load_audit
 from sievewright.operators.rules import Stamp
-from sievewright.operators.schema import detect_id_column
 from sievewright.plans import financials, sales
 from sievewright.plans.sales import PipelineResult, report_of
 from sievewright.session import tune
@@ -18,7 +17,7 @@ from sievewright.storage import Workspace
 def run_pipeline(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
                  existing_keys: DataFrame | None = None) -> PipelineResult:
     if profile.region_column is None:
-        return financials.run(df, profile, stamp, workspace)
+        return financials.run(df, profile, stamp, workspace, existing_keys)
     return sales.run(df, profile, stamp, workspace, existing_keys)
 
 
@@ -32,15 +31,13 @@ def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: J
     tune(spark)
     workspace = Workspace(spark, f"{profile.name}-{run_date}")
     try:
-        keys = None
-        if profile.region_column is not None:
-            keys = sinks.existing_keys(spark, detect_id_column(profile.columns))
+        keys = sinks.existing_keys(spark, profile.key)
         result = run_pipeline(source, profile, stamp, workspace, keys)
         records = workspace.hold(result.quarantine, "records")
         clean = workspace.hold(result.clean, "clean")
         counts = workspace.hold(report_of(result.judged, records, clean), "counts")
-        sinks.quarantine(records, "run_date", run_date)
-        sinks.report(counts, "run_date", run_date)
+        sinks.quarantine(records, run_date, run_date)
+        sinks.report(counts, run_date)
         sinks.load(clean)
         sinks.audit(load_audit(clean, username, sinks.name))
         return {r["stage"]: r["rows"] for r in counts.collect()}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, StructField
+from pyspark.sql.types import DateType, IntegralType, NumericType, StringType, StructField
 
 from sievewright.contracts import Profile
 from sievewright.functions import checks
@@ -19,6 +19,7 @@ from sievewright.functions.identity import row_hash
 from sievewright.functions.text import backticked, quoted, spelled_number, strip_currency
 from sievewright.operators import rules
 from sievewright.operators.dedup import dedup_full_row
+from sievewright.operators.keyed import drop_listed
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import align, clean_strings, to_text
 from sievewright.plans.sales import PipelineResult
@@ -73,6 +74,8 @@ def _typed(f: StructField) -> Column:
         return parse_permissive(c).alias(f.name)
     if isinstance(f.dataType, StringType):
         return c
+    if isinstance(f.dataType, IntegralType):  # a double holds integers up to 2**53 only
+        return c.try_cast(checks.EXACT).try_cast(f.dataType).alias(f.name)
     return c.try_cast("double").try_cast(f.dataType).alias(f.name)
 
 
@@ -116,8 +119,13 @@ def quarantine_of(judged: DataFrame, dirty: DataFrame, profile: Profile, stamp:
     return out
 
 
-def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace) -> PipelineResult:
+def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
+        existing_keys: DataFrame | None = None) -> PipelineResult:
+    """``existing_keys`` are keys already loaded; their rows are not loaded again."""
     judged = workspace.hold(
         settle_dates(prepare(df, profile), profile).withColumn("rule", leaves_at(profile)), "judged")
     dirty = workspace.hold(judged.where(F.col("rule").isNotNull()), "dirty")
-    return PipelineResult(clean_rows(judged, profile), quarantine_of(judged, dirty, profile, stamp), judged)
+    clean = clean_rows(judged, profile)
+    if existing_keys is not None:
+        clean = drop_listed(clean, existing_keys, profile.key)
+    return PipelineResult(clean, quarantine_of(judged, dirty, profile, stamp), judged)

@@ -25,7 +25,7 @@ from sievewright.operators import rules
 from sievewright.operators.dedup import one_per_key
 from sievewright.operators.keyed import HOT_KEY_SALTS, conflicting_keys, drop_listed, flag_listed, keep_listed
 from sievewright.operators.rules import Stamp
-from sievewright.operators.schema import align, clean_for, detect_id_column
+from sievewright.operators.schema import align, clean_for
 from sievewright.storage import Workspace, is_small
 
 TYPED = "typed_"
@@ -130,7 +130,7 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
     Type rejection compares ids as text, the later steps as numbers. Both agree when each number is
     written in one way; the caller may assert that with ``one_text_per_id`` and saves a second aggregate.
     """
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     by_id = profile.reject_by == "id"
     alive = _survives_rows()
     if not by_id and profile.reject_chars:
@@ -177,7 +177,7 @@ def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile
     """
     if existing_keys is None:
         return clean
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     key = existing_keys.columns[0]
     if workspace is not None:
         clean = workspace.hold(clean, "settled")
@@ -194,7 +194,7 @@ def any_flag() -> Column:
 
 def rejected_ids(dirty: DataFrame, profile: Profile) -> DataFrame:
     """Distinct id texts of type-dirty rows."""
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     bad = dirty.where(_reached_types() & F.col("is_" + TYPE) & quoted(id_column).isNotNull())
     return bad.select(quoted(id_column).alias("id_text")).distinct()
 
@@ -207,7 +207,7 @@ def reported_rows(dirty: DataFrame, profile: Profile) -> DataFrame:
     without an id, which no id can reject and which leave as null rows; and null rows that are also
     non-positive, where the profile lets the number rule see them.
     """
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     by_id = profile.reject_by == "id"
     caught_late = F.col("is_" + NULL) | F.col("is_" + NONPOSITIVE) | F.col("is_" + CHARS)
     early = dirty.where(~_reached_types() | F.col("is_" + TYPE)).withColumn(
@@ -215,7 +215,7 @@ def reported_rows(dirty: DataFrame, profile: Profile) -> DataFrame:
     passed_types = ~F.col("is_" + TYPE) | quoted(id_column).isNull() if by_id else ~F.col("is_" + TYPE)
     late = dirty.where(_reached_types() & passed_types & caught_late)
     if by_id:
-        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text", null_salts=HOT_KEY_SALTS)
+        late = drop_listed(late, rejected_ids(dirty, profile), id_column, "id_text", split_nulls=True)
     if profile.nonpositive_before_nulls:
         found = F.array_compact(F.array(
             F.when(F.col("is_" + NULL), NULL), F.when(F.col("is_" + NONPOSITIVE), NONPOSITIVE),
@@ -268,7 +268,7 @@ def dedup_quarantine(shaped: DataFrame) -> DataFrame:
 
 def typo_records(flagged: DataFrame, dirty: DataFrame, profile: Profile, stamp: Stamp) -> DataFrame:
     """Dictionary near misses among the rows that pass all row rules, in the quarantine layout."""
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     passed = flagged.where(_reached_types() & _survives_rows())
     if profile.reject_chars:
         passed = passed.where(~F.col("is_" + CHARS))
@@ -308,7 +308,7 @@ def report_of(raw: DataFrame, quarantine: DataFrame, clean: DataFrame) -> DataFr
 
 def ids_written_one_way(flagged: DataFrame, profile: Profile) -> bool:
     """True when no id text differs from its number in plain digits (``007``); reads two columns."""
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     differs = quoted(id_column) != typed(profile, id_column).cast("string")
     return not flagged.agg(F.bool_or(differs).alias("differs")).first()["differs"]
 

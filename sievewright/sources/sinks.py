@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievewright.contracts import FINANCIALS
 from sievewright.functions.text import backticked
 from sievewright.sources import tables
 from sievewright.sources.files import dated_table
@@ -34,6 +35,8 @@ BEHIND = {
               ("source_file", "source_file"), ("logged_at", "logged_at")),
 }
 RULES = (*FRONT, *BEHIND)
+FINANCIALS_RULES = (
+    "dirty_dates", "null_values", "negative_values", "numeric_strings", "unknown_chars", "typos", "type_conversion")
 
 # The topic of each rule.
 TOPICS = {
@@ -41,7 +44,7 @@ TOPICS = {
     "type_conversion": "dirty-type-events", "null_values": "dirty-null-values",
     "negative_values": "dirty-negative-values", "unknown_chars": "dirty-special-chars", "typos": "dirty-typos",
     "bigint_values": "dirty-bigint-values", "id_changes": "id-cleaning-audit", "string_changes": "string-cleaning-audit",
-    "corrupt_json": "dirty-corrupt-json",
+    "corrupt_json": "dirty-corrupt-json", "dirty_dates": "dirty-dates", "numeric_strings": "dirty-numeric-strings",
 }
 
 
@@ -70,7 +73,8 @@ def to_topics(records: DataFrame, key: str = "row_hash", value: Column | None =
     ``value`` is the JSON text to send; by default the record without its empty columns.
     """
     pairs = ",".join(f"{rule}:{topic}" for rule, topic in TOPICS.items())
-    topic = F.try_element_at(F.str_to_map(F.lit(pairs)), F.col("rule"))
+    known = F.try_element_at(F.str_to_map(F.lit(pairs)), F.col("rule"))
+    topic = F.when(known.isNotNull(), known).otherwise(F.raise_error(F.concat(F.lit("no topic for rule "), F.col("rule"))))
     rows = tables.to_text(records)
     body = F.to_json(F.struct(*[backticked(c) for c in rows.columns if c != "rule"])) if value is None else value
     return rows.select(topic.alias("topic"), F.col(key).alias("key"), body.alias("value"))
@@ -85,9 +89,9 @@ class JobSinks(Protocol):
 
     def load(self, clean: DataFrame) -> None: ...
 
-    def quarantine(self, records: DataFrame, partition: str, value: str) -> None: ...
+    def quarantine(self, records: DataFrame, run: str, day: str) -> None: ...
 
-    def report(self, counts: DataFrame, partition: str, value: str) -> None: ...
+    def report(self, counts: DataFrame, run: str) -> None: ...
 
     def audit(self, record: DataFrame) -> bool: ...
 
@@ -111,28 +115,31 @@ class Sinks:
     def load(self, clean: DataFrame) -> None:
         tables.append(clean, self.path("target"))
 
-    def quarantine(self, records: DataFrame, partition: str, value: str) -> None:
-        tables.write_quarantine(records, self.path("quarantine"), partition, value)
+    def quarantine(self, records: DataFrame, run: str, day: str) -> None:
+        tables.write_quarantine(records, self.path("quarantine"), run)
 
-    def report(self, counts: DataFrame, partition: str, value: str) -> None:
-        counts.write.mode("overwrite").parquet(f"{self.path('report')}/{partition}={value}")
+    def report(self, counts: DataFrame, run: str) -> None:
+        counts.write.mode("overwrite").parquet(f"{self.path('report')}/run={run}")
 
     def audit(self, record: DataFrame) -> bool:
-        return tables.append_audit(record, self.path("audit"))
+        return tables.append_audit(tables.whole_audit(record), self.path("audit"))
 
 
 @dataclass(frozen=True)
 class JdbcSinks:
     """A database: the target table, one dated quarantine table per rule, an audit table.
 
-    The target must exist. ``rules`` are the tables to write, empty ones included. With ``kafka_servers`` the quarantine goes to the topics of the rules instead.
+    The target must exist. ``rules`` are the tables to write, empty ones included, by default those of the pipeline with
+    these ``business`` columns; records of any other rule are refused. A batch job replaces the tables of its day; the
+    micro-batches of a stream append to them, with their ``run`` as a column. With ``kafka_servers`` the quarantine
+    goes to the topics of the rules instead.
     """
 
     db: JdbcTarget
     target: str
     business: list[str]
     audit_table: str = "audit_log"
-    rules: tuple[str, ...] = RULES
+    rules: tuple[str, ...] | None = None
     kafka_servers: str | None = None
     key_range: dict[str, int] = field(default_factory=dict)
 
@@ -147,17 +154,23 @@ class JdbcSinks:
     def load(self, clean: DataFrame) -> None:
         self.db.write(clean, self.target)
 
-    def quarantine(self, records: DataFrame, partition: str, value: str) -> None:
+    def quarantine(self, records: DataFrame, run: str, day: str) -> None:
         if self.kafka_servers:
             (to_topics(records).write.format("kafka")
              .option("kafka.bootstrap.servers", self.kafka_servers).save())
             return
-        for rule in self.rules:
-            self.db.write(rule_table(records, rule, self.business), dated_table(f"dirty_{rule}", value),
-                          mode="overwrite", text=True)
-
-    def report(self, counts: DataFrame, partition: str, value: str) -> None:
-        self.db.write(counts, dated_table("quality_report", value), mode="overwrite")
+        rules = self.rules or (FINANCIALS_RULES if set(self.business) == set(FINANCIALS.fieldNames()) else RULES)
+        unknown = sorted({r["rule"] for r in records.select("rule").distinct().collect()} - set(rules))
+        if unknown:
+            raise ValueError(f"no table for records of {', '.join(unknown)}")
+        for rule in rules:
+            rows = rule_table(records, rule, self.business)
+            if run != day:
+                rows = rows.withColumn("run", F.lit(run))
+            self.db.write(rows, dated_table(f"dirty_{rule}", day), mode="overwrite" if run == day else "append", text=True)
+
+    def report(self, counts: DataFrame, run: str) -> None:
+        self.db.write(counts, dated_table("quality_report", run), mode="overwrite")
 
     def audit(self, record: DataFrame) -> bool:
         try:

@@ -33,9 +33,12 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def append_aligned(df: DataFrame, path: str) -> None:
-    """Append with the column order of the table, or create it. Every column the table has must be there."""
+    """Append with the column order of the table, or create it. Both must have the same columns."""
     spark = df.sparkSession
     if table_exists(spark, path):
+        unknown = set(df.columns) - set(spark.read.parquet(path).columns)
+        if unknown:
+            raise ValueError(f"the table has no column {', '.join(sorted(unknown))}")
         df = df.select(*[F.col(f"`{c}`") for c in spark.read.parquet(path).columns])
     append(df, path)
 
@@ -46,21 +49,31 @@ def create_empty(df: DataFrame, path: str) -> None:
         to_text(df).limit(0).write.parquet(path)
 
 
-def write_quarantine(records: DataFrame, path: str, partition: str, value: str) -> None:
-    """The records of one day or batch, below ``partition=value``, partitioned by rule.
+def write_quarantine(records: DataFrame, path: str, run: str) -> None:
+    """The records of one run, a day or a micro-batch of one job, below ``run=...``, partitioned by rule.
 
     A repeated run replaces all of them, also those of rules that no longer find anything. Rows are
     rebalanced by rule first, so a rule fills a few files instead of one per task, and adaptive execution
     splits a rule that holds most of the rows.
     """
     (to_text(records).hint("rebalance", "rule").write.mode("overwrite")
-     .partitionBy("rule").parquet(f"{path}/{partition}={value}"))
+     .partitionBy("rule").parquet(f"{path}/run={run}"))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# The columns of batch records and of stream events.
+AUDIT_COLUMNS = ("username", "action", "table_name", "details", "status", "source_file", "logged_at")
+
+
+def whole_audit(record: DataFrame) -> DataFrame:
+    """An audit record with the columns of all kinds of records, so that one table takes them all."""
+    return record.select([
+        F.col(c).cast("string") if c in record.columns else F.lit(None).cast("string").alias(c) for c in AUDIT_COLUMNS])
+
+
 def append_audit(record: DataFrame, path: str) -> bool:
     """Append an audit record; a failing audit table must not fail the load, so it only reports False."""
     try:
@@ -78,7 +91,7 @@ JDBC_TYPES: dict[type[DataType], str] = {
     IntegerType: "INTEGER", LongType: "BIGINT", DoubleType: "DOUBLE PRECISION", DateType: "DATE",
     TimestampType: "TIMESTAMP",
 }
-JDBC_TEXT = "VARCHAR(1000)"
+JDBC_TEXT = "TEXT"  # quarantined values have any length
 JDBC_NARROW = {"project_name": "VARCHAR(100)", "row_hash": "VARCHAR(64)"}
 
 
@@ -119,6 +132,6 @@ class JdbcTarget:
 
 
 def column_types(schema: StructType) -> str:
-    """``name TYPE, ...`` for the create statement; text is bounded so any database can index it."""
+    """``name TYPE, ...`` for the create statement; only fixed metadata is bounded."""
     return ", ".join(
         f"`{f.name}` {JDBC_TYPES.get(type(f.dataType), JDBC_NARROW.get(f.name, JDBC_TEXT))}" for f in schema.fields)

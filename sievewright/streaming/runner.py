@@ -6,6 +6,7 @@ micro-batch is the batch code on the micro-batch; it is safe to deliver a batch
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from sievewright.contracts import Profile
 from sievewright.functions.text import quoted
 from sievewright.operators import audits, rules
 from sievewright.operators.rules import Stamp
-from sievewright.operators.schema import detect_id_column, to_text
+from sievewright.operators.schema import to_text
 from sievewright.plans import sales
 from sievewright.session import tune
 from sievewright.sources import tables
@@ -37,17 +38,30 @@ class Job:
     available_now: bool = True
     processing_time: str = "10 seconds"
 
-    def start(self, stream: DataFrame, body: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    def start(self, stream: DataFrame, work: Callable[[DataFrame, str], None]) -> StreamingQuery:
+        """``work`` gets each micro-batch and its run: the id that the checkpoint keeps for the query, and the number of
+        the batch. A repeated delivery has the same run; a query with another checkpoint never does."""
         tune(stream.sparkSession)
+        known, started = threading.Event(), {}
+
+        def body(batch: DataFrame, batch_id: int) -> None:
+            known.wait()
+            work(batch, f"{started['id']}-{batch_id}")
+
         writer = (stream.writeStream.queryName(self.name).option("checkpointLocation", self.checkpoint)
                   .outputMode("append").foreachBatch(body))
         if self.available_now:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=self.processing_time).start()
+            writer = writer.trigger(availableNow=True)
+        else:
+            writer = writer.trigger(processingTime=self.processing_time)
+        query = writer.start()
+        started["id"] = query.id
+        known.set()
+        return query
 
 
-def batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def run_folder(path: str, run: str) -> str:
+    return f"{path}/run={run}"
 
 
 def start_raw_sink(stream: DataFrame, target: str, corrupt: str, job: Job) -> StreamingQuery:
@@ -55,12 +69,12 @@ def start_raw_sink(stream: DataFrame, target: str, corrupt: str, job: Job) -> St
 
     Each micro-batch owns one partition, so a second delivery replaces it.
     """
-    def body(batch: DataFrame, batch_id: int) -> None:
+    def body(batch: DataFrame, run: str) -> None:
         workspace = Workspace(batch.sparkSession, job.name, mode="memory")
         try:
             good, bad = split_corrupt(workspace.hold(batch, "batch"))
-            good.write.mode("overwrite").parquet(batch_folder(target, batch_id))
-            bad.write.mode("overwrite").parquet(batch_folder(corrupt, batch_id))
+            good.write.mode("overwrite").parquet(run_folder(target, run))
+            bad.write.mode("overwrite").parquet(run_folder(corrupt, run))
         finally:
             workspace.close()
 
@@ -72,7 +86,7 @@ def detect_all(batch: DataFrame, profile: Profile, stamp: Stamp) -> DataFrame:
 
     ``record`` is the full record of the rule as JSON, what a topic per rule would carry; ``key`` its hash.
     """
-    id_column = detect_id_column(profile.columns)
+    id_column = profile.key
     found = {
         sales.NULL: rules.nulls(batch, profile, stamp),
         sales.NONPOSITIVE: rules.nonpositive(batch, profile, stamp),
@@ -99,12 +113,12 @@ def _corrupt_records(payloads: DataFrame) -> DataFrame:
 
 def start_detectors(stream: DataFrame, quarantine: str, profile: Profile, stamp: Stamp, job: Job) -> StreamingQuery:
     """One query for all detectors: the micro-batch is read once, held, and fanned out."""
-    def body(batch: DataFrame, batch_id: int) -> None:
+    def body(batch: DataFrame, run: str) -> None:
         workspace = Workspace(batch.sparkSession, job.name, mode="memory")
         try:
             good, bad = split_corrupt(workspace.hold(batch, "batch"))
             records = detect_all(good, profile, stamp).unionByName(_corrupt_records(bad))
-            tables.write_quarantine(records, quarantine, "batch_id", str(batch_id))
+            tables.write_quarantine(records, quarantine, run)
         finally:
             workspace.close()
 
@@ -113,9 +127,9 @@ def start_detectors(stream: DataFrame, quarantine: str, profile: Profile, stamp:
 
 def start_pipeline(stream: DataFrame, sinks: JobSinks, profile: Profile, stamp: Stamp, job: Job) -> StreamingQuery:
     """The full pipeline per micro-batch: keys already loaded are skipped, so replays add nothing."""
-    key = detect_id_column(profile.columns)
+    key = profile.key
 
-    def body(batch: DataFrame, batch_id: int) -> None:
+    def body(batch: DataFrame, run: str) -> None:
         spark = batch.sparkSession
         workspace = Workspace(spark, job.name, mode="memory")
         try:
@@ -124,7 +138,7 @@ def start_pipeline(stream: DataFrame, sinks: JobSinks, profile: Profile, stamp:
             records = result.quarantine.unionByName(
                 bad.select(F.lit(CORRUPT_RULE).alias("rule"), F.col("payload").alias("bad_value")),
                 allowMissingColumns=True)
-            sinks.quarantine(records, "batch_id", str(batch_id))
+            sinks.quarantine(workspace.hold(records, "records"), run, f"{stamp.run_ts:%Y-%m-%d}")
             sinks.load(result.clean)
             event = audits.audit_event(spark, "INSERT", sinks.name, "ETL_SUCCESS", stamp.source_file, stamp.run_ts)
         except Exception as error:

@@ -40,11 +40,16 @@ def test_enforce_bad_text_is_null_under_ansi(spark):
     assert schema.enforce(sales_rows(spark, {"Quantity": "abc"}), SALES).first()["Quantity"] is None
 
 
-def test_headers_and_keys():
-    assert schema.detect_id_column(["a", "ORDER_ID", "x_id"]) == "ORDER_ID"
-    assert schema.detect_id_column(["a", "x_Id"]) == "x_Id"
+def test_key_of_a_profile_is_in_its_contract():
+    assert SALES_BATCH.key == "Order_ID" and FINANCIALS_BATCH.key == "Row ID"
     with pytest.raises(ValueError):
-        schema.detect_id_column(["a"])
+        SALES_BATCH.with_options(key="order")
+
+
+def test_conflicts_of_a_large_domain(spark):
+    df = spark.createDataFrame([(k, f"v{(k * 7 + i) % 80}") for k in range(6) for i in range(1 + k % 2)] + [(1, "unknown"), (2, "unknown")], "k int, v string")
+    domain = tuple(f"v{i}" for i in range(80))
+    assert {r[0] for r in keyed.conflicting_keys(df, "k", "v", domain).collect()} == {1, 3, 5}
 
 
 def test_normalize_headers(spark):
@@ -102,7 +107,7 @@ def test_salted_joins_give_the_same_rows(spark):
     def rows(frame):
         return sorted(map(tuple, frame.collect()), key=str)
 
-    for salts in ({"salts": 5}, {"null_salts": 5}):
+    for salts in ({"salts": 5}, {"split_nulls": True}):
         assert rows(keyed.drop_listed(df, keys, "k", **salts)) == rows(keyed.drop_listed(df, keys, "k"))
     assert rows(keyed.keep_listed(df, keys, "k", salts=5)) == rows(keyed.keep_listed(df, keys, "k"))
     assert rows(keyed.flag_listed(df, keys, "k", "hit", 5)) == rows(keyed.flag_listed(df, keys, "k", "hit"))

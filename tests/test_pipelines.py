@@ -270,7 +270,7 @@ def test_database_sinks(spark, monkeypatch):
 
     monkeypatch.setattr(JdbcTarget, "write", record)
     monkeypatch.setattr(JdbcTarget, "read", lambda self, spark, table, **split: spark.createDataFrame(
-        [(1, "x")], "Order_ID int, other string"))
+        [(1, 7, "x")], "Order_ID int, `Row ID` bigint, other string"))
     good = [(str(i), "Ann", "West", "2024-01-05", "Bolt", "2", "5", "10", "Cash") for i in (1, 2)]
     dirty = [("9", "Bob", "Nrth", "2024-01-05", "Bolt", "2", "5", "10", "Cash")]
     sinks = JdbcSinks(JdbcTarget("jdbc:x:y"), "sales", NAMES)
@@ -278,7 +278,32 @@ def test_database_sinks(spark, monkeypatch):
     assert written["sales"] == ("append", 1) and written["audit_log"] == ("append", 1)
     assert written["dirty_invalid_region_2024_01_31"] == ("overwrite", 1)
     assert written["dirty_null_values_2024_01_31"] == ("overwrite", 0)
-    money = JdbcSinks(JdbcTarget("jdbc:x:y"), "financials", FINANCIALS.fieldNames(), rules=financials.RULES)
+    money = JdbcSinks(JdbcTarget("jdbc:x:y"), "financials", FINANCIALS.fieldNames())
     rows = spark.createDataFrame([financial_row(), financial_row(Country="Côte")], all_text(FINANCIALS))
     run_batch(spark, FINANCIALS_BATCH, rows, money, "2024-01-31", STAMP)
     assert written["financials"] == ("append", 1) and written["dirty_unknown_chars_2024_01_31"] == ("overwrite", 1)
+
+
+def test_records_of_an_unknown_rule_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(JdbcTarget, "write", lambda *args, **options: None)
+    records = spark.createDataFrame([("new_rule", "x", "h")], "rule string, issue string, row_hash string")
+    with pytest.raises(ValueError, match="new_rule"):
+        JdbcSinks(JdbcTarget("jdbc:x:y"), "sales", NAMES).quarantine(records, "2024-01-31", "2024-01-31")
+    with pytest.raises(Exception, match="no topic for rule new_rule"):
+        to_topics(records).collect()
+    assert {r["topic"] for r in to_topics(records.withColumn("rule", F.lit("dirty_dates"))).collect()} == {"dirty-dates"}
+
+
+def test_integers_beyond_doubles(spark):
+    ids = ["9007199254740993", "9223372036854775807", "9223372036854775808", "5.0", "1e3", "5.5", "$1,234"]
+    rows = spark.createDataFrame([financial_row(**{"Row ID": i}) for i in ids], all_text(FINANCIALS))
+    result = financials.run(rows, FINANCIALS_BATCH, STAMP, Workspace(spark, "t"))
+    assert sorted(r["Row ID"] for r in result.clean.collect()) == [5, 1000, 1234, 9007199254740993, 9223372036854775807]
+    assert sorted(r["Row ID"] for r in result.quarantine.collect()) == ["5.5", "9223372036854775808"]
+
+
+def test_financials_of_a_day_are_loaded_once(spark, tmp_path):
+    rows = spark.createDataFrame([financial_row(**{"Row ID": str(i)}) for i in range(5)], all_text(FINANCIALS))
+    for _ in range(2):
+        run_batch(spark, FINANCIALS_BATCH, rows, Sinks(str(tmp_path)), "2024-01-31", STAMP)
+    assert spark.read.parquet(f"{tmp_path}/target").count() == 5

@@ -3,9 +3,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from sievewright.contracts import CSV_NA_TOKENS, SALES, SALES_STREAM, all_text
+from sievewright.contracts import CSV_NA_TOKENS, SALES, SALES_BATCH, SALES_STREAM, all_text
 from sievewright.operators import audits
 from sievewright.operators.rules import Stamp
+from sievewright.plans.batch import run_batch
 from sievewright.sources import files, streams, tables
 from sievewright.sources.sinks import Sinks
 from sievewright.streaming import runner
@@ -65,8 +66,8 @@ def test_audit_failure_only_reports(spark):
 
 def test_quarantine_of_a_day_is_replaced(spark, tmp_path):
     path = f"{tmp_path}/q"
-    tables.write_quarantine(spark.createDataFrame([("a", 1), ("b", 2)], "rule string, n int"), path, "run_date", "2024-01-01")
-    tables.write_quarantine(spark.createDataFrame([("b", 3)], "rule string, n int"), path, "run_date", "2024-01-01")
+    tables.write_quarantine(spark.createDataFrame([("a", 1), ("b", 2)], "rule string, n int"), path, "2024-01-01")
+    tables.write_quarantine(spark.createDataFrame([("b", 3)], "rule string, n int"), path, "2024-01-01")
     assert [(r["rule"], r["n"]) for r in tables.read_quarantine(spark, path).collect()] == [("b", "3")]
 
 
@@ -75,7 +76,7 @@ def test_jdbc_options():
     assert db.read_options("t", key="id", lower=0, upper=9, partitions=4)["numPartitions"] == "4"
     with pytest.raises(ValueError):
         db.read_options("t", key="id")
-    assert db.write_options("t", SALES)["createTableColumnTypes"].startswith("`Order_ID` INTEGER, `Customer_Name` VARCHAR(1000)")
+    assert db.write_options("t", SALES)["createTableColumnTypes"].startswith("`Order_ID` INTEGER, `Customer_Name` TEXT")
 
 
 def test_kafka_options_and_envelope(spark):
@@ -129,7 +130,7 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
         job = runner.Job("raw", f"{tmp_path}/cp")
         runner.start_raw_sink(stream_of(spark, path), f"{tmp_path}/t", f"{tmp_path}/bad", job).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/t")
-    assert sorted((r["Order_ID"], r["batch_id"]) for r in got.collect()) == [("1", 0), ("2", 1)]
+    assert sorted((r["Order_ID"], r["run"].rsplit("-", 1)[1]) for r in got.collect()) == [("1", "0"), ("2", "1")]
 
 
 def test_detectors_fan_out(spark, tmp_path):
@@ -141,3 +142,29 @@ def test_detectors_fan_out(spark, tmp_path):
     found = {r["rule"] for r in tables.read_quarantine(spark, f"{tmp_path}/q").collect()}
     assert found == {"negative_values", "region_conflicts", "bigint_values", "typos", "id_changes", "string_changes",
                      "corrupt_json"}
+
+
+def test_unknown_columns_are_refused(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.append_aligned(spark.createDataFrame([(1, 2)], "a int, b int"), path)
+    with pytest.raises(ValueError, match="no column c"):
+        tables.append_aligned(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), path)
+
+
+def test_jobs_and_batch_share_one_root(spark, tmp_path):
+    """Two streams with checkpoints of their own, and a batch job: nobody replaces what another has written."""
+    sinks = Sinks(f"{tmp_path}/out")
+    for k in (1, 2):
+        folder = tmp_path / f"in{k}"
+        folder.mkdir()
+        (folder / "a.json").write_text(f'{{"Order_ID": "{k}", "Region": "Nowhere"}}\n')
+        stream = streams.decode(streams.json_lines_stream(spark, str(folder)), all_text(SALES))
+        runner.start_raw_sink(stream, f"{tmp_path}/raw", f"{tmp_path}/bad", runner.Job("raw", f"{tmp_path}/raw{k}")).awaitTermination()
+        runner.start_pipeline(stream, sinks, SALES_STREAM, STAMP, runner.Job("load", f"{tmp_path}/load{k}")).awaitTermination()
+    row = spark.createDataFrame([("3", None, "Nowhere", *[None] * 6)], all_text(SALES))
+    run_batch(spark, SALES_BATCH, row, sinks, "2024-01-31", STAMP)
+    assert sorted(r["Order_ID"] for r in spark.read.parquet(f"{tmp_path}/raw").collect()) == ["1", "2"]
+    found = tables.read_quarantine(spark, sinks.path("quarantine")).where("rule = 'invalid_region'").collect()
+    assert sorted(r["Order_ID"] for r in found) == ["1", "2", "3"] and len({r["run"] for r in found}) == 3
+    audit = spark.read.parquet(sinks.path("audit"))
+    assert audit.columns == list(tables.AUDIT_COLUMNS) and audit.count() == 3
