@@ -28,6 +28,7 @@ from sievewright.storage import Workspace
 
 ORDER = 5
 BLOCK_BYTES = 32 << 20
+SLICE_BYTES = 1 << 20
 _BITS = 9
 _STOP, _BEGIN = 256, 257  # the symbol after the last byte, and what stands before the first
 _GRAM, _WORD, _END = 0, 1, 2
@@ -94,14 +95,14 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(a, b - a)
             train = part.column("train").to_numpy(zero_copy_only=False)
             found[2] += int(train.sum())
-            for lo, hi, data, bounds in slices(part.column("text")):
+            for lo, hi, data, bounds in slices(part.column("text"), SLICE_BYTES):
                 data = _LOWER[data]
                 gram, at = grams(data, bounds)
                 found[0].append(_counted(gram, np.repeat(train[lo:hi], np.diff(at))))
                 word, row = _words(data, bounds)
                 found[1].append(_counted(word, train[lo:hi][row]))
             for i in (0, 1):
-                if sum(len(k) for k, _ in found[i]) > 8_000_000:
+                if sum(len(k) for k, _ in found[i]) > 1_500_000:
                     found[i] = [_merged(found[i])]
     if block is not None:
         yield from flush()
@@ -158,7 +159,7 @@ def _score(docs: pa.Table, items: pa.Table, tokens: int, words: int, ends: int)
     smooth = tokens + 0.5 * (words + 1)
     log = lambda c: np.log10((c + 0.5) / smooth)
     out = {k: np.zeros(docs.num_rows, dtype=kind) for k, kind in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float))}
-    for lo, hi, data, bounds in slices(docs.column("text")):
+    for lo, hi, data, bounds in slices(docs.column("text"), SLICE_BYTES):
         data = _LOWER[data]
         gram, at = grams(data, bounds)
         cost = bits[np.searchsorted(gram_keys, gram)]
