@@ -17,8 +17,8 @@ import pyarrow as pa
 from sievewright.llm.text import RangeHash, slices
 
 END = 2
-KEPT_PARTS = 2_500_000
-SLICE = 4 << 20
+KEPT_PARTS = 1_500_000
+SLICE = 1 << 20
 
 #: Bytes that start no blank character of Unicode. Some lead bytes are shared by blanks and other characters; a text
 #: is not cut before these.
