@@ -19,7 +19,6 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +27,11 @@ from sievewright.storage import Workspace
 
 ORDER = 5
 BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BITS = 9
 _STOP, _BEGIN = 256, 257  # the symbol after the last byte, and what stands before the first
-_GRAM, _WORD, _END = 0, 1, 2
+#: Grams, words and the count of ends share one key column: grams are below this number, word hashes are negative.
+_END = 1 << 62
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -55,7 +55,7 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, row = word_bounds(data, bounds)
-    return (RangeHash(data)(start, end).view(np.int64) if len(start) else start), row
+    return (RangeHash(data)(start, end).view(np.int64) | np.int64(-1 << 63) if len(start) else start), row
 
 
 def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,10 +79,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, found = None, [[], [], 0]
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for kind, (key, n) in ((_GRAM, _merged(found[0])), (_WORD, _merged(found[1])), (_END, (np.zeros(1, np.int64), np.array([found[2]])))):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), block, dtype=np.int32)), pa.array(np.full(len(key), kind, dtype=np.int8)), pa.array(key), pa.array(n)],
-                names=["block", "kind", "key", "n"])
+        for key, n in (_merged(found[0]), _merged(found[1]), (np.array([_END]), np.array([found[2]]))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block, dtype=np.int32)), pa.array(key), pa.array(n)], names=["block", "key", "n"])
 
     for batch in batches:
         blocks = batch.column("block").to_numpy()
@@ -102,7 +100,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 word, row = _words(data, bounds)
                 found[1].append(_counted(word, train[lo:hi][row]))
             for i in (0, 1):
-                if sum(len(k) for k, _ in found[i]) > 1_500_000:
+                if sum(len(k) for k, _ in found[i]) > 1_000_000:
                     found[i] = [_merged(found[i])]
     if block is not None:
         yield from flush()
@@ -149,13 +147,11 @@ def costs(totals: DataFrame, space: Workspace) -> DataFrame:
 
 def _score(docs: pa.Table, items: pa.Table, tokens: int, words: int, ends: int) -> pa.Table:
     """Scores of the documents of one block, from the values of its grams and words."""
-    def lookup(kind: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = items.filter(pa.compute.equal(items.column("kind"), kind))
-        key, value = rows.column("key").to_numpy(), rows.column("value").to_numpy()
-        order = np.argsort(key)
-        return key[order], value[order]
-
-    (gram_keys, bits), (word_keys, counts) = lookup(_GRAM), lookup(_WORD)
+    key, value = items.column("key").to_numpy(), items.column("value").to_numpy()
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    grams_from = np.searchsorted(key, 0)
+    (word_keys, gram_keys), (counts, bits) = (np.split(x, [grams_from]) for x in (key, value))
     smooth = tokens + 0.5 * (words + 1)
     log = lambda c: np.log10((c + 0.5) / smooth)
     out = {k: np.zeros(docs.num_rows, dtype=kind) for k, kind in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float))}
@@ -187,14 +183,14 @@ def score(docs: DataFrame, space: Workspace, block_bytes: int = BLOCK_BYTES) ->
     # By id and text, so that copies and shared ids spread.
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     together = dealt.repartition(blocks, "block").sortWithinPartitions("block")
-    items = space.hold(together.mapInArrow(_gather, "block int, kind tinyint, key bigint, n bigint"), "items")
-    totals = space.hold(items.groupBy("kind", "key").agg(F.sum("n").alias("n")), "totals")
-    known = totals.where((F.col("kind") != _GRAM) & (F.col("n") > 0)).agg(
-        F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("words"), F.sum(F.when(F.col("kind") == _END, F.col("n"))).alias("ends")).first()
+    items = space.hold(together.mapInArrow(_gather, "block int, key bigint, n bigint"), "items")
+    totals = space.hold(items.groupBy("key").agg(F.sum("n").alias("n")), "totals")
+    known = totals.where(((F.col("key") < 0) | (F.col("key") == _END)) & (F.col("n") > 0)).agg(
+        F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("words"), F.sum(F.when(F.col("key") == _END, F.col("n"))).alias("ends")).first()
     tokens, words, ends = (known[k] or 0 for k in ("tokens", "words", "ends"))
-    priced = costs(totals.where(F.col("kind") == _GRAM).select("key", "n"), space).withColumn("kind", F.lit(_GRAM).cast("tinyint"))
-    counted = totals.where(F.col("kind") == _WORD).select("key", F.col("n").cast("double").alias("value"), "kind")
-    values = items.where(F.col("kind") != _END).select("block", "kind", "key").join(priced.unionByName(counted), ["kind", "key"])
+    priced = costs(totals.where((F.col("key") >= 0) & (F.col("key") < _END)).select("key", "n"), space)
+    counted = totals.where("key < 0").select("key", F.col("n").cast("double").alias("value"))
+    values = items.where(F.col("key") != _END).select("block", "key").join(priced.unionByName(counted), "key")
     id_type = dict(docs.dtypes)["doc_id"]
     return dealt.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
         lambda left, right: _score(left, right, tokens, words, ends),
