@@ -1,4 +1,4 @@
-"""Give this package to the Python workers of a session."""
+"""Prepare a session for functions inside tasks: the package for the workers, the size of the batches they get."""
 
 from __future__ import annotations
 
@@ -10,11 +10,16 @@ from pyspark.sql import SparkSession
 
 import sievewright
 
+#: Bytes of one Arrow batch. Spark's own limit lets a batch of long texts take ten times as much, in the executor and again
+#: in the worker. A single longer row is a batch by itself.
+BATCH_BYTES = 4 << 20
+
 _done: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to all workers, once per application: functions inside tasks import it there."""
+    """Send the package to all workers, once per application: functions inside tasks import it there. Keep batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if spark.sparkContext.applicationId in _done:
         return
     root = os.path.dirname(os.path.abspath(sievewright.__file__))
