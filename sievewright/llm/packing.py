@@ -141,9 +141,12 @@ def pack(pieces: DataFrame, space: Workspace, capacity: int = CAPACITY) -> DataF
     """All columns of ``pieces``, ``sequence_id`` and ``offset``: the pieces of a sequence follow each other without
     gaps and have at most ``capacity`` tokens together. ``length`` (1 to ``capacity``, no null) is their size.
 
-    Equal rows get places of their own. Only the number of pieces of each length goes to the driver.
+    Equal rows get places of their own. Only the number of pieces of each length goes to the driver. The pieces are
+    written before they are numbered: in one task, the worker that encodes and the one that counts would both stay, and
+    each would come to hold an encoder.
     """
-    ranked, totals = numbered(pieces.withColumn("length", F.col("length").cast("bigint")), "length", "__rank", space, "pieces")
+    cut = space.hold(pieces.withColumn("length", F.col("length").cast("bigint")), "cut")
+    ranked, totals = numbered(cut, "length", "__rank", space, "pieces")
     runs = Plan({r["length"]: r["rows"] for r in totals.collect()}, capacity).table()
     return ranked.mapInArrow(partial(_place, runs=runs), widened(ranked, "sequence_id bigint, offset bigint")).drop("__rank")
 
