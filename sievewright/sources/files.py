@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import defaultdict
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +63,41 @@ def read_csv_folder(spark: SparkSession, folder: str, prefix: str, contract: Str
     return null_tokens_to_null(blanks_to_null(tagged), null_tokens)
 
 
+def csv_headers(spark: SparkSession, folder: str, prefix: str) -> dict[tuple[str, ...], list[str]]:
+    """The files that start with ``prefix``, by their header. Files without any line are left out.
+
+    One scan of the text keeps a line per file; only these go to the driver.
+    """
+    try:
+        lines = spark.read.text(prefix_glob(folder, prefix))
+    except Exception as error:
+        if not _nothing_found(error):
+            raise
+        return {}
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")).alias("path")
+    tops = lines.select(
+        path, "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    first = tops.where("block = 0 AND trim(value) <> ''").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    found = defaultdict(list)
+    for row in first.orderBy("path").collect():
+        found[tuple(next(csv.reader([row["header"].lstrip("\ufeff")])))].append(row["path"])
+    return dict(found)
+
+
+def read_csv_by_name(spark: SparkSession, folder: str, prefix: str, null_tokens: tuple[str, ...] = ()) -> DataFrame | None:
+    """All files that start with ``prefix``, united by column name whatever their column order; one scan per header.
+
+    Every column is text, blank as NULL; a column that some header lacks is an error. Adds ``source_file``. None if
+    there is no file with a header.
+    """
+    frames = []
+    for names, paths in csv_headers(spark, folder, prefix).items():
+        schema = StructType([StructField(n, StringType()) for n in names])
+        rows = spark.read.schema(schema).option("header", True).option("nullValue", "").option("enforceSchema", False).csv(paths)
+        frames.append(rows.select("*", _entry_name(prefix).alias(SOURCE_FILE)))
+    return null_tokens_to_null(blanks_to_null(union_by_name(frames)), null_tokens) if frames else None
+
+
 def read_csv_files(spark: SparkSession, paths: list[str], allow_missing: bool = False) -> DataFrame:
     """Files whose headers differ, united by column name; a missing column is an error unless allowed."""
     frames = [

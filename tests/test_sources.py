@@ -7,6 +7,7 @@ from sievewright.contracts import CSV_NA_TOKENS, SALES, SALES_BATCH, SALES_STREA
 from sievewright.operators import audits
 from sievewright.operators.rules import Stamp
 from sievewright.plans.batch import run_batch
+from sievewright.plans.ingest import run_for_date
 from sievewright.sources import files, streams, tables
 from sievewright.sources.sinks import Sinks
 from sievewright.streaming import runner
@@ -168,3 +169,21 @@ def test_jobs_and_batch_share_one_root(spark, tmp_path):
     assert sorted(r["Order_ID"] for r in found) == ["1", "2", "3"] and len({r["run"] for r in found}) == 3
     audit = spark.read.parquet(sinks.path("audit"))
     assert audit.columns == list(tables.AUDIT_COLUMNS) and audit.count() == 3
+
+
+def test_ingest_unites_column_orders_and_repeats_from_raw(spark, tmp_path):
+    inbox, raw, day = f"{tmp_path}/in", f"{tmp_path}/raw", "2024-01-31"
+    names = SALES.fieldNames()
+    with pytest.raises(ValueError):
+        run_for_date(spark, SALES_BATCH, inbox, "test_data", raw, Sinks(f"{tmp_path}/none"), day, STAMP)
+    for i, order in enumerate((names, names[::-1], names[3:] + names[:3])):
+        rows = sales_rows(spark, {"Order_ID": str(2 * i + 1)}, {"Order_ID": str(2 * i + 2), "Product": "a,b"})
+        files.write_csv(rows.select(*order), f"{inbox}/Test_Data {i}")
+    assert len(files.csv_headers(spark, inbox, "test_data")) == 3
+    ids = []
+    for name, again in (("first", False), ("again", True)):
+        sinks = Sinks(f"{tmp_path}/{name}")
+        counts = run_for_date(spark, SALES_BATCH, inbox, "test_data", raw, sinks, day, STAMP, force_from_raw=again)
+        assert counts["raw"] == 6
+        ids.append(sorted(r["Order_ID"] for r in spark.read.parquet(sinks.name).collect()))
+    assert ids[0] == ids[1] and ids[0]
