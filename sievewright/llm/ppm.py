@@ -140,7 +140,8 @@ def costs(totals: DataFrame, space: Workspace) -> DataFrame:
         plain = (
             F.when(F.col("total") == 0, shorter).when(seen, F.log2(room / F.col("c")))
             .otherwise(F.log2(room / F.col("kinds")) + F.col("after")))
-        below = level.select("key", "c", "total", "kinds", "after", plain.alias("plain"))
+        # What the next order asks of its shorter context; nothing asks the last.
+        below = level.select("key", *(["c", "total", "kinds", "after"] if order < ORDER else []), plain.alias("plain"))
         below = space.hold(below, f"order{order}")
     return below.select("key", F.col("plain").alias("value"))
 
