@@ -621,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
         "audit_string_changes": _with(RAW, string_changes("raw")),
         "json_decode": f"SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS INT) END AS k, CASE WHEN event_type = 'error' THEN {event} END AS _corrupt_record FROM events",
         "etl_batch_clean": _with(sales_stages(), "SELECT * FROM loaded"),
+        "etl_from_csv_folder": _with(sales_stages(), "SELECT * FROM s8"),
         "etl_batch_reject_rows": _with(sales_stages(reject="row"), "SELECT * FROM loaded"),
         "quarantine_all": _with(sales_stages(), sales_quarantine()),
         "quarantine_tables": _with(f"{sales_stages()}, dirty AS MATERIALIZED ({sales_quarantine()})", rule_records()),

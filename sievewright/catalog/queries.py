@@ -27,6 +27,7 @@ from sievewright.operators import audits, dedup, keyed, rules, schema
 from sievewright.operators.rules import Stamp
 from sievewright.plans import financials, sales
 from sievewright.plans.batch import run_batch
+from sievewright.plans.ingest import run_for_date
 from sievewright.sources import files, streams, tables
 from sievewright.sources.sinks import RULES, Sinks, rule_table, to_topics
 from sievewright.storage import Workspace
@@ -494,6 +495,21 @@ def etl_batch_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_run(spark, sf_dir, "etl_batch_reject_rows", SALES_BATCH.with_options(reject_by="row")).clean
 
 
+@query
+def etl_from_csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target after a folder of CSV files in three column orders was loaded, and then its landed day once more."""
+    ws = Workspace(spark, "etl_from_csv_folder")
+    rows = ws.hold(sales_raw(spark, sf_dir), "rows")
+    names = rows.columns
+    third = F.crc32(F.coalesce("Customer_Name", F.lit(""))) % 3
+    for k, order in enumerate((names, names[::-1], names[3:] + names[:3])):
+        files.write_csv(rows.where(third == k).select(*order), ws.path(f"inbox/Test_Data {k}"))
+    sinks = Sinks(ws.path("out"))
+    for again in (False, True):
+        run_for_date(spark, SALES_BATCH, ws.path("inbox"), "test_data", ws.path("raw"), sinks, RUN_DATE, SALES_STAMP, force_from_raw=again)
+    return spark.read.parquet(sinks.name)
+
+
 def _financials_run(spark: SparkSession, sf_dir: str, name: str) -> sales.PipelineResult:
     return financials.run(financials_raw(spark, sf_dir), FINANCIALS_BATCH, FINANCIALS_STAMP, Workspace(spark, name))
 
