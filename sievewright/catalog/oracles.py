@@ -516,6 +516,28 @@ def financial_quarantine() -> str:
     ])
 
 
+def financial_records() -> str:
+    """The record of each rule as its table words it: what it reports, where from, the business columns."""
+    def part(rule, src, *meta):
+        return f"SELECT {lit(rule)} AS rule, concat_ws('|', {', '.join([*meta, *map(q, FN)])}) AS record FROM ({src})"
+
+    def whole(rule, src, issue, flagged):
+        at = f"SELECT *, {lit(issue)} AS issue, {flagged} AS flagged, {FMETA}, {PROJECT}, {row_hash(FN)} AS row_hash FROM ({src})"
+        return f"SELECT DISTINCT * FROM ({part(rule, at, 'issue', 'flagged', 'source_file', 'project_name', 'row_hash')})"
+
+    shown_nulls = f"SELECT {each(FN, shown)} FROM f1 WHERE {either([f'{q(n)} IS NULL' for n in FN] + [null_token(q(n)) for n in FN])}"
+    lows = f"SELECT {cols(FN)} FROM f2 WHERE {either(f'{to_double(q(n))} < 0' for n in F_NUM)}"
+    return " UNION ALL ".join([
+        part("dirty_dates", dirty_dates("p"), "column_flagged", "bad_date_value", "issue", "source_file", "project_name"),
+        whole("null_values", shown_nulls, "Null values found", names_where((n, f"{q(n)} IS NULL") for n in FN)),
+        whole("negative_values", lows, "Negative values found", names_where((n, f"{to_double(q(n))} < 0") for n in F_NUM)),
+        part("numeric_strings", numeric_strings("f3"), "dirty_reason", "source_file"),
+        part("unknown_chars", chars_described("f4"), "issue", "column_flagged", "bad_value", "source_file"),
+        part("typos", doubtful("f5"), "dirty_reason", "column_flagged", "source_file"),
+        part("type_conversion", type_described("f6"), "column_flagged", "expected_type", "issue", "source_file"),
+    ])
+
+
 # --- the statements -----------------------------------------------------------------------------
 
 def _with(ctes: str, select: str) -> str:
@@ -631,6 +653,7 @@ def oracle_sql() -> dict[str, str]:
         "etl_financials_clean": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "etl_financials_repeat": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "quarantine_financials": _with(FINANCIAL_STAGES, financial_quarantine()),
+        "quarantine_tables_financials": _with(FINANCIAL_STAGES, financial_records()),
         "stream_json_source": _with(RAW, "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw"),
         "stream_raw_sink": _with(RAW, "SELECT * FROM raw"),
         "stream_two_jobs_raw": _with(RAW, "SELECT * FROM raw"),

@@ -29,7 +29,7 @@ from sievewright.plans import financials, sales
 from sievewright.plans.batch import run_batch
 from sievewright.plans.ingest import run_for_date
 from sievewright.sources import files, streams, tables
-from sievewright.sources.sinks import RULES, Sinks, rule_table, to_topics
+from sievewright.sources.sinks import FINANCIALS_RULES, RULES, Sinks, rule_table, to_topics
 from sievewright.storage import Workspace
 from sievewright.streaming import runner
 
@@ -468,10 +468,14 @@ def quarantine_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine table of every rule, each in its own layout, as one JSON record per row."""
     found = _sales_run(spark, sf_dir, "quarantine_tables").quarantine
+    return _rule_records(found, [r for r in RULES if r != "typos"], SALES.fieldNames())
+
+
+def _rule_records(found: DataFrame, listed: list[str], business: list[str]) -> DataFrame:
     out = None
-    for rule in (r for r in RULES if r != "typos"):
-        rows = rule_table(found, rule, SALES.fieldNames()).drop("logged_at")
-        shaped = rows.select(F.lit(rule).alias("rule"), F.concat_ws("|", *rows.columns).alias("record"))
+    for rule in listed:
+        rows = rule_table(found, rule, business).drop("logged_at")
+        shaped = rows.select(F.lit(rule).alias("rule"), F.concat_ws("|", *[F.col(f"`{c}`") for c in rows.columns]).alias("record"))
         out = shaped if out is None else out.unionByName(shaped)
     return out
 
@@ -534,6 +538,14 @@ def quarantine_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rule", "issue", "flagged", "row_hash")
 
 
+@query
+def quarantine_tables_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The financials' quarantine table of every rule, each in its own layout, as one text per row."""
+    ws = Workspace(spark, "quarantine_tables_financials")
+    found = financials.run(financials_raw(spark, sf_dir), FINANCIALS_BATCH, FINANCIALS_STAMP, ws).quarantine
+    return _rule_records(ws.hold(found, "records"), list(FINANCIALS_RULES), FINANCIALS.fieldNames())
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 def _sales_stream(spark: SparkSession, sf_dir: str, ws: Workspace) -> DataFrame:
@@ -626,5 +638,3 @@ def stream_two_jobs_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     return etl_batch_clean(spark, "/root/testdata/sf0.001")
-
-

@@ -86,7 +86,8 @@ def clean_rows(judged: DataFrame, profile: Profile) -> DataFrame:
 
 
 def quarantine_of(judged: DataFrame, dirty: DataFrame, profile: Profile, stamp: Stamp) -> DataFrame:
-    """All rules in one layout: rule, issue, flagged columns, metadata, record hash, business columns as text.
+    """All rules in one layout: rule, issue, flagged columns, bad values, expected types, metadata, record hash, business
+    columns as text.
 
     Settled dates serve the date rule as well: a text that no strict format reads has been kept.
     """
@@ -95,23 +96,30 @@ def quarantine_of(judged: DataFrame, dirty: DataFrame, profile: Profile, stamp:
     def rows_of(rule: str) -> DataFrame:
         return dirty.where(F.col("rule") == rule).select(*[backticked(n) for n in names])
 
-    def common(rule: str, found: DataFrame, issue: str = "issue", flagged: Column | None = None) -> DataFrame:
+    def text(c: Column | None) -> Column:
+        return (F.lit(None) if c is None else c).cast("string")
+
+    def common(rule: str, found: DataFrame, issue: str = "issue", flagged: Column | None = None,
+               bad_value: Column | None = None, expected_type: Column | None = None) -> DataFrame:
         return to_text(found.select(
             F.lit(rule).alias("rule"), F.col(issue).alias("issue"),
-            (F.lit(None) if flagged is None else flagged).cast("string").alias("flagged"),
+            text(flagged).alias("flagged"), text(bad_value).alias("bad_value"), text(expected_type).alias("expected_type"),
             "source_file", stamp.project(), "logged_at", row_hash(names).alias("row_hash"),
             *[backticked(n) for n in names],
         ))
 
     parts = [
-        common(DATES, rules.dirty_dates(judged, profile, stamp), flagged=F.col("column_flagged")),
+        common(DATES, rules.dirty_dates(judged, profile, stamp), flagged=F.col("column_flagged"),
+               bad_value=F.col("bad_date_value")),
         common(NULL, rules.nulls(rows_of(NULL), profile, stamp), flagged=F.concat_ws(",", "null_columns")),
         common(NEGATIVE, rules.nonpositive(rows_of(NEGATIVE), profile, stamp),
                flagged=F.concat_ws(",", "negative_columns")),
         common(NUMERIC_TEXT, rules.numeric_strings(rows_of(NUMERIC_TEXT), profile, stamp), "dirty_reason"),
-        common(CHARS, rules.special_chars_described(rows_of(CHARS), profile, stamp), flagged=F.col("column_flagged")),
+        common(CHARS, rules.special_chars_described(rows_of(CHARS), profile, stamp), flagged=F.col("column_flagged"),
+               bad_value=F.col("bad_value")),
         common(TYPO, rules.doubtful_text(rows_of(TYPO), profile, stamp), "dirty_reason", F.col("column_flagged")),
-        common(TYPE, rules.type_dirty_described(rows_of(TYPE), profile, stamp), flagged=F.col("column_flagged")),
+        common(TYPE, rules.type_dirty_described(rows_of(TYPE), profile, stamp), flagged=F.col("column_flagged"),
+               expected_type=F.col("expected_type")),
     ]
     out = parts[0]
     for part in parts[1:]:

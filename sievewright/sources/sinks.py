@@ -35,8 +35,19 @@ BEHIND = {
               ("source_file", "source_file"), ("logged_at", "logged_at")),
 }
 RULES = (*FRONT, *BEHIND)
-FINANCIALS_RULES = (
-    "dirty_dates", "null_values", "negative_values", "numeric_strings", "unknown_chars", "typos", "type_conversion")
+_ORIGIN = (("source_file", "source_file"), ("logged_at", "logged_at"))
+# The same for the financials.
+FINANCIALS_FRONT = {
+    "dirty_dates": (("column_flagged", "flagged"), ("bad_date_value", "bad_value"), ("issue", "issue"),
+                    ("source_file", "source_file"), ("project_name", "project_name"), ("logged_at", "logged_at")),
+    "null_values": FRONT["null_values"],
+    "negative_values": FRONT["negative_values"],
+    "numeric_strings": (("dirty_reason", "issue"), *_ORIGIN),
+    "unknown_chars": (("issue", "issue"), ("column_flagged", "flagged"), ("bad_value", "bad_value"), *_ORIGIN),
+    "typos": (("dirty_reason", "issue"), ("column_flagged", "flagged"), *_ORIGIN),
+    "type_conversion": (("column_flagged", "flagged"), ("expected_type", "expected_type"), ("issue", "issue"), *_ORIGIN),
+}
+FINANCIALS_RULES = tuple(FINANCIALS_FRONT)
 
 # The topic of each rule.
 TOPICS = {
@@ -57,6 +68,8 @@ def rule_table(records: DataFrame, rule: str, business: list[str]) -> DataFrame:
         return [F.col(source).alias(name) for name, source in pairs]
 
     rows = records.where(F.col("rule") == rule)
+    if set(business) == set(FINANCIALS.fieldNames()) and rule in FINANCIALS_FRONT:
+        return rows.select(*renamed(FINANCIALS_FRONT[rule]), *[backticked(n) for n in business])
     listed = FRONT.get(rule, BEHIND.get(rule))
     if listed is None or not {source for _, source in listed} <= set(records.columns):
         return rows.drop("rule")
