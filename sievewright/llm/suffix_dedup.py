@@ -64,11 +64,12 @@ def pieces(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int
     first = np.flatnonzero(new)
     end = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~new[1:], [False]])) + 1
     body = mixed(ranges(first, end + length - 1) ^ mark[first] + np.uint64(length) * (end - first).astype(np.uint64))
-    # A gram is the smallest of some string if it equals the largest mark of the strings that hold it.
+    # A gram is the smallest of some string if it equals the largest mark of the strings that hold it. The next string
+    # of a piece may hold the next standing just as it loses the last: these are ``width`` apart.
     ends = np.zeros(width - 1, dtype=np.uint64)
     largest = ~_smallest(~np.concatenate([ends, mark, ends]), width)
     chosen = np.flatnonzero(largest == h)
-    twice = chosen[:-1][(h[chosen[1:]] == h[chosen[:-1]]) & (np.diff(chosen) < width)]
+    twice = chosen[:-1][(h[chosen[1:]] == h[chosen[:-1]]) & (np.diff(chosen) <= width)]
     again = np.searchsorted(twice, end + width - 1) > np.searchsorted(twice, first)
     return row[first], first - bounds[row[first]], end - first, mark[first].view(np.int64), body.view(np.int64), again
 

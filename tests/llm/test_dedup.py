@@ -107,6 +107,18 @@ def test_suffix_dedup(shipped, space, hot, block):
     assert [got[i] for i, _ in rows] == plain_strings([t for _, t in rows], 100)
 
 
+@pytest.mark.parametrize("copied", [False, True])
+def test_suffix_dedup_of_repeated_units(shipped, space, copied):
+    """Units as long as a string has grams, and one byte shorter and longer: the smallest gram recurs at each of them."""
+    rng = np.random.default_rng(11)
+    units = ["".join(rng.choice(list("abcdefghij "), n)) for n in (80, 81, 82) for _ in range(8)]
+    rows = list(enumerate(unit * n for i, unit in enumerate(units) for n in [3 + i % 8]))
+    rows += [(100 + i, t) for i, t in rows] if copied else []
+    docs = shipped.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.dedup(docs, space).collect()}
+    assert [got[i] for i, _ in rows] == plain_strings([t for _, t in rows], 100)
+
+
 def test_suffix_dedup_of_odd_rows(shipped, space, odd, none):
     got = suffix_dedup.dedup(odd, space).collect()
     assert len(got) == odd.count()
