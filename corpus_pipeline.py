@@ -45,7 +45,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of the documents and their places in sequences of at most 1024 tokens."""
     ship(spark)
-    return packing.pack(packing.pieces(docs, TOKENIZER), Workspace(spark, "pipeline-packing"))
+    return packing.pack(packing.pieces(docs, TOKENIZER, added=True), Workspace(spark, "pipeline-packing"))
 
 
 STAGES = [

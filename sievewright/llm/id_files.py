@@ -108,11 +108,11 @@ class Decoder:
         return out.T.ravel()[:n]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, added: bool) -> Iterator[pa.RecordBatch]:
     part, before = TaskContext.get().partitionId(), 0
-    kind = "<u2" if encoder(path).size <= 1 << 16 else "<u4"
+    kind = "<u2" if encoder(path, added).size <= 1 << 16 else "<u4"
     for batch in batches:
-        for lo, hi, ids, bounds in documents(batch, path):
+        for lo, hi, ids, bounds in documents(batch, path, added=added):
             n = hi - lo
             raw = ids.astype(kind)
             at = bounds * raw.itemsize
@@ -166,9 +166,10 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], bits: np.ndarray, offsets: dic
         )
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace) -> None:
+def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace, added: bool = False) -> None:
     """Encode every text of ``doc_id, text`` (null: empty), append id 2, and write the ids below ``path`` in ascending
     ``doc_id`` order. Null ids come first; documents that share an id follow each other, each as one of its own.
+    ``added``: see ``tokens``.
 
     The texts are shuffled once, by ranges of ids; their ids are held, counted and then coded. Only the counts of the
     vocabulary and one number per part go to the driver.
@@ -178,7 +179,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace) -> None:
     ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     id_type = dict(docs.dtypes)["doc_id"]
     held = space.hold(ranged.mapInArrow(
-        partial(_encode, path=tokenizer), f"doc_id {id_type}, part int, first bigint, n_tokens bigint, ids binary"), "ids")
+        partial(_encode, path=tokenizer, added=added), f"doc_id {id_type}, part int, first bigint, n_tokens bigint, ids binary"), "ids")
     found = held.select("n_tokens", "ids").mapInArrow(_histogram, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([0, *(r["id"] + 1 for r in found)]), dtype=np.int64)
     for r in found:

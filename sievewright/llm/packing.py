@@ -151,9 +151,9 @@ def pack(pieces: DataFrame, space: Workspace, capacity: int = CAPACITY) -> DataF
     return ranked.mapInArrow(partial(_place, runs=runs), widened(ranked, "sequence_id bigint, offset bigint")).drop("__rank")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, keep_ids: bool, added: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, ids, bounds in documents(batch, path):
+        for lo, hi, ids, bounds in documents(batch, path, added=added):
             size = np.diff(bounds)
             pieces = -(-size // capacity)
             row = np.repeat(np.arange(hi - lo), pieces)
@@ -172,11 +172,11 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, keep_ids:
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """The token ids of whole texts (null: empty) with id 2 at the end, cut where they exceed ``capacity``."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False, added: bool = False) -> DataFrame:
+    """The token ids of whole texts (null: empty) with id 2 at the end, cut where they exceed ``capacity``. ``added``: see ``tokens``."""
     id_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
-    cut = partial(_cut, path=tokenizer, capacity=capacity, keep_ids=keep_ids)
+    cut = partial(_cut, path=tokenizer, capacity=capacity, keep_ids=keep_ids, added=added)
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 

@@ -43,7 +43,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 @register("op1_id_files")
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, "id-files")
-    id_files.write(table(spark, sf_dir, "documents"), TOKENIZER, space.path("files"), space)
+    id_files.write(table(spark, sf_dir, "documents"), TOKENIZER, space.path("files"), space, added=True)
     return id_files.digests(spark, space.path("files"))
 
 
@@ -54,7 +54,7 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER), Workspace(spark, "packing"))
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER, added=True), Workspace(spark, "packing"))
 
 
 @register("op4_decontamination", decontamination.SQL)

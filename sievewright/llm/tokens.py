@@ -4,6 +4,10 @@ Byte-level BPE never merges across the border between any character and a space
 may be cut there and the parts be encoded by themselves: the ids are those of the whole text. Every part that a worker
 has met is encoded by the library once and then known by its 64-bit hash, up to a fixed number of parts. (With the
 largest number of parts known, the chance that a new one shares a hash with any of them is about 1 in 10**13.)
+
+With ``added`` the literal content of an added token in a text becomes that token's id, as the library does it unless
+told otherwise; without it the content of special tokens is spelled out. Cutting does not hold beside such a token, so
+a text that contains one goes through the library whole.
 """
 
 from __future__ import annotations
@@ -29,12 +33,15 @@ _SOLID[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] =
 class Encoder:
     """Ids of texts; ``path`` names the file of a byte-level BPE tokenizer without normalizer or added prefix space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        #: What the library looks for in a text before anything else.
+        self.literals = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values() if added or not x.special]
+        self.joins = not any(b" " in x for x in self.literals)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max([END, *vocabulary.values()]) + 1
         self.spaced = np.zeros(self.size, dtype=bool)
@@ -54,7 +61,7 @@ class Encoder:
     def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all ``parts`` in one array, in an order of its own; each part's first place there and number of ids.
         Parts whose only space is in front are encoded in lines of 100: a new one starts where an id has a space."""
-        simple = [x[0] == " " and " " not in x[1:] for x in parts]
+        simple = [self.joins and x[0] == " " and " " not in x[1:] for x in parts]
         lined, alone = ([i for i, s in enumerate(simple) if s == kind] for kind in (True, False))
         found, n = [np.zeros(0, dtype=np.uint32)], np.zeros(len(parts), dtype=np.int64)
         lines = [lined[i:i + 100] for i in range(0, len(lined), 100)]
@@ -94,6 +101,31 @@ class Encoder:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice of texts and the bounds of each text's ids."""
+        rows = self._literal(data, bounds)
+        if not len(rows):
+            return self._encode_cut(data, bounds)
+        raw, size = data.tobytes(), np.diff(bounds)
+        found = self.whole([raw[bounds[i]:bounds[i + 1]].decode() for i in rows.tolist()])
+        size[rows] = 0
+        left = np.ones(len(size), dtype=bool)
+        left[rows] = False
+        ids, edges = self._encode_cut(data[np.repeat(left, np.diff(bounds))], np.concatenate([[0], np.cumsum(size)]))
+        many, n = np.array([len(x) for x in found]), np.diff(edges)
+        n[rows] = many
+        return np.insert(ids, np.repeat(edges[rows], many), np.concatenate(found)), np.concatenate([[0], np.cumsum(n)])
+
+    def _literal(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The texts that contain an added token; a few more may be among them."""
+        raw, at = data.tobytes() if self.literals else b"", []
+        for literal in self.literals:
+            place = raw.find(literal)
+            while place >= 0:
+                row = int(np.searchsorted(bounds, place, side="right")) - 1
+                at.append(row)
+                place = raw.find(literal, int(bounds[row + 1]))
+        return np.unique(np.array(at, dtype=np.int64))
+
+    def _encode_cut(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(bounds), dtype=np.int64)
         if sum(len(x[0]) for x in self.known) > KEPT_PARTS:
@@ -117,19 +149,19 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[np.searchsorted(start, bounds)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's own encoder, kept while the worker lives."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
-def documents(batch: pa.RecordBatch, path: str, text: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def documents(batch: pa.RecordBatch, path: str, text: str = "text", added: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of a batch: first row, row after the last, their ids with the end id after each, bounds."""
-    coder = encoder(path)
+    coder = encoder(path, added)
     for lo, hi, data, bounds in slices(batch.column(text), SLICE):
         ids, edges = coder.encode(data, bounds)
         yield lo, hi, np.insert(ids, edges[1:], np.uint32(END)), edges + np.arange(len(edges))

@@ -183,3 +183,52 @@ def test_packing(space, odd, plain):
 
 def test_packing_of_no_documents(space, none, plain):
     check_packing(none, space, plain, 64)
+
+
+#: Literal added tokens: alone, beside blanks and letters, repeated, nearly, across the border of two texts.
+LITERAL = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> b c", " <|endoftext|><|endoftext|>  d", "one <|endoftext|", "two <|endo", "ftext|> three",
+           "plain words only", "", None, "é <|endoftext|>\n 中文 " * 50]
+
+
+@pytest.fixture(scope="module")
+def untouched():
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, END]
+
+
+def test_literal_added_tokens_give_the_ids_of_the_library(untouched):
+    assert untouched("a<|endoftext|>b") == [64, 50256, 65, END]
+    column = pa.array(ODD + LITERAL + ODD[::-1] + LITERAL[::-1])
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    got = [ids[a:b] for _, _, ids, bounds in documents(batch, queries.TOKENIZER, added=True) for a, b in zip(bounds, bounds[1:])]
+    assert [x.tolist() for x in got] == [untouched(t) for t in column.to_pylist()]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([" ", "a", "é ", "<|endoftext|>", "<|endo", "ftext|>", "\n"]), max_size=8).map("".join), min_size=1, max_size=8))
+def test_random_texts_with_added_tokens(untouched, texts):
+    from sievewright.llm.text import slices
+    from sievewright.llm.tokens import encoder
+
+    got = []
+    for _, _, data, bounds in slices(pa.array(texts), 64):
+        ids, at = encoder(queries.TOKENIZER, True).encode(data, bounds)
+        got += [[*ids[a:b].tolist(), END] for a, b in zip(at, at[1:])]
+    assert got == [untouched(t) for t in texts]
+
+
+def test_registered_queries_give_the_ids_of_the_library(shipped, untouched, tmp_path):
+    import corpus_pipeline
+
+    rows = list(enumerate(LITERAL))
+    shipped.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    crc = lambda ids: zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    expected, start = [], 0
+    for i, t in rows:
+        expected.append((i, start, len(untouched(t)), crc(untouched(t))))
+        start += len(untouched(t))
+    got = queries.REGISTRY["op1_id_files"](shipped, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == expected
+    docs = shipped.read.parquet(f"{tmp_path}/documents.parquet")
+    for packed in (queries.REGISTRY["op3_best_fit_packing"](shipped, str(tmp_path)), corpus_pipeline.packed(shipped, docs, str(tmp_path))):
+        assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in packed.collect()) == [(i, n, c) for i, _, n, c in expected]
