@@ -31,10 +31,12 @@ def words(text: str = "text") -> F.Column:
 
 
 def item_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """``window`` (array of words) and ``items`` (its item ids as text) of all different windows."""
-    of_items = benchmark.select(F.col("item_id").cast("string").alias("item"), words().alias("w")).where("size(w) > 0 and item is not null")
+    """``window`` (array of words) and ``items`` (its item ids as text) of all different windows; ``unnamed``: whether an
+    item without id has it too."""
+    of_items = benchmark.select(F.col("item_id").cast("string").alias("item"), words().alias("w")).where("size(w) > 0")
     slices = F.expr(f"transform(sequence(0, greatest(size(w) - {size}, 0)), i -> slice(w, i + 1, {size}))")
-    return of_items.select("item", F.explode(slices).alias("window")).groupBy("window").agg(F.collect_set("item").alias("items"))
+    return of_items.select("item", F.explode(slices).alias("window")).groupBy("window").agg(
+        F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("unnamed"))
 
 
 def _parts(small: DataFrame, key: str) -> Iterator[DataFrame]:
@@ -66,7 +68,8 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
     """``doc_id, __copy, n_words, n_hit, n_items, items_sha256, contaminated`` of every document.
 
     A text of nulls or without words has no hits and is clean; so is everything if no item has words. Equal windows
-    of several items count for each of them. A benchmark too large to broadcast is joined in parts.
+    of several items count for each of them. Items without id count as any other for ``n_hit`` and ``contaminated``, all
+    together as one in ``n_items``, and are left out of ``items_sha256``. A benchmark too large to broadcast is joined in parts.
     """
     windows = space.hold(item_windows(benchmark, size).withColumn("id", F.xxhash64("window")), "windows")
     # The outer forms: for the plain ones Spark filters on the size of the words first and so computes them twice.
@@ -86,14 +89,15 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
         .select(*KEY, F.size("words").cast("bigint").alias("n_words"), there.alias("found")), "base")
     hits = _union(
         base.select(*KEY, F.explode("found").alias("x")).select(*KEY, "x.start", "x.len", F.col("x.window").alias("window"))
-        .join(part.select("window", "items"), "window") for part in _parts(windows, "id"))
+        .join(part.select("window", "items", "unnamed"), "window") for part in _parts(windows, "id"))
     spans = F.sort_array(F.collect_set(F.struct("start", "len")))
-    found = hits.groupBy(*KEY).agg(spans.alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    found = hits.groupBy(*KEY).agg(spans.alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.max("unnamed").alias("unnamed"))
     covered = F.expr("""aggregate(spans, named_struct('n', 0L, 'end', 0L), (a, s) -> named_struct(
         'n', a.n + greatest(s.start + s.len - greatest(a.end, s.start), 0L), 'end', greatest(a.end, cast(s.start + s.len as bigint))), a -> a.n)""")
     items = F.coalesce("items", F.array().cast("array<string>"))
+    n_items = F.size(items) + F.coalesce("unnamed", F.lit(False)).cast("int")
     return base.drop("found").join(found, KEY, "left").select(
-        *KEY, "n_words", F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        *KEY, "n_words", F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_hit"), n_items.cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.sort_array(items), ","), 256).alias("items_sha256"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 

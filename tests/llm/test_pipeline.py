@@ -69,6 +69,24 @@ def test_stages(shipped, space):
     assert [c for c in corpus_pipeline.run(shipped, SF).columns] == found["best_fit_packing"].columns
 
 
+def test_benchmark_items_without_id(shipped, tmp_path):
+    """As the SQL has it: their words count, their ids do not; the pipeline drops what holds only such passages."""
+    word = lambda k, n: " ".join(f"{k}{chr(97 + i)}" for i in range(n))
+    benchmark = [(None, word("p", 15)), (None, word("q", 13)), (7, word("r", 14)), (8, word("q", 13)), (None, word("s", 3)), (9, None), (None, "")]
+    texts = [word("p", 15), word("x", 5) + " " + word("p", 13), word("q", 13), word("p", 14) + " " + word("q", 13) + " " + word("r", 14),
+             word("r", 14), word("s", 3) + " " + word("y", 90), word("z", 20), None]
+    shipped.createDataFrame(benchmark, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    shipped.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = sorted(connection.execute(queries.ORACLES["op4_decontamination"]).fetchall())
+    assert [r[2] > 0 for r in expected] == [True] * 6 + [False] * 2
+    assert sorted(tuple(r) for r in queries.REGISTRY["op4_decontamination"](shipped, str(tmp_path)).collect()) == expected
+    docs = shipped.read.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.without_benchmark(shipped, docs, str(tmp_path)).collect()) == [r[0] for r in expected if not r[5]]
+
+
 def test_stages_on_odd_rows(shipped, space, odd, none, tmp_path):
     folder = str(tmp_path)
     shipped.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
