@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.labelled import sample
-from sievewright.llm.text import RangeHash, add_columns, mixed, remainder, slices, widened, word_bounds
+from sievewright.llm.text import add_columns, mixed, range_keys, remainder, slices, widened, word_bounds
 
 BITS = 18
 SCALE = 6.0
@@ -35,7 +35,7 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = np.bincount(row, minlength=len(bounds) - 1)
     if not len(start):
         return row, row, n
-    word = RangeHash(data)(start, end)
+    word = mixed(range_keys(data, start, end).view(np.uint64))
     after = np.zeros(len(row), dtype=bool)
     after[1:] = row[1:] == row[:-1]
     last = np.concatenate([word[:1] * np.uint64(0), word[:-1]])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.text import RangeHash, remainder, slices, word_bounds
+from sievewright.llm.text import range_keys, remainder, slices, word_bounds
 from sievewright.storage import Workspace
 
 ORDER = 5
@@ -55,7 +55,7 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, row = word_bounds(data, bounds)
-    return (RangeHash(data)(start, end).view(np.int64) | np.int64(-1 << 63) if len(start) else start), row
+    return range_keys(data, start, end) | np.int64(-1 << 63), row
 
 
 def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +175,8 @@ def score(docs: DataFrame, space: Workspace, block_bytes: int = BLOCK_BYTES) ->
     """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``doc_id, text, train``.
 
     Texts are lower-cased (A-Z) and scored whole; null counts as empty, which still has its end. ``score`` is the log10
-    probability of all bytes and the stop. ``base_score`` is that of a word-count model, whose words are compared by 64-bit
-    hashes. Without training documents all symbols are equally likely. Rows may share ids, ids may be null.
+    probability of all bytes and the stop. ``base_score`` is that of a word-count model. Its words are compared by keys: exact ones
+    up to seven bytes, 62-bit hashes above. Without training documents all symbols are equally likely. Rows may share ids, ids may be null.
     """
     own = docs.select("doc_id", "text", "train")
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0

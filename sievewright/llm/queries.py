@@ -8,7 +8,10 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import classifier, decontamination, id_files, line_dedup, packing, ppm, quality_rules, sharding, simhash, suffix_dedup
+from sievewright.llm import (
+    byte_bpe, classifier, decontamination, hard_negatives, id_files, lexical_search, line_dedup, packing, ppm, quality_rules, sharding, simhash,
+    suffix_dedup,
+)
 from sievewright.llm.shipping import ship
 from sievewright.storage import Workspace
 
@@ -38,6 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: The tokenizer of the queries; the operators take any path.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @register("op1_id_files")
@@ -91,3 +95,19 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_quality_rules")
 def learned_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_lexical_search", lexical_search.SQL)
+def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical_search.search(documents, benchmark, Workspace(spark, "lexical-search"))
+
+
+@register("op12_hard_negatives", hard_negatives.SQL)
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(table(spark, sf_dir, "embeddings"), Workspace(spark, "hard-negatives"))
+
+
+@register("op13_byte_bpe")
+def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, Workspace(spark, "byte-bpe"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -55,16 +56,23 @@ def _power(n: int, name: str, base: int) -> np.ndarray:
 
 
 class RangeHash:
-    """64-bit hashes of any ranges of a byte array: equal bytes have equal hashes wherever they stand."""
+    """64-bit hashes of any ranges of at least eight bytes: equal bytes have equal hashes wherever they stand.
+
+    The symbols of the polynomial are mixed windows of eight bytes. Over the bytes themselves, a polynomial modulo a
+    power of two is zero for some regular differences whatever its base, as between a Thue-Morse word and its complement.
+    """
+
+    WINDOW = 8
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
+        symbols = mixed(eight_bytes(data)[:max(0, len(data) - self.WINDOW + 1)])
+        n = len(symbols)
         self._sum = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(n, "up", _RADIX), out=self._sum[1:])
+        np.cumsum(symbols * _power(n, "up", _RADIX), out=self._sum[1:])
         self._back = _power(n + 1, "down", pow(_RADIX, -1, 1 << 64))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self._sum[end] - self._sum[start]) * self._back[start])
+        return mixed((self._sum[end - (self.WINDOW - 1)] - self._sum[start]) * self._back[start])
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -74,14 +82,62 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word: maximal runs without space and control characters 9 to 13, within a row."""
-    ink = ~_BLANK[data]
-    before = np.zeros(len(data), dtype=bool)
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position, and from the end, as a little-endian number; zeros follow the end. A view."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+_FRONT = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+_LONG_KEY = 1 << 62
+_DIGESTED = 64
+
+
+def range_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number from 0 to 2**63 - 1 for each range of bytes. Up to seven bytes it holds the bytes and their count, so it belongs
+    to them alone. Longer ranges get a hash of 62 bits, mixed anew for every eight bytes, or of their digest above 64."""
+    view, n = eight_bytes(data), end - start
+    out = (view[start] & _FRONT[np.minimum(n, 7)]) | (n.astype(np.uint64) << np.uint64(56))
+    long = np.flatnonzero(n > 7)
+    if len(long):
+        at, left = start[long], n[long]
+        h = mixed(left.astype(np.uint64) * np.uint64(_RADIX))
+        alive = np.flatnonzero(left <= _DIGESTED)
+        while len(alive):
+            word = view[at[alive]] & _FRONT[np.minimum(left[alive], 8)]
+            h[alive] = mixed((h[alive] ^ word) * np.uint64(_RADIX) + np.uint64(1))
+            at[alive] += 8
+            left[alive] -= 8
+            alive = alive[left[alive] > 0]
+        for i in np.flatnonzero(n[long] > _DIGESTED).tolist():
+            h[i] = int.from_bytes(blake2b(data[start[long[i]]:end[long[i]]].tobytes(), digest_size=8).digest(), "little")
+        out[long] = (h >> np.uint64(2)) | np.uint64(_LONG_KEY)
+    return out.view(np.int64)
+
+
+def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, from_: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Whether each range of ``data`` has the bytes of its range of ``other``."""
+    out = end - start == to - from_
+    mine, theirs = eight_bytes(data), eight_bytes(other)
+    n = end - start
+    for i in np.flatnonzero(out & (n > 8 * _DIGESTED)).tolist():
+        out[i] = np.array_equal(data[start[i]:end[i]], other[from_[i]:to[i]])
+    alive, done = np.flatnonzero(out & (n <= 8 * _DIGESTED)), 0
+    while len(alive):
+        differ = (mine[start[alive] + done] ^ theirs[from_[alive] + done]) & _FRONT[np.minimum(n[alive] - done, 8)]
+        out[alive[differ != 0]] = False
+        done += 8
+        alive = alive[(differ == 0) & (n[alive] > done)]
+    return out
+
+
+def runs_of(ink: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each maximal run where ``ink`` holds, within a row."""
+    before = np.zeros(len(ink), dtype=bool)
     before[1:] = ink[:-1]
     first = bounds[:-1]
-    before[first[first < len(data)]] = False
-    after = np.zeros(len(data), dtype=bool)
+    before[first[first < len(ink)]] = False
+    after = np.zeros(len(ink), dtype=bool)
     after[:-1] = ink[1:]
     last = bounds[1:]
     after[last[last > 0] - 1] = False
@@ -89,6 +145,11 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(bounds, start, side="right") - 1
 
 
+def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word: maximal runs without space and control characters 9 to 13, within a row."""
+    return runs_of(~_BLANK[data], bounds)
+
+
 def widened(df: DataFrame, fields: str) -> T.StructType:
     """The schema of ``df`` and further fields after it."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(fields).fields])
