@@ -3,7 +3,8 @@
 Layout of a file set, two folders of Parquet files, so that Spark commits them whole and any executor can read any block:
 
 * ``codebook``: ``id, bits``, the code length of each id that occurs. Codes are canonical: by length, then by id.
-* ``blocks``: one row per block, in ascending document order by ``start`` (ids before the block). A block holds whole documents
+* ``blocks``: one row per block, in ascending document order by ``start`` (ids before the block), through the files by name and within
+  each. A block holds whole documents
   and decodes by itself: ``doc_ids``, ``counts`` (ids of each), ``payload`` (codes, highest bit first) and ``steps``
   (bits of each run of 128 ids, 16 bits each: their running sums are the bit offsets where decoding can start).
 
@@ -28,6 +29,8 @@ from sievewright.storage import Workspace
 LONGEST = 20
 RUN = 128
 BLOCK_IDS = 1 << 18
+FILE_BLOCKS = 16
+MOST_FILES = 20_000
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -143,13 +146,13 @@ def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "n"])
 
 
-def _to_blocks(batches: Iterator[pa.RecordBatch], bits: np.ndarray, offsets: dict[int, int]) -> Iterator[pa.RecordBatch]:
+def _to_blocks(batches: Iterator[pa.RecordBatch], bits: np.ndarray, offsets: dict[int, int], size: int) -> Iterator[pa.RecordBatch]:
     codes = canonical(bits)
     for batch in batches:
         counts, part = batch.column("n_tokens").to_numpy(), batch.column("part").to_numpy()
         first = batch.column("first").to_numpy()
         # A block ends with its part, or with the document that brings it to its size.
-        group = np.cumsum(counts) // BLOCK_IDS
+        group = np.cumsum(counts) // size
         cut = np.flatnonzero((np.diff(part) != 0) | (np.diff(group) != 0) | (np.diff(first) != counts[:-1])) + 1
         edges = [0, *cut.tolist(), len(batch)] if len(batch) else [0]
         rows = []
@@ -166,13 +169,13 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], bits: np.ndarray, offsets: dic
         )
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace, added: bool = False) -> None:
+def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace, added: bool = False, block_ids: int = BLOCK_IDS) -> None:
     """Encode every text of ``doc_id, text`` (null: empty), append id 2, and write the ids below ``path`` in ascending
     ``doc_id`` order. Null ids come first; documents that share an id follow each other, each as one of its own.
     ``added``: see ``tokens``.
 
-    The texts are shuffled once, by ranges of ids; their ids are held, counted and then coded. Only the counts of the
-    vocabulary and one number per part go to the driver.
+    The texts are shuffled once, by ranges of ids; their ids are held, counted and then coded, and the coded blocks go to
+    their files. Only the counts of the vocabulary and one number per part go to the driver.
     """
     placed = docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("__row")]
@@ -189,8 +192,12 @@ def write(docs: DataFrame, tokenizer: str, path: str, space: Workspace, added: b
     for r in held.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
         offsets[r["part"]], total = total, total + r["n"]
     blocks = held.mapInArrow(
-        partial(_to_blocks, bits=bits, offsets=offsets),
+        partial(_to_blocks, bits=bits, offsets=offsets, size=block_ids),
         f"start bigint, doc_ids array<{id_type}>, counts array<bigint>, payload binary, steps binary")
+    # Into files by ranges of the first id, whose border numbers are known: no sampling, and each file in order.
+    files = min(MOST_FILES, max(1, -(-total // (FILE_BLOCKS * block_ids))))
+    file = F.floor(F.col("start") / F.lit(max(1, -(-total // files)))).cast("int")
+    blocks = blocks.repartitionById(files, file).sortWithinPartitions("start")
     used = np.flatnonzero(bits)
     spark = docs.sparkSession
     spark.createDataFrame([(int(i), int(bits[i])) for i in used], "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")

@@ -2,8 +2,9 @@
 
 Byte-level BPE never merges across the border between any character and a space that a non-blank follows, so a text
 may be cut there and the parts be encoded by themselves: the ids are those of the whole text. Every part that a worker
-has met is encoded by the library once and then known by its 64-bit hash, up to a fixed number of parts. (With the
-largest number of parts known, the chance that a new one shares a hash with any of them is about 1 in 10**13.)
+has met is encoded by the library once and then known by its key, up to a fixed number of parts. Keys of parts of up to
+seven bytes are exact; longer parts are compared byte by byte with the part that has their key, and a text with a part
+whose key belongs to another goes through the library whole.
 
 With ``added`` the literal content of an added token in a text becomes that token's id, as the library does it unless
 told otherwise; without it the content of special tokens is spelled out. Cutting does not hold beside such a token, so
@@ -18,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from sievewright.llm.text import RangeHash, slices
+from sievewright.llm.text import range_keys, same_bytes, slices
 
 END = 2
 KEPT_PARTS = 1_500_000
+EXACT = 7  # bytes of a part that its key holds themselves
 SLICE = 1 << 20
 
 #: Bytes that start no blank character of Unicode. Some lead bytes are shared by blanks and other characters; a text
@@ -49,10 +51,11 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        #: Sorted hashes, first place in the pool, number of ids. Small tables are merged into larger ones as they grow.
-        self.known: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.pool = np.zeros(0, dtype=np.uint32)
-        self.filled = 0
+        #: Sorted keys, first place in the pool, number of ids, first place among the bytes, number of bytes. Small tables are
+        #: merged into larger ones as they grow.
+        self.known: list[tuple[np.ndarray, ...]] = []
+        self.pool, self.filled = np.zeros(0, dtype=np.uint32), 0
+        self.bytes, self.written = np.zeros(0, dtype=np.uint8), 0
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -77,22 +80,30 @@ class Encoder:
         first[order] = np.cumsum(n[order]) - n[order]
         return np.concatenate(found), first, n
 
-    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First place in the pool (-1: not known) and number of ids of each hash."""
-        at, n = np.full(len(h), -1, dtype=np.int64), np.zeros(len(h), dtype=np.int64)
-        for hashes, first, many in self.known:
-            i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[i] == h
-            at[hit], n[hit] = first[i[hit]], many[i[hit]]
-        return at, n
-
-    def _learn(self, h: np.ndarray, ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
-        """``h`` is sorted and not known."""
-        if self.filled + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool[:self.filled], np.zeros(max(len(ids), self.filled // 2, 1 << 20), dtype=np.uint32)])
-        self.pool[self.filled:self.filled + len(ids)] = ids
-        self.known.append((h, self.filled + first, n.astype(np.int32)))
-        self.filled += len(ids)
+    def _find(self, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """First place in the pool (-1: not known) and number of ids of each key, and the same of its part's bytes."""
+        out = tuple(np.full(len(key), fill, dtype=np.int64) for fill in (-1, 0, 0, 0))
+        for keys, *values in self.known:
+            i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[i] == key
+            for have, value in zip(out, values):
+                have[hit] = value[i[hit]]
+        return out
+
+    @staticmethod
+    def _kept(pool: np.ndarray, filled: int, more: np.ndarray) -> np.ndarray:
+        if filled + len(more) > len(pool):
+            pool = np.concatenate([pool[:filled], np.zeros(max(len(more), filled // 2, 1 << 20), dtype=pool.dtype)])
+        pool[filled:filled + len(more)] = more
+        return pool
+
+    def _learn(self, key: np.ndarray, ids: np.ndarray, first: np.ndarray, n: np.ndarray, parts: list[bytes]) -> None:
+        """``key`` is sorted and not known."""
+        raw = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        size = np.array([len(p) for p in parts], dtype=np.int64)
+        self.pool, self.bytes = self._kept(self.pool, self.filled, ids), self._kept(self.bytes, self.written, raw)
+        self.known.append((key, self.filled + first, n.astype(np.int32), self.written + np.cumsum(size) - size, size.astype(np.int32)))
+        self.filled, self.written = self.filled + len(ids), self.written + len(raw)
         while len(self.known) > 1 and 2 * len(self.known[-1][0]) > len(self.known[-2][0]):
             last = self.known.pop()
             both = [np.concatenate(x) for x in zip(self.known.pop(), last)]
@@ -102,17 +113,27 @@ class Encoder:
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice of texts and the bounds of each text's ids."""
         rows = self._literal(data, bounds)
+        while True:
+            kept, edges = self._without(rows, data, bounds) if len(rows) else (data, bounds)
+            ids, ends, strange = self._encode_cut(kept, edges)
+            if not len(strange):
+                break
+            rows = np.union1d(rows, strange)
         if not len(rows):
-            return self._encode_cut(data, bounds)
-        raw, size = data.tobytes(), np.diff(bounds)
+            return ids, ends
+        raw = data.tobytes()
         found = self.whole([raw[bounds[i]:bounds[i + 1]].decode() for i in rows.tolist()])
-        size[rows] = 0
+        many, n = np.array([len(x) for x in found]), np.diff(ends)
+        n[rows] = many
+        return np.insert(ids, np.repeat(ends[rows], many), np.concatenate(found)), np.concatenate([[0], np.cumsum(n)])
+
+    @staticmethod
+    def _without(rows: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts with those of some rows made empty."""
+        size = np.diff(bounds)
         left = np.ones(len(size), dtype=bool)
         left[rows] = False
-        ids, edges = self._encode_cut(data[np.repeat(left, np.diff(bounds))], np.concatenate([[0], np.cumsum(size)]))
-        many, n = np.array([len(x) for x in found]), np.diff(edges)
-        n[rows] = many
-        return np.insert(ids, np.repeat(edges[rows], many), np.concatenate(found)), np.concatenate([[0], np.cumsum(n)])
+        return data[np.repeat(left, size)], np.concatenate([[0], np.cumsum(np.where(left, size, 0))])
 
     def _literal(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The texts that contain an added token; a few more may be among them."""
@@ -125,9 +146,11 @@ class Encoder:
                 place = raw.find(literal, int(bounds[row + 1]))
         return np.unique(np.array(at, dtype=np.int64))
 
-    def _encode_cut(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_cut(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``encode``, and the rows that have a part whose key belongs to other bytes; if there are any, without ids."""
+        nothing = np.zeros(0, dtype=np.int64)
         if not len(data):
-            return np.zeros(0, dtype=np.uint32), np.zeros(len(bounds), dtype=np.int64)
+            return nothing.astype(np.uint32), np.zeros(len(bounds), dtype=np.int64), nothing
         if sum(len(x[0]) for x in self.known) > KEPT_PARTS:
             self.forget()
         cut = np.zeros(len(data) + 1, dtype=bool)
@@ -136,17 +159,27 @@ class Encoder:
         cut[bounds] = True
         edges = np.flatnonzero(cut)
         start, end = edges[:-1], edges[1:]
-        h, example, which = np.unique(RangeHash(data)(start, end), return_index=True, return_inverse=True)
-        new = np.flatnonzero(self._find(h)[0] < 0)
+        key, example, which = np.unique(range_keys(data, start, end), return_index=True, return_inverse=True)
+        at, n, place, size = self._find(key)
+        long = np.flatnonzero(end - start > EXACT)
+        mine = example[which[long]]
+        strange = long[~same_bytes(data, start[long], end[long], data, start[mine], end[mine])]
+        known = np.flatnonzero((at >= 0) & (end[example] - start[example] > EXACT))
+        parts = example[known]
+        other = known[~same_bytes(data, start[parts], end[parts], self.bytes, place[known], place[known] + size[known])]
+        if len(strange) or len(other):
+            strange = np.union1d(strange, np.flatnonzero(np.isin(which, other)))
+            return nothing.astype(np.uint32), nothing, np.unique(np.searchsorted(bounds, start[strange], side="right") - 1)
+        new = np.flatnonzero(at < 0)
         if len(new):
             raw = data.tobytes()
-            parts = [raw[a:b].decode() for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist())]
-            self._learn(h[new], *self._encode_parts(parts))
-        at, n = self._find(h)
+            parts = [raw[a:b] for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist())]
+            self._learn(key[new], *self._encode_parts([p.decode() for p in parts]), parts)
+            at, n, _, _ = self._find(key)
         n = n[which]
         ends = np.cumsum(n)
         ids = self.pool[np.repeat(at[which] - (ends - n), n) + np.arange(ends[-1])]
-        return ids, np.concatenate([[0], ends])[np.searchsorted(start, bounds)]
+        return ids, np.concatenate([[0], ends])[np.searchsorted(start, bounds)], nothing
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

@@ -232,3 +232,86 @@ def test_registered_queries_give_the_ids_of_the_library(shipped, untouched, tmp_
     docs = shipped.read.parquet(f"{tmp_path}/documents.parquet")
     for packed in (queries.REGISTRY["op3_best_fit_packing"](shipped, str(tmp_path)), corpus_pipeline.packed(shipped, docs, str(tmp_path))):
         assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in packed.collect()) == [(i, n, c) for i, _, n, c in expected]
+
+
+def structured(n):
+    """Two words of ``n`` bytes over two letters that polynomials modulo a power of two cannot tell apart: Thue-Morse and its complement."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_regular_words_have_their_own_keys():
+    from sievewright.llm.text import RangeHash, range_keys
+
+    for n in (8, 16, 64, 65, 1024, 4096):
+        data = np.frombuffer("".join(structured(n)).encode(), dtype=np.uint8)
+        start, end = np.array([0, n]), np.array([n, 2 * n])
+        assert len(set(range_keys(data, start, end).tolist())) == 2
+        assert len(set(RangeHash(data)(start, end).tolist())) == 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=80), min_size=1, max_size=30))
+def test_keys_depend_on_the_bytes_alone(parts):
+    from sievewright.llm.text import range_keys, same_bytes
+
+    def keys(order):
+        data = np.frombuffer(b"".join(order), dtype=np.uint8)
+        end = np.cumsum([len(p) for p in order])
+        start = end - [len(p) for p in order]
+        a, b = np.repeat(np.arange(len(order)), len(order)), np.tile(np.arange(len(order)), len(order))
+        same = same_bytes(data, start[a], end[a], data, start[b], end[b])
+        assert same.tolist() == [order[i] == order[j] for i, j in zip(a, b)]
+        return dict(zip(order, range_keys(data, start, end).tolist()))
+
+    assert keys(parts) == keys(parts[::-1]) and len(set(keys(parts).values())) == len(set(parts))
+    assert all(0 <= k < 1 << 63 for k in keys(parts).values())
+
+
+def test_ids_are_right_when_all_keys_collide(monkeypatch, untouched):
+    from sievewright.llm import tokens
+
+    keys = tokens.range_keys
+    monkeypatch.setattr(tokens, "range_keys", lambda *x: keys(*x) & 7)
+    monkeypatch.setattr(tokens, "EXACT", -1)
+    coder = Encoder(queries.TOKENIZER, True)
+    texts = [*ODD, *LITERAL, "one two three", "three two one", "one two", "four two one"]
+    for _ in range(2):
+        column = pa.array([t or "" for t in texts])
+        from sievewright.llm.text import slices
+
+        for lo, hi, data, bounds in slices(column, 64):
+            ids, at = coder.encode(data, bounds)
+            assert [[*ids[a:b].tolist(), END] for a, b in zip(at, at[1:])] == [untouched(t) for t in texts[lo:hi]]
+        texts = texts[::-1]
+
+
+def test_regular_words_through_the_queries(shipped, untouched, tmp_path):
+    a, b = structured(1024)
+    rows = list(enumerate([a, b, f"x {a} y", f"x {b} y", f"{a} {b}", f"{b} {a}"]))
+    shipped.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    crc = {i: (len(untouched(t)), zlib.crc32(np.array(untouched(t), dtype="<u4").tobytes())) for i, t in rows}
+    got = queries.REGISTRY["op1_id_files"](shipped, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in got} == crc
+    packed = queries.REGISTRY["op3_best_fit_packing"](shipped, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packed if r["piece"] == 0 and crc[r["doc_id"]][0] <= 1024} == {
+        i: c for i, c in crc.items() if c[0] <= 1024}
+
+
+def test_blocks_stand_in_the_order_of_documents(shipped, space):
+    """Through the files by name and within each, however small the splits of the tables between."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    docs = shipped.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet").repartition(13)
+    shipped.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        id_files.write(docs, queries.TOKENIZER, space.path("ordered"), space, added=True, block_ids=1 << 12)
+    finally:
+        shipped.conf.unset("spark.sql.files.maxPartitionBytes")
+    files = sorted(glob.glob(space.path("ordered") + "/blocks/part-*.parquet"))
+    start = [x for f in files for x in pq.read_table(f, columns=["start"]).column(0).to_pylist()]
+    assert len(files) > 4 and len(start) > 50 and start == sorted(start)
+    ids = [x for f in files for x in pq.read_table(f, columns=["doc_ids"]).column(0).combine_chunks().flatten().to_pylist()]
+    assert ids == sorted(ids)
