@@ -45,6 +45,7 @@ class Ranks:
         self.token = [b""] * (max(self.rank.values(), default=-1) + 1)
         for token, rank in self.rank.items():
             self.token[rank] = token
+        self._pairs()
         self.forget()
 
     def forget(self) -> None:
@@ -52,30 +53,84 @@ class Ranks:
         self.known: dict[str, int] = {}
         self.first, self.pool = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Ids of one piece: of all neighbours that join to a token, those with the lowest rank first, the leftmost of equals."""
-        if piece in self.rank:
-            return [self.rank[piece]]
-        ends = self._merge_many(piece) if len(piece) > LONG_PIECE else self._merge_few(piece)
-        return [self.rank[piece[a:b]] for a, b in zip([0, *ends], ends)]
-
-    def _merge_few(self, piece: bytes) -> list[int]:
-        rank, edge = self.rank.get, list(range(len(piece) + 1))
-        cost = [rank(piece[i:i + 2], _NONE) for i in range(len(piece) - 1)]
-        while cost:
-            least = min(cost)
-            if least == _NONE:
-                break
-            i = cost.index(least)
-            del edge[i + 1], cost[i]
-            if i < len(cost):
-                cost[i] = rank(piece[edge[i]:edge[i + 2]], _NONE)
-            if i:
-                cost[i - 1] = rank(piece[edge[i - 1]:edge[i + 1]], _NONE)
-        return edge[1:]
-
-    def _merge_many(self, piece: bytes) -> list[int]:
-        """The same with a heap over linked neighbours, for pieces of any length."""
+    def _pairs(self) -> None:
+        """All ways to write a token as two tokens, by the numbers of both; for single bytes as a square."""
+        rank = self.rank.get
+        key, value = [], []
+        for token, number in self.rank.items():
+            for i in range(1, len(token)):
+                a, b = rank(token[:i]), rank(token[i:])
+                if a is not None and b is not None:
+                    key.append(a << 32 | b)
+                    value.append(number)
+        order = np.argsort(np.array(key, dtype=np.int64))
+        self.key, self.value = np.array(key, dtype=np.int64)[order], np.array(value, dtype=np.int64)[order]
+        self.byte = np.array([rank(bytes([i]), -1) for i in range(256)], dtype=np.int64)
+        both = np.repeat(self.byte, 256) << 32 | np.tile(self.byte, 256)
+        self.square = self._joined(both)
+
+    def _joined(self, key: np.ndarray) -> np.ndarray:
+        """The token that each pair makes; none: a number above all."""
+        if not len(self.key):
+            return np.full(len(key), _NONE)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.value[at], _NONE)
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in one array, and how many each has. A piece that is a token is that token; else of all neighbours
+        that join to one, those with the lowest rank are joined first, the leftmost of equals."""
+        whole = [self.rank.get(piece, -1) for piece in pieces]
+        out = [(i, [number]) for i, number in enumerate(whole) if number >= 0]
+        out += [(i, self._merge_long(pieces[i])) for i, number in enumerate(whole) if number < 0 and len(pieces[i]) > LONG_PIECE]
+        owner = np.repeat([i for i, _ in out], [len(ids) for _, ids in out]).astype(np.int64)
+        ids = np.fromiter(chain.from_iterable(x for _, x in out), dtype=np.int64)
+        short = [i for i, number in enumerate(whole) if number < 0 and len(pieces[i]) <= LONG_PIECE]
+        more, at = self._merge_short([pieces[i] for i in short])
+        owner, ids = np.concatenate([owner, np.array(short, dtype=np.int64)[at]]), np.concatenate([ids, more])
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(pieces))
+
+    def _merge_short(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces and the piece of each id, one join per piece at a time, all pieces side by side."""
+        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+        owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+        token, done = self.byte[raw], []
+        cost = np.full(len(raw), _NONE)
+        if len(raw):
+            same = owner[1:] == owner[:-1]
+            cost[:-1][same] = self.square[raw[:-1][same] << 8 | raw[1:][same]]
+        while len(token):
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            least = np.minimum.reduceat(cost, first)
+            size = np.diff(first, append=len(token))
+            open_ = least < _NONE
+            if not open_.all():
+                left = np.repeat(open_, size)
+                done.append((token[~left], owner[~left]))
+                token, owner, cost, least, size = token[left], owner[left], cost[left], least[open_], size[open_]
+                if not len(token):
+                    break
+            hit = np.flatnonzero(cost == np.repeat(least, size))
+            at = hit[np.concatenate([[True], owner[hit[1:]] != owner[hit[:-1]]])]
+            token[at] = cost[at]
+            keep = np.ones(len(token), dtype=bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))
+            token, owner, cost = token[keep], owner[keep], cost[keep]
+            for place in (at, at - 1):
+                place = place[(place >= 0) & (place < len(token) - 1)]
+                inside = owner[place] == owner[place + 1]
+                cost[place[~inside]] = _NONE
+                place = place[inside]
+                cost[place] = self._joined(token[place] << 32 | token[place + 1])
+            if at[-1] == len(token) - 1:
+                cost[-1] = _NONE
+        tokens, owners = ([np.zeros(0, dtype=np.int64), *(d[k] for d in done)] for k in (0, 1))
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The same for one piece of any length, with a heap over linked neighbours."""
         rank, n = self.rank.get, len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(cost, i, i + 2) for i in range(n - 1) if (cost := rank(piece[i:i + 2], _NONE)) != _NONE]
@@ -99,11 +154,11 @@ class Ranks:
                 before[end] = i
             offer(before[i])
             offer(i)
-        ends, i = [], 0
+        ids, i = [], 0
         while i < n:
+            ids.append(self.rank[piece[i:after[i]]])
             i = after[i]
-            ends.append(i)
-        return ends
+        return ids
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces in one array, and how many ids each has."""
@@ -111,10 +166,10 @@ class Ranks:
             self.forget()
         fresh = list(set(pieces).difference(self.known))
         if fresh:
-            found = [self.merged(piece.encode()) for piece in fresh]
+            ids, n = self.merged([piece.encode() for piece in fresh])
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in found])])
-            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(found), dtype=np.int32)])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+            self.pool = np.concatenate([self.pool, ids.astype(np.int32)])
         which = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         n = (self.first[1:] - self.first[:-1])[which]
         ends = np.cumsum(n)
@@ -131,6 +186,19 @@ def ranks(path: str) -> Ranks:
     return _ranks[path]
 
 
+def _sizes(n: np.ndarray) -> bytes:
+    """Small numbers as bytes: 255 as often as it goes in, then the rest."""
+    out = np.full(int((n // 255 + 1).sum()), 255, dtype=np.uint8)
+    out[np.cumsum(n // 255 + 1) - 1] = n % 255
+    return out.tobytes()
+
+
+def _ends(raw: bytes) -> np.ndarray:
+    """The running sums of the numbers."""
+    n = np.frombuffer(raw, dtype=np.uint8)
+    return np.cumsum(n, dtype=np.int64)[n != 255]
+
+
 def _lists(flat: np.ndarray, n: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32()))
 
@@ -180,25 +248,25 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, overlap: int) -> Itera
 
 
 def _split(batches: Iterator[pa.RecordBatch], pattern: str, size: int, overlap: int) -> Iterator[pa.RecordBatch]:
-    """The piece ends of each chunk, counted from its start; of these the ones that its two junctions may meet at, counted from
-    the start of the text."""
+    """The lengths of the pieces of each chunk; of their ends the ones that its two junctions may meet at, counted from the start
+    of the text."""
     cut = regex.compile(pattern)
     for batch in batches:
         head, tail, strides = (batch.column(k).to_numpy() for k in ("head", "tail", "strides"))
-        ends, left, right = [], [], []
+        sizes, left, right = [], [], []
         for i, body in enumerate(batch.column("body").to_pylist()):
-            end = np.cumsum(np.fromiter(map(len, cut.findall(body)), dtype=np.int64))
-            start = int(head[i]) * size
-            ends.append(end)
+            n = np.fromiter(map(len, cut.findall(body)), dtype=np.int64)
+            end, start = np.cumsum(n), int(head[i]) * size
+            sizes.append(_sizes(n))
             left.append(start + np.concatenate([[0], end[end <= overlap]]) if head[i] else end[:0])
             trusted = (end >= (int(tail[i]) + 1) * size - start) & (end + AHEAD <= len(body))
             right.append(start + end[trusted] if tail[i] + 1 < strides[i] else end[:0])
-        made = [pa.array(x, pa.list_(kind)) for x, kind in ((ends, pa.int32()), (left, pa.int64()), (right, pa.int64()))]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "ends", "lefts", "rights"])
+        made = [pa.array(sizes, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (left, right))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "sizes", "lefts", "rights"])
 
 
 _CHUNK = "doc_id bigint, __copy bigint, head int, tail int, strides int, body string"
-_PIECES = f"{_CHUNK}, ends array<int>, lefts array<bigint>, rights array<bigint>"
+_PIECES = f"{_CHUNK}, sizes binary, lefts array<bigint>, rights array<bigint>"
 
 
 def _meetings(pieces: DataFrame) -> DataFrame:
@@ -237,7 +305,7 @@ def _encode_parts(batches: Iterator[pa.RecordBatch], path: str, size: int) -> It
         for lo, hi in _runs([len(b) for b in bodies]):
             pieces, n = [], []
             for i in range(lo, hi):
-                end = batch.column("ends")[i].values.to_numpy()
+                end = _ends(batch.column("sizes")[i].as_py())
                 from_, to = int(entry[i] - start[i]), int(leave[i] - start[i]) if leave[i] >= 0 else len(bodies[i])
                 own = end[(end > from_) & (end <= to)].tolist()
                 pieces += [bodies[i][a:b] for a, b in zip([from_, *own], own)]
@@ -272,7 +340,7 @@ def encode(docs: DataFrame, path: str, pattern: str, space: Workspace, size: int
     leaves = cuts.select(*KEY, (F.col("junction") - 1).alias("tail"), F.col("at").alias("leave"))
     spans = pieces.select(*KEY, "head", "tail").join(enters, [*KEY, "head"], "left").join(leaves, [*KEY, "tail"], "left").select(
         *KEY, "head", F.coalesce("entry", F.lit(0)).alias("entry"), F.coalesce("leave", F.lit(-1)).alias("leave"))
-    parts = pieces.select(*KEY, "head", "body", "ends").join(spans, [*KEY, "head"]).mapInArrow(
+    parts = pieces.select(*KEY, "head", "body", "sizes").join(spans, [*KEY, "head"]).mapInArrow(
         partial(_encode_parts, path=path, size=size), "doc_id bigint, __copy bigint, head int, ids array<int>")
     long = parts.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("head", "ids"))).alias("p"))
     return short.unionByName(unkeyed(long.select(*KEY, F.flatten("p.ids").alias("ids"))))

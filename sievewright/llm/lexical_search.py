@@ -5,8 +5,8 @@ The score of a document for an item is a sum over the item's terms of the term's
 task. In a shard every term has a posting list. The documents of a list are clustered by similarity (directions of their
 impacts in a projected space, to the nearest of a few pivots from the list itself), and neighbours form blocks. A block keeps a summary:
 for every term the largest impact of its documents. An item's product with the summary is at least the score of every
-document in the block, so a block is skipped only if that product is below the item's tenth best score so far. In the same way
-whole lists are left out, the smallest first, as long as the largest impacts of all lists left out add up to less than it.
+document in the block, so a block is skipped only if that product is below the item's tenth best score so far. An item reads its
+lists by what they can add, the largest first, and stops where the largest impacts of all further lists add up to less than that.
 
 Impacts of terms that no item has cannot add to any score, so the index covers the items' terms. Items come in parts with a
 bounded number of terms. Counts (documents, terms, documents per term) are over all rows.
@@ -34,6 +34,8 @@ TOP = 10
 SHARD = 2048
 BLOCK = 32
 PART_TERMS = 8192
+TASK_SHARDS = 4
+MOST_TASKS = 50_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IN_TERM = np.ones(256, dtype=bool)
@@ -101,26 +103,18 @@ def _vectors(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[p
 
 
 class Shard:
-    """The index of some documents. ``impact`` has a row per document and a column per term of the part that any of them has."""
+    """The index of some documents. ``impact`` has a row per document and a column per term of the part that any of them has.
+
+    Posting lists get their blocks and summaries when an item first reads them.
+    """
 
     def __init__(self, doc_ids: np.ndarray, terms: np.ndarray, impact: np.ndarray, block: int = BLOCK):
-        self.doc_ids, self.terms, self.impact = doc_ids, terms, impact
-        held = impact.T > 0
-        doc = np.nonzero(held)[1]
-        self.length = held.sum(axis=1)
-        edge = np.concatenate([[0], np.cumsum(self.length)])
-        direction = self._directions()
-        #: Documents in the order of lists and blocks; where each block starts; the first block of each list.
-        order, starts, self.first = [], [], [0]
-        for k in range(len(terms)):
-            mine = self._clustered(doc[edge[k]:edge[k + 1]], direction, block)
-            order.append(mine)
-            starts.append(np.arange(0, len(mine), block) + edge[k])
-            self.first.append(self.first[-1] + len(starts[-1]))
-        self.order = np.concatenate([np.zeros(0, dtype=np.int64), *order])
-        self.start = np.concatenate([np.zeros(0, dtype=np.int64), *starts, [edge[-1]]]).astype(np.int64)
+        self.doc_ids, self.terms, self.impact, self.block = doc_ids, terms, impact, block
+        column, self.doc = np.nonzero(impact.T)
+        self.edge = np.searchsorted(column, np.arange(len(terms) + 1))
         self.largest = impact.max(axis=0, initial=0)
-        self._summaries(edge)
+        self.direction = self._directions()
+        self.lists: dict[int, tuple[np.ndarray, ...]] = {}
 
     def _directions(self) -> np.ndarray:
         """Documents as unit vectors of few dimensions, by random signs that are the same for a term in every shard."""
@@ -128,68 +122,57 @@ class Shard:
         out = self.impact.astype(np.float32) @ signs
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
-    @staticmethod
-    def _clustered(docs: np.ndarray, direction: np.ndarray, block: int) -> np.ndarray:
-        """The documents of one list, those nearest to the same pivot together."""
-        if len(docs) <= block:
+    def postings(self, term: int) -> tuple[np.ndarray, ...]:
+        """The list of a term: a row of documents per block (the last block repeats its last document), and the summaries of the blocks
+        as sparse rows: bounds, columns, largest impacts."""
+        if term not in self.lists:
+            docs = self._clustered(self.doc[self.edge[term]:self.edge[term + 1]])
+            short = -len(docs) % self.block
+            blocks = np.concatenate([docs, np.full(short, docs[-1])]).reshape(-1, self.block)
+            top = self.impact[blocks[:, 0]]
+            for k in range(1, self.block if len(blocks) > 1 else len(docs)):
+                np.maximum(top, self.impact[blocks[:, k]], out=top)
+            row, column = np.nonzero(top)
+            self.lists[term] = blocks, np.searchsorted(row, np.arange(len(blocks) + 1)), column, top[row, column].astype(np.int64)
+        return self.lists[term]
+
+    def _clustered(self, docs: np.ndarray) -> np.ndarray:
+        """The documents of one list, those nearest to the same pivot together. Every so many documents one is a pivot."""
+        if len(docs) <= self.block:
             return docs
-        pivots = direction[docs[::block]]
-        near = direction[docs] @ pivots.T
+        near = self.direction[docs] @ self.direction[docs[::self.block]].T
         return docs[np.lexsort((-near.max(axis=1), near.argmax(axis=1)))]
 
-    def _summaries(self, edge: np.ndarray) -> None:
-        """The largest impact of every term in each block, as sparse rows."""
-        edges, column, value = [np.zeros(1, dtype=np.int64)], [], []
-        for lo in range(0, len(self.order), 1 << 13):
-            # Whole blocks, some thousand postings at a time.
-            a, b = np.searchsorted(self.start, [lo, lo + (1 << 13)])
-            if a == b or a >= len(self.start) - 1:
-                continue
-            b = min(b, len(self.start) - 1)
-            rows = self.order[self.start[a]:self.start[b]]
-            top = np.maximum.reduceat(self.impact[rows], self.start[a:b] - self.start[a], axis=0)
-            r, c = np.nonzero(top)
-            column.append(c.astype(np.int32))
-            value.append(top[r, c])
-            edges.append(edges[-1][-1] + np.cumsum(np.bincount(r, minlength=b - a)))
-        self.edge = np.concatenate(edges)
-        self.column = np.concatenate([np.zeros(0, dtype=np.int32), *column])
-        self.value = np.concatenate([np.zeros(0, dtype=self.impact.dtype), *value])
-
-    def bounds(self, blocks: np.ndarray, worth: np.ndarray) -> np.ndarray:
-        """The product of the summaries with an item; ``worth`` is what one unit of impact of each column adds."""
-        n = self.edge[blocks + 1] - self.edge[blocks]
-        ends = np.cumsum(n)
-        at = np.repeat(self.edge[blocks] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        return np.add.reduceat(self.value[at] * worth[self.column[at]], ends - n) if len(at) else np.zeros(len(blocks), dtype=np.int64)
+    def bounds(self, term: int, worth: np.ndarray) -> np.ndarray:
+        """The product of a list's summaries with an item; ``worth`` is what one unit of impact of each column adds."""
+        _, edge, column, value = self.postings(term)
+        return np.add.reduceat(value * worth[column], edge[:-1])
 
     def search(self, terms: np.ndarray, worth: np.ndarray, best: list[tuple[int, int]], top: int) -> list[tuple[int, int]]:
         """The ``top`` of ``best`` and of this shard's documents, as (-score, id). ``terms`` are columns with a positive worth."""
-        if not len(terms):
-            return best
-
         def floor() -> int:
             return -best[-1][0] if len(best) == top else 1
 
         reach = self.largest[terms] * worth[terms]
-        small = np.argsort(reach, kind="stable")
-        # A document that only stands in lists left out scores less than the floor.
-        lists = terms[small[np.cumsum(reach[small]) >= floor()]]
-        blocks = np.concatenate([np.zeros(0, dtype=np.int64), *(np.arange(self.first[k], self.first[k + 1]) for k in lists.tolist())])
-        bound = self.bounds(blocks, worth)
-        order = np.argsort(-bound, kind="stable")
-        blocks, bound = blocks[order], bound[order]
+        order = np.argsort(-reach, kind="stable")
+        left = np.cumsum(reach[order][::-1])[::-1].tolist()
         seen = np.zeros(len(self.doc_ids), dtype=bool)
-        at, step = 0, 4
-        while at < len(blocks) and bound[at] >= floor():
-            chosen = blocks[at:at + step][bound[at:at + step] >= floor()]
-            at, step = at + step, min(2 * step, 256)
-            docs = np.unique(np.concatenate([self.order[self.start[b]:self.start[b + 1]] for b in chosen.tolist()]))
-            docs = docs[~seen[docs]]
-            seen[docs] = True
-            score = self.impact[np.ix_(docs, terms)] @ worth[terms]
-            good = score >= floor()
-            best = sorted([*best, *zip((-score[good]).tolist(), self.doc_ids[docs[good]].tolist())])[:top]
+        for term, rest in zip(terms[order].tolist(), left):
+            if rest < floor():  # a document that stands in this and the further lists only scores less
+                break
+            blocks, bound = self.postings(term)[0], self.bounds(term, worth)
+            by_bound = np.argsort(-bound, kind="stable")
+            at, step = 0, 4
+            while at < len(by_bound) and bound[by_bound[at]] >= floor():
+                chosen = by_bound[at:at + step]
+                at, step = at + step, min(2 * step, 256)
+                docs = np.unique(blocks[chosen[bound[chosen] >= floor()]])
+                docs = docs[~seen[docs]]
+                seen[docs] = True
+                score = self.impact[np.ix_(docs, terms)] @ worth[terms]
+                good = score >= floor()
+                if good.any():
+                    best = sorted([*best, *zip((-score[good]).tolist(), self.doc_ids[docs[good]].tolist())])[:top]
         return best
 
 
@@ -259,7 +242,9 @@ def search(docs: DataFrame, queries: DataFrame, space: Workspace, top: int = TOP
             weight[r["term"]] = r["w"]
         pairs = [np.unique(np.array([number[t.encode()] for t in r["terms"]], dtype=np.int64), return_counts=True) for r in rows]
         items = Items([r["item"] for r in rows], [p[0] for p in pairs], [p[1] for p in pairs], weight)
-        hits = vectors.where("doc_id is not null and size(terms) > 0").mapInArrow(
+        # The index is far smaller than the texts, and its files fewer: a task gets a few shards.
+        useful = vectors.where("doc_id is not null and size(terms) > 0").repartition(min(MOST_TASKS, max(1, -(-n_docs // (TASK_SHARDS * shard)))))
+        hits = useful.mapInArrow(
             partial(_search, items=items, n_docs=n_docs, n_terms=n_terms, top=top, shard=shard), "item bigint, score bigint, doc_id bigint")
         names = docs.sparkSession.createDataFrame(
             [(k, r["item"]) for k, r in enumerate(rows)], "item bigint, of bigint").join(asked.select(F.col("item").alias("of"), "item_id"), "of")

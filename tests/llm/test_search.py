@@ -58,23 +58,33 @@ def test_a_whole_table_in_chunks(shipped, space, library):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet="ab éth'", max_size=40).map(str.encode))
-def test_both_ways_to_merge(piece):
+@given(st.lists(st.text(alphabet="ab éth'n", min_size=1, max_size=40).map(str.encode), max_size=12))
+def test_both_ways_to_merge(pieces):
     table = byte_bpe.ranks(queries.RANKS)
-    assert table._merge_few(piece) == table._merge_many(piece) if piece else True
+    ids, n = table.merged(pieces)
+    many, at = table._merge_short(pieces)
+    for i, piece in enumerate(pieces):
+        assert many[at == i].tolist() == table._merge_long(piece)
+        assert ids[n[:i].sum():n[:i + 1].sum()].tolist() == ([table.rank[piece]] if piece in table.rank else table._merge_long(piece))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 2000), max_size=50))
+def test_sizes_as_bytes(sizes):
+    assert byte_bpe._ends(byte_bpe._sizes(np.array(sizes, dtype=np.int64))).tolist() == np.cumsum(sizes).tolist()
 
 
 def test_pieces_of_any_length_merge_as_in_the_library(library):
     table = byte_bpe.ranks(queries.RANKS)
     for piece in ("a" * 30_000, "the" * 500, "abcdefghij" * 300, "zq" * 101):
-        assert table.merged(piece.encode()) == library(piece)
+        assert table.merged([piece.encode()])[0].tolist() == library(piece)
 
 
 def test_every_character_is_split_as_in_the_library(library):
     table, split = byte_bpe.ranks(queries.RANKS), byte_bpe.regex.compile(public_tokenizers.PATTERN)
     for lo in range(0, 0x110000, 256):
         text = "\n".join(f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}" for c in range(lo, lo + 256) if not 0xD800 <= c < 0xE000)
-        assert [i for p in split.findall(text) for i in table.merged(p.encode())] == library(text)
+        assert table.encode(split.findall(text))[0].tolist() == library(text)
 
 
 def test_known_pieces_are_forgotten_beyond_the_limit(monkeypatch, library):
@@ -186,15 +196,14 @@ def test_blocks_hold_each_posting_once_and_summaries_bound_their_documents():
     rng = np.random.default_rng(3)
     impact = rng.integers(1, 1000, (300, 20)) * (rng.random((300, 20)) < np.linspace(0.02, 0.9, 20))
     index = lexical_search.Shard(np.arange(300), np.arange(20), impact.astype(np.int32), 8)
-    blocks = [index.order[a:b] for a, b in zip(index.start, index.start[1:])]
-    assert max(map(len, blocks)) <= 8
-    for k in range(20):
-        mine = np.concatenate([np.zeros(0, dtype=int), *blocks[index.first[k]:index.first[k + 1]]])
-        assert sorted(mine.tolist()) == np.flatnonzero(impact[:, k]).tolist()
     worth = rng.integers(0, 50, 20)
-    bound = index.bounds(np.arange(len(blocks)), worth)
-    for b, docs in enumerate(blocks):
-        assert bound[b] == (impact[docs].max(axis=0) * worth).sum() >= (impact[docs] @ worth).max()
+    for k in range(20):
+        blocks = index.postings(k)[0]
+        mine = blocks.ravel().tolist()
+        assert blocks.shape[1] == 8 and sorted(set(mine)) == np.flatnonzero(impact[:, k]).tolist()
+        assert mine[:len(set(mine))] == list(dict.fromkeys(mine))
+        for docs, bound in zip(blocks, index.bounds(k, worth)):
+            assert bound == (impact[docs].max(axis=0) * worth).sum() >= (impact[docs] @ worth).max()
 
 
 def test_most_blocks_are_skipped():
@@ -213,7 +222,7 @@ def test_most_blocks_are_skipped():
         def __getitem__(self, at):
             if isinstance(at, tuple) and len(at) == 2:
                 read.append(np.size(at[0]))
-            return whole[at]
+            return whole[np.asarray(at)] if not isinstance(at, tuple) else whole[at]
 
     index.impact = whole.view(Seen)
     got = index.search(np.arange(10), worth, [], 10)
