@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.keys import keyed, unkeyed
+from sievewright.llm.keys import keyed, shielded, unkeyed
 from sievewright.storage import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, Workspace
 
 SIZE = 13
@@ -72,9 +72,10 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
     together as one in ``n_items``, and are left out of ``items_sha256``. A benchmark too large to broadcast is joined in parts.
     """
     windows = space.hold(item_windows(benchmark, size).withColumn("id", F.xxhash64("window")), "windows")
-    # The outer forms: for the plain ones Spark filters on the size of the words first and so computes them twice.
-    wanted = prefixes(keyed_docs.select(F.explode_outer(words()).alias("word")), windows, space)
-    places = keyed_docs.select(*KEY, F.posexplode_outer(words()).alias("pos", "word"))
+    # Finding the words costs more than all that follows: they are written once.
+    cut = space.hold(keyed_docs.select(*KEY, words().alias("words")), "words")
+    wanted = prefixes(cut.select(F.explode("words").alias("word")), windows, space)
+    places = cut.select(*KEY, F.posexplode("words").alias("pos", "word"))
     candidates = _union(
         places.join(part, "word").select(*KEY, "pos", F.explode("wants").alias("want")).where("pos >= want.at")
         .select(*KEY, (F.col("pos") - F.col("want.at")).alias("start"), "want.id", "want.len")
@@ -85,7 +86,7 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
         x -> named_struct('start', x.start, 'len', x.len, 'id', x.id, 'window', slice(words, x.start + 1, x.len))),
         x -> xxhash64(x.window) = x.id)""")
     base = space.hold(
-        keyed_docs.select(*KEY, "text").join(per_doc, KEY, "left").select(*KEY, words().alias("words"), "tries")
+        cut.join(per_doc, KEY, "left")
         .select(*KEY, F.size("words").cast("bigint").alias("n_words"), there.alias("found")), "base")
     hits = _union(
         base.select(*KEY, F.explode("found").alias("x")).select(*KEY, "x.start", "x.len", F.col("x.window").alias("window"))
@@ -108,9 +109,10 @@ def report(docs: DataFrame, benchmark: DataFrame, space: Workspace) -> DataFrame
 
 def clean(docs: DataFrame, benchmark: DataFrame, space: Workspace) -> DataFrame:
     """The documents that are not contaminated, all columns as they came."""
-    own = keyed(docs, space)
+    hidden, named = shielded(docs, "doc_id", "text")
+    own = keyed(hidden, space)
     bad = judge(own.select(*KEY, "text"), benchmark, space).where("contaminated").select(*KEY)
-    return unkeyed(own.join(bad, KEY, "left_anti")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return named(unkeyed(own.join(bad, KEY, "left_anti")))
 
 
 SQL = f"""

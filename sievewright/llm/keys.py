@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +26,11 @@ def keyed(docs: DataFrame, space: Workspace) -> DataFrame:
 def unkeyed(df: DataFrame) -> DataFrame:
     """Null ids again, and no ``__copy``."""
     return df.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id"))).drop("__copy")
+
+
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but those ``used`` under a neutral name, and what gives the columns of ``docs`` back their names and
+    order. So a column of any name rides through an operator unread, whatever names that uses itself."""
+    names = {c: c if c in used else f"__user{i}" for i, c in enumerate(docs.columns)}
+    hidden = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return hidden, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])

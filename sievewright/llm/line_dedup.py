@@ -1,16 +1,18 @@
 """Line dedup by winnowing over line hashes, in DataFrame functions only.
 
-A line of a later repeated run goes: a run of lines, at least ``least`` bytes long with line ends and without blank
-lines, that also starts earlier (smaller ``doc_id``, or same document and earlier line). Steps:
+A line of a later repeated run goes. A run is lines of at least ``least`` bytes together, with line ends and without blank
+lines, or one shorter line of four words or more that stands in three documents or more; it is later if it also starts earlier
+(smaller ``doc_id``, or same document and earlier line). Steps:
 
 1. *Select*: from every line, forwards and backwards, the shortest run that reaches ``least`` bytes is a window; the
    smallest line hash in it is its fingerprint. Two equal runs have equal windows and so equal fingerprints.
 2. *Join positions*: only windows whose fingerprint stands in more than one place stay.
 3. *Extend*: around a fingerprint that recurs, a window is compared as a whole, by a hash of its lines; windows that
    follow each other join into runs, in both directions.
-4. *Delete* every window but the earliest of its kind.
+4. *Short lines* are counted by document, as texts, and met by those that recur.
+5. *Delete* every window or short line but the earliest of its kind.
 
-Runs shorter than ``least`` stay, however often they occur. The first occurrence always stays.
+The first occurrence always stays, and so do repeated short lines of fewer words or in fewer documents.
 """
 
 from __future__ import annotations
@@ -18,10 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.keys import keyed, unkeyed
-from sievewright.storage import Workspace
+from sievewright.llm.keys import keyed, shielded, unkeyed
+from sievewright.storage import Workspace, is_small
 
 LEAST_BYTES = 100
+#: What makes a shorter line a run by itself.
+LINE_WORDS = 4
+LINE_DOCUMENTS = 3
 KEY = ["doc_id", "__copy"]
 
 
@@ -54,6 +59,18 @@ def windows(keyed_docs: DataFrame, least: int) -> DataFrame:
         F.col("w.run.hash").alias("hash"), "w.backwards")
 
 
+def short_lines(keyed_docs: DataFrame, space: Workspace, least: int) -> DataFrame:
+    """``doc_id, __copy, lo, hi``: the later occurrences of short lines that stand in enough documents."""
+    lines = F.expr(rf"""filter(transform(split(text, '\n', -1), (x, i) -> named_struct('at', i, 'line', x)),
+        x -> octet_length(x.line) + 1 < {least} and regexp_count(x.line, '[^\\x20\\x09-\\x0D]+') >= {LINE_WORDS})""")
+    found = space.hold(keyed_docs.select(*KEY, F.inline(lines)), "lines")
+    in_document = found.groupBy("line", *KEY).agg(F.min("at").alias("at"))
+    recur = in_document.groupBy("line").agg(F.min(F.struct(*KEY, "at")).alias("first"), F.count(F.lit(1)).alias("n")).where(f"n >= {LINE_DOCUMENTS}")
+    recur = space.hold(recur.drop("n"), "recurring")
+    wanted = F.broadcast(recur) if is_small(recur.select("line")) else recur
+    return found.join(wanted, "line").where(F.struct(*KEY, "at") > F.col("first")).select(*KEY, F.col("at").alias("lo"), F.col("at").alias("hi"))
+
+
 def repeated_runs(keyed_docs: DataFrame, space: Workspace, least: int = LEAST_BYTES) -> DataFrame:
     """``doc_id, __copy, lo, hi``: the disjoint runs of lines to delete, as large as possible."""
     found = space.hold(windows(keyed_docs, least), "windows")
@@ -66,14 +83,16 @@ def repeated_runs(keyed_docs: DataFrame, space: Workspace, least: int = LEAST_BY
     later = matched.join(first, kind).where(F.struct(*KEY, "lo") > F.col("first"))
     own = Window.partitionBy(*KEY).orderBy("lo", "hi")
     reach = F.max("hi").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    parted = later.select(*KEY, "lo", "hi").distinct().withColumn("new", F.coalesce(F.col("lo") > reach + 1, F.lit(True)).cast("int"))
+    every = later.select(*KEY, "lo", "hi").unionByName(short_lines(keyed_docs, space, least))
+    parted = every.distinct().withColumn("new", F.coalesce(F.col("lo") > reach + 1, F.lit(True)).cast("int"))
     runs = parted.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     return runs.groupBy(*KEY, "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run")
 
 
 def dedup(docs: DataFrame, space: Workspace, least: int = LEAST_BYTES) -> DataFrame:
     """All columns of ``docs``, with ``text`` without its later repeated runs, and ``__removed`` and ``__runs``: lines and
-    runs deleted, ``__lines``: lines before. Null texts stay null and have no lines. Shared ids: see ``keys.keyed``."""
+    runs deleted, ``__lines``: lines before. Null texts stay null and have no lines. Shared ids: see ``keys.keyed``. Names that
+    begin with ``__`` are the operator's own here; ``clean`` takes columns of any name."""
     own = keyed(docs, space)
     # Runs with only blank lines between them are one run of text, yet the blank lines stay.
     per_doc = repeated_runs(own.select(*KEY, "text"), space, least).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("__spans"))
@@ -103,9 +122,9 @@ def report(docs: DataFrame, space: Workspace) -> DataFrame:
 
 def clean(docs: DataFrame, space: Workspace) -> DataFrame:
     """The documents without their later repeated runs, columns as they came; those of which no word is left go."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    own, named = shielded(docs, "doc_id", "text")
     gone = (F.col("__removed") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    return dedup(docs, space).where(~gone).select(*names)
+    return named(dedup(own, space).where(~gone))
 
 
 #: The same rows in DuckDB, from the definition alone: no hashes and no fingerprints.
@@ -125,8 +144,11 @@ win AS (
 body AS (
   SELECT w.doc_id, w.lo, w.hi, string_agg(i.x, chr(10) ORDER BY i.r) AS t
   FROM win w JOIN ink i ON i.doc_id = w.doc_id AND i.r BETWEEN w.lo AND w.hi GROUP BY ALL),
+short AS (SELECT doc_id, r, x FROM ink WHERE n < {LEAST_BYTES} AND len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) >= {LINE_WORDS}),
+often AS (SELECT x FROM short GROUP BY x HAVING count(DISTINCT doc_id) >= {LINE_DOCUMENTS}),
 later AS (
-  SELECT doc_id, lo, hi FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, lo) AS k FROM body) WHERE k > 1),
+  SELECT doc_id, lo, hi FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, lo) AS k FROM body) WHERE k > 1
+  UNION SELECT doc_id, r, r FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY doc_id, r) AS k FROM short JOIN often USING (x)) WHERE k > 1),
 span AS (
   SELECT l.doc_id, a.idx AS lo, b.idx AS hi FROM later l
   JOIN ink a ON a.doc_id = l.doc_id AND a.r = l.lo JOIN ink b ON b.doc_id = l.doc_id AND b.r = l.hi),

@@ -1,10 +1,10 @@
 """Best-fit packing by exact complements.
 
 Only lengths decide where a piece goes, so the plan is made from the number of pieces of each length: at most one
-number per token of capacity, whatever the corpus. Longest first, the plan looks for one, two or three lengths that
-fill the gap exactly and that are still available, and uses each such combination as often as it can; what is left is
-packed best fit, longest first, in whole classes of equal pieces and equal gaps. Pieces then find their places by
-their number within their length.
+number per token of capacity, whatever the corpus. Sums of one, two and three available lengths are indexed by hash. Longest
+first, the plan looks up the gap that a piece leaves and uses the combination that fills it exactly as often as the counts allow; the
+index is made anew whenever some lengths have run out. What is left is packed best fit, longest first, in whole classes of equal
+pieces and equal gaps. Pieces then find their places by their number within their length.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from sievewright.llm.tokens import documents
 from sievewright.storage import Workspace
 
 CAPACITY = 1024
+#: Lengths that may run out before the index of sums is made anew.
+REBUILD = 64
 
 
 class Plan:
@@ -57,36 +59,65 @@ class Plan:
             offset += x
         self.sequences += n
 
-    def _two(self, gap: int, most: int) -> tuple[int, int] | None:
+    def _index(self) -> None:
+        """Sums of two and of three available lengths, hashed: to the longer lengths of the pairs with that sum, and to the longest
+        lengths whose rest is the sum of a pair. Longest first. Lengths run out and never come back, so an index made earlier
+        holds all there is, and each hit is checked against the counts."""
+        lengths = np.flatnonzero(self.left)[::-1]
+        self.pairs: dict[int, np.ndarray] = {}
+        self.triples: dict[int, np.ndarray] = {}
+        for total in range(2, self.capacity):
+            long = lengths[(lengths < total) & (2 * lengths >= total)]
+            if len(long := long[self._there(long, total)]):
+                self.pairs[total] = long
+        for total in range(3, self.capacity):
+            longest = lengths[(lengths < total) & (3 * lengths >= total)]
+            if len(longest := longest[np.array([total - x in self.pairs for x in longest.tolist()], dtype=bool)]):
+                self.triples[total] = longest
+
+    def _there(self, long: np.ndarray, total: int) -> np.ndarray:
+        """Are both lengths of a pair left, if they are equal two of them?"""
+        return (self.left[long] > 0) & (self.left[total - long] > (2 * long == total))
+
+    def _two(self, total: int, most: int) -> tuple[int, int] | None:
         """Two available lengths with this sum, the longer at most ``most``; the most unequal ones first."""
-        long = np.arange(min(most, gap - 1), (gap + 1) // 2 - 1, -1)
-        fits = (self.left[long] > 0) & (self.left[gap - long] > (long * 2 == gap))
-        return (int(long[fits.argmax()]), gap - int(long[fits.argmax()])) if fits.any() else None
+        if (long := self.pairs.get(total)) is None:
+            return None
+        fits = self._there(long, total) & (long <= most)
+        return (int(long[fits.argmax()]), total - int(long[fits.argmax()])) if fits.any() else None
+
+    def _three(self, total: int) -> tuple[int, ...] | None:
+        for x in self.triples.get(total, np.zeros(0, dtype=np.int64)).tolist():
+            if not self.left[x] or total - x not in self.pairs:
+                continue
+            self.left[x] -= 1
+            two = self._two(total - x, x)
+            self.left[x] += 1
+            if two:
+                return (x, *two)
+        return None
 
     def _complement(self, length: int) -> tuple[int, ...] | None:
+        gap = self.capacity - length
         self.left[length] -= 1  # the piece whose gap is to be filled
         try:
-            gap = self.capacity - length
             if gap == 0 or self.left[gap]:
                 return (gap,) if gap else ()
-            if two := self._two(gap, gap):
-                return two
-            for a in np.flatnonzero(self.left[:max(gap - 1, 0)])[::-1].tolist():
-                if 3 * a < gap:
-                    break
-                self.left[a] -= 1
-                two = self._two(gap - a, a)
-                self.left[a] += 1
-                if two:
-                    return (a, *two)
-            return None
+            return self._two(gap, gap) or self._three(gap)
         finally:
             self.left[length] += 1
 
     def _exact(self) -> None:
+        gone = REBUILD
         for length in range(self.capacity, 0, -1):
-            while self.left[length] and (rest := self._complement(length)) is not None:
+            while self.left[length]:
+                if gone >= REBUILD:
+                    self._index()
+                    gone = 0
+                if (rest := self._complement(length)) is None:
+                    break
                 self._fill((length, *rest))
+                gone += sum(not self.left[x] for x in {length, *rest})
 
     def _best_fit(self) -> None:
         gaps: dict[int, list[tuple[int, int]]] = {}  # free tokens: first sequence, number of sequences

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.text import range_keys, remainder, slices, word_bounds
+from sievewright.llm.text import mixed, range_keys, remainder, slices, word_bounds
 from sievewright.storage import Workspace
 
 ORDER = 5
@@ -32,6 +32,7 @@ _BITS = 9
 _STOP, _BEGIN = 256, 257  # the symbol after the last byte, and what stands before the first
 #: Grams, words and the count of ends share one key column: grams are below this number, word hashes are negative.
 _END = 1 << 62
+_NO_KEY = np.int64(np.iinfo(np.int64).max)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -146,29 +147,70 @@ def costs(totals: DataFrame, space: Workspace) -> DataFrame:
     return below.select("key", F.col("plain").alias("value"))
 
 
-def _score(docs: pa.Table, items: pa.Table, tokens: int, words: int, ends: int) -> pa.Table:
-    """Scores of the documents of one block, from the values of its grams and words."""
-    key, value = items.column("key").to_numpy(), items.column("value").to_numpy()
-    order = np.argsort(key)
-    key, value = key[order], value[order]
-    grams_from = np.searchsorted(key, 0)
-    (word_keys, gram_keys), (counts, bits) = (np.split(x, [grams_from]) for x in (key, value))
+class Lookup:
+    """Values of known numbers, by open addressing: a byte of text costs a few reads of memory instead of a search."""
+
+    def __init__(self, key: np.ndarray, value: np.ndarray):
+        bits = max(4, int(3 * len(key)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.key, self.value = np.full(1 << bits, _NO_KEY), np.zeros(1 << bits)
+        owner = np.full(1 << bits, -1, dtype=np.int64)
+        slot, left = self._slots(key), np.arange(len(key))
+        while len(left):
+            at = slot[left]
+            free = self.key[at] == _NO_KEY
+            owner[at[free]] = left[free]
+            won = free & (owner[at] == left)
+            self.key[at[won]], self.value[at[won]] = key[left[won]], value[left[won]]
+            left = left[~won]
+            slot[left] = (slot[left] + 1) & self.last
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return (mixed(key.view(np.uint64)) >> self.shift).astype(np.int64)
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        """All of ``key`` must be known."""
+        slot = self._slots(key)
+        left = np.flatnonzero(self.key[slot] != key)
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.last
+            left = left[self.key[slot[left]] != key[left]]
+        return self.value[slot]
+
+
+def _score(batches: Iterator[pa.RecordBatch], tokens: int, words: int, ends: int) -> Iterator[pa.RecordBatch]:
+    """Scores of the documents of each block: the values of its grams and words come first, then its documents."""
     smooth = tokens + 0.5 * (words + 1)
     log = lambda c: np.log10((c + 0.5) / smooth)
-    out = {k: np.zeros(docs.num_rows, dtype=kind) for k, kind in (("n_tokens", np.int64), ("n_known", np.int64), ("base_score", float), ("score", float))}
-    for lo, hi, data, bounds in slices(docs.column("text"), SLICE_BYTES):
-        data = _LOWER[data]
-        gram, at = grams(data, bounds)
-        cost = bits[np.searchsorted(gram_keys, gram)]
-        out["score"][lo:hi] = -np.add.reduceat(cost, at[:-1]) * np.log10(2)
-        word, row = _words(data, bounds)
-        c = counts[np.searchsorted(word_keys, word)] if len(word) else np.zeros(0)
-        out["n_tokens"][lo:hi] = np.bincount(row, minlength=hi - lo) + 1
-        out["n_known"][lo:hi] = np.bincount(row, weights=c > 0, minlength=hi - lo) + (ends > 0)
-        out["base_score"][lo:hi] = np.bincount(row, weights=log(c), minlength=hi - lo) + log(ends)
-    return pa.table({
-        "doc_id": docs.column("doc_id"), "train": docs.column("train"), "n_tokens": out["n_tokens"], "n_known": out["n_known"],
-        "train_tokens": np.full(docs.num_rows, tokens, dtype=np.int64), "base_score": out["base_score"], "score": out["score"]})
+    block, listed, known = None, [], None
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)] if len(blocks) else [0]
+        for a, b in zip(edges, edges[1:]):
+            if blocks[a] != block:
+                block, listed, known = blocks[a], [], None
+            part = batch.slice(a, b - a)
+            is_value = part.column("text").is_null().to_numpy(zero_copy_only=False)
+            n_values = int(is_value.sum())  # they are sorted before the documents
+            if n_values:
+                listed.append(tuple(part.column(k).slice(0, n_values).to_numpy().copy() for k in ("key", "value")))
+            part = part.slice(n_values)
+            if not len(part):
+                continue
+            if known is None:
+                known = Lookup(*(np.concatenate([np.zeros(0, dtype=kind), *(x[k] for x in listed)]) for k, kind in ((0, np.int64), (1, float))))
+                listed = []
+            for lo, hi, data, bounds in slices(part.column("text"), SLICE_BYTES):
+                data, rows = _LOWER[data], hi - lo
+                gram, at = grams(data, bounds)
+                score = -np.add.reduceat(known(gram), at[:-1]) * np.log10(2)
+                word, row = _words(data, bounds)
+                c = known(word)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").slice(lo, rows), part.column("train").slice(lo, rows),
+                     pa.array(np.bincount(row, minlength=rows) + 1), pa.array((np.bincount(row, weights=c > 0, minlength=rows) + (ends > 0)).astype(np.int64)),
+                     pa.array(np.full(rows, tokens)), pa.array(np.bincount(row, weights=log(c), minlength=rows) + log(ends)), pa.array(score)],
+                    names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
 def score(docs: DataFrame, space: Workspace, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -183,7 +225,7 @@ def score(docs: DataFrame, space: Workspace, block_bytes: int = BLOCK_BYTES) ->
     blocks = max(1, -(-size // block_bytes))
     # By id and text, so that copies and shared ids spread.
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    together = dealt.repartition(blocks, "block").sortWithinPartitions("block")
+    together = dealt.repartitionById(blocks, "block").sortWithinPartitions("block")
     items = space.hold(together.mapInArrow(_gather, "block int, key bigint, n bigint"), "items")
     totals = space.hold(items.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     known = totals.where(((F.col("key") < 0) | (F.col("key") == _END)) & (F.col("n") > 0)).agg(
@@ -193,8 +235,13 @@ def score(docs: DataFrame, space: Workspace, block_bytes: int = BLOCK_BYTES) ->
     counted = totals.where("key < 0").select("key", F.col("n").cast("double").alias("value"))
     values = items.where(F.col("key") != _END).select("block", "key").join(priced.unionByName(counted), "key")
     id_type = dict(docs.dtypes)["doc_id"]
-    return dealt.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
-        lambda left, right: _score(left, right, tokens, words, ends),
+    none = lambda kind: F.lit(None).cast(kind)
+    # A block is a partition of its own: what its grams and words cost, then its documents.
+    left = values.select("block", none(id_type).alias("doc_id"), none("string").alias("text"), none("boolean").alias("train"), "key", "value")
+    right = dealt.select("block", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "train", none("bigint").alias("key"), none("double").alias("value"))
+    together = left.unionAll(right).repartitionById(blocks, "block").sortWithinPartitions("block", F.col("text").isNotNull())
+    return together.mapInArrow(
+        partial(_score, tokens=tokens, words=words, ends=ends),
         f"doc_id {id_type}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 

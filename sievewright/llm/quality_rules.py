@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm.keys import shielded
 from sievewright.llm.labelled import sample
 from sievewright.llm.text import add_columns, widened
 
@@ -189,8 +190,12 @@ def base_failed() -> Column:
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """All columns of ``docs``, the statistics, ``__q_base_failed``, ``__q_rule`` and ``__q_kept``; one row per row.
 
-    Null text has no words and fails. Repeated rows are judged alike; columns of any name but ``__q_*`` pass through.
+    Null text has no words and fails. Repeated rows are judged alike; columns of any name but ``__q_*`` pass through, and those
+    are refused.
     """
+    taken = [c for c in docs.columns if c.startswith(PREFIX)]
+    if taken:
+        raise ValueError(f"columns named {PREFIX}* are the operator's own: {', '.join(taken)}")
     return (
         with_counts(docs, text)
         .withColumn(PREFIX + "base_failed", base_failed())
@@ -200,8 +205,9 @@ def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, all columns as they came."""
-    return judge(docs, fit(docs, labels)).where(PREFIX + "kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents that the rules keep, all columns as they came, whatever their names."""
+    own, named = shielded(docs, "doc_id", "text")
+    return named(judge(own, fit(own, labels)).where(PREFIX + "kept"))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

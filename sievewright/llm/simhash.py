@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.components import components
+from sievewright.llm.keys import shielded
 from sievewright.llm.text import add_columns, widened
 from sievewright.storage import Workspace
 
@@ -198,9 +199,10 @@ def _search_shard(table: pa.Table, first_of_second: int, max_bits: int) -> pa.Ta
 def links(prints: DataFrame, space: Workspace, max_bits: int = MAX_BITS, shard: int = SHARD) -> DataFrame:
     """``u, v``: links that join the same fingerprints as all pairs within ``max_bits`` do. ``prints`` is a held table
     of different fingerprints, ``__print``."""
-    n = prints.count()
-    sample = prints.select("__print", F.xxhash64("__print").alias("h")).orderBy("h").limit(SAMPLE).toPandas()["__print"].to_numpy(np.int64).view(np.uint64)
-    trees = [top_tree(sample, half, max_bits, max(1, min(-(-n // shard), len(sample) // 8))) for half in (0, 1)]
+    shards = max(1, -(-prints.count() // shard))
+    # Eight sampled fingerprints for each shard to be.
+    sample = prints.select("__print", F.xxhash64("__print").alias("h")).orderBy("h").limit(max(SAMPLE, 8 * shards)).toPandas()["__print"].to_numpy(np.int64).view(np.uint64)
+    trees = [top_tree(sample, half, max_bits, max(1, min(shards, len(sample) // 8))) for half in (0, 1)]
     routed = prints.select("__print").mapInArrow(partial(_route, trees=trees), "shard int, home boolean, __print bigint")
     first_of_second = trees[0][1]
     found = routed.groupBy("shard").applyInArrow(lambda t: _search_shard(t, first_of_second, max_bits), "u bigint, v bigint")
@@ -230,8 +232,9 @@ def report(docs: DataFrame, space: Workspace) -> DataFrame:
 def clean(docs: DataFrame, space: Workspace) -> DataFrame:
     """One document of each component, the one with the smallest id (the first of its rows, if it has several), columns
     as they came; the rest go. Rows with a null id stay only where no row of their component has an id, one of each."""
-    own = space.hold(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    hidden, named = shielded(docs, "doc_id", "text")
+    own = space.hold(hidden.withColumn("__row", F.monotonically_increasing_id()), "rows")
     groups = grouped(own.select(F.struct("doc_id", "__row").alias("doc_id"), "text"), space)
     order = F.struct(F.col("doc_id.doc_id").isNull(), F.col("doc_id.doc_id"), F.col("doc_id.__row"))
     kept = groups.groupBy("__component").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
-    return own.join(kept, "__row", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return named(own.join(kept, "__row", "left_semi"))

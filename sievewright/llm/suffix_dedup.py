@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm.keys import keyed, unkeyed
-from sievewright.llm.text import RangeHash, mixed, raw_bytes, slices
+from sievewright.llm.text import RangeHash, eight_bytes, mixed, raw_bytes, slices
 from sievewright.storage import Workspace
 
 LENGTH = 100
@@ -102,11 +102,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
 
 def _words(data: np.ndarray) -> np.ndarray:
     """Eight bytes from every position as one number that compares as they do."""
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(data), dtype=np.uint64)
-    for i in range(8):
-        out |= padded[i:i + len(data)] << np.uint64(56 - 8 * i)
-    return out
+    return eight_bytes(data)[:len(data)].byteswap()
 
 
 def _sort_directly(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
@@ -227,7 +223,9 @@ def _block(table: pa.Table, length: int) -> pa.Table:
 
 def removals(own: DataFrame, space: Workspace, length: int = LENGTH, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, __copy, a, b``: spans of bytes to remove; they may overlap."""
-    listed = own.select(*KEY, "text").mapInArrow(_list, "doc_id bigint, __copy bigint, at bigint, n bigint, mark bigint, body bigint, again boolean")
+    # Listing costs more than reading the list again: it is written once.
+    listed = space.hold(own.select(*KEY, "text").mapInArrow(
+        _list, "doc_id bigint, __copy bigint, at bigint, n bigint, mark bigint, body bigint, again boolean"), "listed")
     # First only the marks: those of two pieces, or of one in which their gram repeats.
     often = space.hold(listed.groupBy("mark").agg(F.count(F.lit(1)).alias("c"), F.max("again").alias("again")).where("c > 1 or again").select("mark"), "marks")
     found = space.hold(listed.join(often, "mark", "left_semi"), "pieces")

@@ -10,7 +10,8 @@ from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sievewright.llm import components, line_dedup, simhash, suffix_dedup
+from sievewright.llm import components, decontamination, line_dedup, quality_rules, simhash, suffix_dedup
+from sievewright.storage import Workspace
 
 
 def ordered(docs):
@@ -39,6 +40,14 @@ def plain_lines(rows, least):
                 if size >= least:
                     runs.append((d, a, ink[a], ink[b], "\n".join(lines[i] for i in ink[a:b + 1])))
                     break
+    found = {}
+    for d, (_, text) in enumerate(rows):
+        lines = (text or "").split("\n")
+        ink = [i for i, x in enumerate(lines) if x.encode().strip(b" \t\n\x0b\x0c\r")]
+        for a, i in enumerate(ink):
+            if len(lines[i].encode()) + 1 < least and len(lines[i].encode().split()) >= 4:
+                found.setdefault(lines[i], []).append((d, a, i, i, lines[i]))
+    runs += [r for same in found.values() if len({r[0] for r in same}) >= 3 for r in same]
     for d, a, _, _, run in sorted(runs):
         seen.setdefault(run, (d, a))
     for d, (_, text) in enumerate(rows):
@@ -56,6 +65,14 @@ def test_line_dedup(shipped, space):
     assert [got[i]["text"] for i, _ in rows] == expected and any(e != t for e, (_, t) in zip(expected, rows))
 
 
+def test_short_lines_that_recur(shipped, space):
+    notice = "Licensed under the public terms."
+    rows = [(i, f"own text {i}\n{notice}\nthree words only\n{pair}") for i, pair in enumerate(["one two three four five"] * 2 + ["x"] * 3)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(shipped.createDataFrame(rows, "doc_id bigint, text string"), space).collect()}
+    assert got[0] == rows[0][1] and got[1] == "own text 1\nthree words only\none two three four five"
+    assert all(got[i] == f"own text {i}\nthree words only\nx" for i in (2, 3, 4))
+
+
 def test_line_dedup_of_odd_rows(space, odd):
     got = line_dedup.dedup(odd, space).collect()
     assert len(got) == odd.count() and {"n_words", "mark"} <= set(got[0].asDict())
@@ -221,3 +238,29 @@ def test_kept_bytes_digest(shipped, space):
     docs = shipped.createDataFrame([(1, "ab"), (2, None)], "doc_id bigint, text string")
     got = {r["doc_id"]: r["kept_sha256"] for r in suffix_dedup.report(docs, space).collect()}
     assert got == {1: hashlib.sha256(b"ab").hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
+
+
+def test_columns_of_any_name_come_back_as_they_were(shipped, labels):
+    """Names that the operators use themselves, with values that must not change."""
+    names = ["__copy", "__row", "__lines", "__removed", "__spans", "__all", "__q_kept", "__q_n_words", "__user0", "__component", "n_words", "words", "tries"]
+    text = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen."
+    rows = [(i, t, *range(100 * i, 100 * i + len(names))) for i, t in ((1, text), (2, "own " + text + " with more words behind it"), (3, None), (4, text))]
+    docs = shipped.createDataFrame(rows, ", ".join(["doc_id bigint", "text string", *(f"`{n}` int" for n in names)])).repartition(2)
+    benchmark = shipped.createDataFrame([(1, "nothing of this stands anywhere")], "item_id bigint, text string")
+    space = lambda: Workspace(shipped, "names")
+    by_id = {r[0]: r for r in rows}
+    for kept in (line_dedup.clean(docs, space()), simhash.clean(docs, space()), decontamination.clean(docs, benchmark, space()), quality_rules.keep_good(docs, labels)):
+        assert kept.columns == docs.columns
+        got = kept.collect()
+        assert got and all(tuple(r)[2:] == by_id[r["doc_id"]][2:] for r in got)
+    with pytest.raises(ValueError, match="__q_kept"):
+        quality_rules.judge(docs, [])
+
+
+def test_pieces_of_regular_texts_are_told_apart(shipped, space):
+    """Thue-Morse words and their complements, which polynomials modulo a power of two cannot tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    docs = shipped.createDataFrame([(1, a), (2, b), (3, "x" + a), (4, b + "y")], "doc_id bigint, text string")
+    got = {r["doc_id"]: bytes(r["kept"]).decode() for r in suffix_dedup.dedup(docs, space).collect()}
+    assert [got[i] for i in (1, 2, 3, 4)] == [x[3].decode() for x in plain_strings([a, b, "x" + a, b + "y"], 100)]

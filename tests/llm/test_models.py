@@ -76,8 +76,17 @@ def test_learned_conditions():
 
 def test_sample_is_bounded_and_skips_contradictions(odd, labels):
     rows = sample(odd, labels, "quality", 10).collect()
-    assert sorted(r["doc_id"] for r in rows) == [3, 3, 8]
-    assert len({r["doc_id"] for r in sample(odd, labels, "quality", 1).collect()}) == 1
+    # Of an id with several documents, one is taken.
+    assert sorted(r["doc_id"] for r in rows) == [3, 8]
+    assert len(sample(odd, labels, "quality", 1).collect()) == 1
+
+
+def test_sample_stays_bounded_when_an_id_has_many_documents(shipped, labels):
+    docs = shipped.range(5000).selectExpr("3L AS doc_id", "concat('text ', id) AS text").unionAll(shipped.createDataFrame([(8, None)], "doc_id bigint, text string"))
+    rows = sample(docs, labels, "quality", 10).collect()
+    assert sorted(r["doc_id"] for r in rows) == [3, 8]
+    again = sample(docs.repartition(7), labels, "quality", 10).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, again), key=repr)
 
 
 def test_classifier_on_the_held_out_fold(shipped):
@@ -146,6 +155,56 @@ def test_byte_model(shipped, space, block):
         assert got[i] == pytest.approx(expected, rel=1e-9)
 
 
+def test_words_that_only_look_alike_are_not_known(shipped, space):
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    rows = [(0, a, True), (1, b, False), (2, a, False)]
+    got = {r["doc_id"]: r["n_known"] for r in ppm.score(shipped.createDataFrame(rows, "doc_id bigint, text string, train boolean"), space).collect()}
+    assert got == {0: 2, 1: 1, 2: 2}
+
+
+def test_lookups_by_open_addressing():
+    rng = np.random.default_rng(8)
+    key = np.unique(rng.integers(-(1 << 62), 1 << 62, 5000))
+    value = rng.random(len(key))
+    at = rng.integers(0, len(key), 20_000)
+    assert (ppm.Lookup(key, value)(key[at]) == value[at]).all()
+    assert ppm.Lookup(key[:0], value[:0])(key[:0]).tolist() == []
+    assert ppm.Lookup(np.arange(100), np.arange(100.0))(np.arange(100)).tolist() == list(range(100))
+
+
+def plain_follow(examples, epochs=4, alpha=0.6, beta=1.0, l1=0.02, l2=0.5):
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for label, at, value in examples:
+            x = dict(zip(at.tolist(), map(float, value))) | {1 << classifier.BITS: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_classifier_follows_plain_arithmetic():
+    """The updates once more in plain floats over dictionaries: the same weights, and so the same scores."""
+    rng = np.random.default_rng(6)
+    examples = []
+    for _ in range(50):
+        at = np.sort(rng.choice(40, 6, replace=False)).astype(np.int32)
+        examples.append((int(rng.integers(0, 2)), at, rng.random(6).astype(np.float32)))
+    expected = plain_follow(examples)
+    got = classifier.follow(examples)
+    assert {int(i): got[i] for i in np.flatnonzero(got)} == pytest.approx(expected, rel=1e-4, abs=1e-6)
+
+
 def test_byte_model_probabilities_sum_to_one(shipped, space):
     """A text of one byte, for every byte, and the empty text: the first symbols share a probability of one."""
     rows = [(i, chr(i) if i < 128 else None if i == 128 else "ab" * 5, i >= 128) for i in range(130)]
