@@ -6,21 +6,28 @@ aggregates, so that an agreement means something.
 
 from __future__ import annotations
 
-from sievewright.contracts import (
-    CSV_NA_TOKENS,
-    CURRENCY_SIGNS,
-    FINANCIALS,
-    INVISIBLE_CHARACTERS,
-    REPLACEMENT_CHARACTER,
-    REPORT_NULL_TOKENS,
-    SALES,
-    SPECIAL_CHARACTERS,
-    STREAM_TYPO_DICTIONARY,
-    VALID_REGIONS,
-)
+from sievewright.contracts import FINANCIALS, SALES
 from sievewright.fixtures import FINANCIALS_RAW_SQL, SALES_RAW_SQL
-from sievewright.functions.checks import SUSPICIOUS_PATTERN
-from sievewright.functions.dates import DATE_PATTERN
+
+# Fixed values, stated here once more: what the rules are compared with must not come from the rules.
+VALID_REGIONS = ("North", "South", "East", "West", "Central")
+STREAM_TYPO_DICTIONARY = {"Region": ("North", "South", "East", "West"), "Payment_Method": ("Cash", "Card", "Online")}
+REPORT_NULL_TOKENS = ("", "NULL", "null", "none", "NaN", "nan", "Nan", "NA", "N/A", "n/a", "na")
+CSV_NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null", "none", "Nan")
+CURRENCY_SIGNS = "€£$¥₱₩₦₭₮₨₹₡₢₫₲₴₵₸₺₼₾₿"
+REPLACEMENT_CHARACTER = "\ufffd"
+INVISIBLE_CHARACTERS = {
+    "\ufeff": "BOM/zero-width no-break space", "\u200b": "zero-width space", "\u200c": "zero-width non-joiner", "\u200d": "zero-width joiner",
+    "\u2060": "word joiner", "\u202e": "right-to-left override", "\u202a": "left-to-right embedding", "\u202b": "right-to-left embedding",
+    "\u00a0": "non-breaking space",
+}
+SPECIAL_CHARACTERS = REPLACEMENT_CHARACTER + "".join(INVISIBLE_CHARACTERS)
+SUSPICIOUS_PATTERN = r"[^a-zA-Z0-9\s.,;:!?()\-_/]"
+DATE_PATTERN = (
+    r"^(\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])|(0[1-9]|[12]\d|3[01])-(0[1-9]|1[0-2])-\d{4}|(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])-\d{4}"
+    r"|\d{4}/(0[1-9]|[12]\d|3[01])/(0[1-9]|1[0-2])|(0[1-9]|[12]\d|3[01])/(0[1-9]|1[0-2])/\d{4}|(0[1-9]|1[0-2])/(0[1-9]|[12]\d|3[01])/\d{4}|\d{8})$")
 
 RUN_TS = "2024-01-31T00:00:00"
 S = SALES.fieldNames()
@@ -339,14 +346,15 @@ def names_where(pairs) -> str:
     return "concat_ws(',', " + ", ".join(f"CASE WHEN {cond} THEN {lit(n)} END" for n, cond in pairs) + ")"
 
 
-def sales_quarantine() -> str:
+def sales_quarantine(stream: bool = False) -> str:
+    """``stream``: the number rule also sees rows that leave as null rows, and typos of the surviving rows are reported."""
     lower_first = ", ".join(f"{n.lower()} AS {q(n)}" for n in S)
     late_null = once(f"""SELECT 'Null values found' AS issue, {names_where((n, f'{q(n)} IS NULL') for n in S)} AS f,
         {row_hash(S)} AS row_hash, {cols(S)} FROM s4 WHERE {either(f'{q(n)} IS NULL' for n in S)}""",
                      "row_hash", [q("f"), *[q(n) for n in S]])
     late_low = once(f"""SELECT 'Negative values found' AS issue, {names_where((n, f'{q(n)} <= 0') for n in S_INT)} AS f,
-        {row_hash(S)} AS row_hash, {cols(S)} FROM s5 WHERE {either(f'{q(n)} <= 0' for n in S_INT)}""",
-                    "row_hash", [q(n) for n in S])
+        {row_hash(S)} AS row_hash, {cols(S)} FROM {'s4' if stream else 's5'} WHERE {either(f'{q(n)} <= 0' for n in S_INT)}""",
+                    "row_hash", [q("f"), *[q(n) for n in S]])
     late_chars = once(f"""SELECT {row_issue(S_TEXT)} AS issue,
         concat_ws(' | ', {", ".join(f'CASE WHEN {char_bad(q(n))} THEN {q(n)} END' for n in S_TEXT)}) AS v,
         {row_hash(S)} AS row_hash, {cols(S)} FROM s6 WHERE bad""", "row_hash", [q(n) for n in S])
@@ -359,9 +367,17 @@ def sales_quarantine() -> str:
         quarantine_part("null_values", late_null, "f"),
         quarantine_part("negative_values", late_low, "f"),
         quarantine_part("unknown_chars", late_chars, "NULL", "v"),
+        *([stream_typos()] if stream else []),
     ])
 
 
+def stream_typos() -> str:
+    hashed = row_hash([*S, "dirty_reason", "column_flagged", "suggested_value"])
+    return (f"SELECT 'typos' AS rule, dirty_reason AS issue, column_flagged AS flagged, CAST(NULL AS VARCHAR) AS bad_value, "
+            f"suggested_value, source_file, {PROJECT}, {hashed} AS row_hash, {cols(S, lambda n: f'CAST({q(n)} AS VARCHAR) AS {q(n)}')} "
+            f"FROM ({typos('s6', False)})")
+
+
 def rule_records() -> str:
     """The quarantine again, every rule in the column order of its own table, joined by ``|``."""
     front = {
@@ -382,10 +398,25 @@ TOPIC = (("invalid_region", "dirty-region-events"), ("region_conflicts", "dirty-
          ("negative_values", "dirty-negative-values"), ("unknown_chars", "dirty-special-chars"))
 
 
-def stream_clean() -> str:
+def stream_clean(raw: str = RAW) -> str:
     """The stream cleans ids as well, which title case has already made tidy."""
     names = ", ".join(f"{upper_id(title(q(n))) if n == 'Order_ID' else title(q(n))} AS {q(n)}" for n in S)
-    return f"{RAW}, c AS MATERIALIZED (SELECT {names} FROM raw)"
+    return f"{raw}, c AS MATERIALIZED (SELECT {names} FROM raw)"
+
+
+ALONE = (f"every AS MATERIALIZED ({SALES_RAW_SQL}), raw AS MATERIALIZED (SELECT * FROM every WHERE Order_ID IS NULL OR Order_ID NOT IN "
+         "(SELECT Order_ID FROM every WHERE Order_ID IS NOT NULL GROUP BY Order_ID HAVING count(*) > 1))")
+
+
+def late_batch(k: int) -> str:
+    """The rows that micro-batch ``k`` loads: those of that batch that leave the pipeline run over all batches up to it.
+
+    No id is in two rows, so only the conflicts of customers depend on other batches.
+    """
+    part = "coalesce(try_cast(Order_ID AS BIGINT) % 3, 0)"
+    alone = ALONE.replace("raw AS MATERIALIZED", "alone AS MATERIALIZED")
+    stages = sales_stages(chars_leave=False, clean=stream_clean(f"{alone}, raw AS MATERIALIZED (SELECT * FROM alone WHERE {part} <= {k})"))
+    return f"SELECT * FROM (WITH {stages} SELECT * FROM s8 WHERE Order_ID % 3 = {k})"
 
 
 # --- the financials pipeline --------------------------------------------------------------------
@@ -401,10 +432,11 @@ def spelled(c: str) -> str:
 def financial_type_bad(name: str, c: str) -> str:
     if name == "Date":
         return f"{c} IS NOT NULL AND {parse_permissive(c)} IS NULL"
+    if name in F_INT:  # exact: a double holds integers up to 2**53 only
+        number = f"TRY_CAST({currency(c)} AS DECIMAL(38, 10))"
+        return f"{c} IS NOT NULL AND NOT coalesce({number} = floor({number}) AND abs({number}) <= 9223372036854775807, false)"
     if name in F_NUM:
-        number = to_double(currency(c))
-        fine = f"{number} IS NOT NULL" if name not in F_INT else f"coalesce({number} = floor({number}), false)"
-        return f"{c} IS NOT NULL AND NOT {fine}"
+        return f"{c} IS NOT NULL AND {to_double(currency(c))} IS NULL"
     return "false"
 
 
@@ -558,6 +590,31 @@ def _partial(names, typed: bool) -> str:
     return ", ".join(one(n) for n in names)
 
 
+def written_dates() -> str:
+    """Each way to write a date, and what it means: the date, its day and month exchanged where both readings are dates, or nothing."""
+    y, m, d = "strftime(o, '%Y')", "strftime(o, '%m')", "strftime(o, '%d')"
+    name, n, yy = "monthname(o)", "day(o)", "strftime(o, '%y')"
+    same, none = "o", "NULL"
+    # Two numbers up to twelve in the other order than the rule expects.
+    turned = "CASE WHEN day(o) <= 12 THEN make_date(year(o), day(o), month(o)) ELSE o END"
+    ways = [
+        (f"{y} || '-' || {m} || '-' || {d}", same), (f"{d} || ' ' || {name} || ' ' || {y}", same),
+        (f"{name}[1:3] || ' ' || {n} || ', ' || {y}", same), (f"dayname(o) || ', ' || upper({name}) || ' ' || {n} || 'th ' || {y}", same),
+        (f"{d} || '/' || {m} || '/' || {y}", turned), (f"{m} || '-' || {d} || '-' || {y}", turned),
+        (f"{y} || '.' || month(o) || '.' || {n}", same), (f"{d} || '.' || {m} || '.' || {y}", turned), (f"{y} || {m} || {d}", same),
+        (f"{y} || '-' || {m} || '-' || {d} || 'T23:59:59.5Z'", same), (f"{m} || '/' || {d} || '/' || {yy}", same),
+        (f"{n} || '-' || {name}[1:3] || '-' || {yy}", same), (f"{y} || '-13-45'", none), (f"{name} || ' ' || {y}", none),
+        (f"'31 February ' || {y}", none), (f"{m} || '/' || {d} || '/' || {y} || ' 11:05 PM'", same),
+        (f"{y} || '/' || {d} || '/' || {m}", "CASE WHEN day(o) <= 12 THEN make_date(year(o), day(o), month(o)) END"),
+        (f"{y} || ' ' || {name}[1:3] || ' ' || {d}", same), (f"{y} || '-' || {m} || '-' || {d} || ' 25:10'", none),
+        (f"' ' || {n} || 'th of ' || {name} || '  ' || {y}", same),
+    ]
+    text = " ".join(f"WHEN {k} THEN {t}" for k, (t, _) in enumerate(ways))
+    means = " ".join(f"WHEN {k} THEN {v}" for k, (_, v) in enumerate(ways))
+    return (f"SELECT o_orderkey, CASE o_orderkey % 20 {text} END AS text, CAST(CASE o_orderkey % 20 {means} END AS DATE) AS parsed "
+            "FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o FROM orders)")
+
+
 def oracle_sql() -> dict[str, str]:
     landed = f"SELECT {each(S, blank)}"
     na_free = ", ".join(
@@ -577,11 +634,19 @@ def oracle_sql() -> dict[str, str]:
             "typos": f"SELECT *, {row_hash([*S, 'dirty_reason', 'column_flagged', 'suggested_value', 'source_file'])} AS row_hash FROM ({typos('raw', False)})",
             "id_changes": id_changes("raw", ["Order_ID"]), "string_changes": string_changes("raw"),
         }.items())
+    new_only = _with(f"{CLEAN}, {OLD}", "SELECT * FROM (SELECT " + ", ".join(
+        f"{convert(n, q(n))} AS {q(n)}" for n in S) + " FROM c) WHERE Order_ID IS NULL OR Order_ID NOT IN (SELECT id FROM old)")
+    report = _with(sales_stages(), f"SELECT 'raw' AS stage, count(*) AS rows FROM c UNION ALL SELECT rule, count(*) FROM ({sales_quarantine()}) GROUP BY rule UNION ALL SELECT 'loaded', count(*) FROM loaded")
     stream_loaded = _with(sales_stages(chars_leave=False, clean=stream_clean()), "SELECT * FROM s8")
     event = ("CASE WHEN event_type = 'error' THEN left(props, CAST(length(props) - 1 AS BIGINT)) ELSE props END")
     return {
         "src_csv_text": _with(RAW, f"{landed}, 'Test_Data_sales' AS source_file FROM raw"),
         "src_csv_financials": _with(FRAW, f"SELECT {na_free}, 'Financials' AS source_file FROM raw"),
+        "src_csv_malformed": """WITH o AS (SELECT o_orderkey::VARCHAR AS k, o_custkey::VARCHAR AS c, o_orderstatus AS s, o_orderkey % 10 AS kind FROM orders)
+            SELECT CASE WHEN kind NOT IN (1, 2, 3) THEN k END AS id, CASE WHEN kind = 4 THEN c || ',' WHEN kind NOT IN (1, 2, 3) THEN c END AS customer,
+              CASE WHEN kind NOT IN (1, 2, 3) THEN s END AS state, 'Test_Data' AS source_file,
+              CASE kind WHEN 1 THEN k || ',' || c || ',' || s || ',5' WHEN 2 THEN k || ',' || c WHEN 3 THEN k || ',"' || c || ',' || s END AS malformed_csv
+            FROM o""",
         "src_union_by_name": _with(RAW, f"{landed}, CASE WHEN Region = 'North' THEN 'north' ELSE 'others' END AS source_file FROM raw"),
         "sink_raw_landing": _with(RAW, f"{landed}, '2024-01-31' AS run_date FROM raw UNION ALL {landed}, '2024-02-01' AS run_date FROM raw WHERE Region = 'South'"),
         "src_raw_reload": _with(RAW, f"{landed} FROM raw"),
@@ -601,11 +666,13 @@ def oracle_sql() -> dict[str, str]:
         "strip_currency": _with(RAW, f"SELECT Order_ID, {currency('Unit_Price')} AS Unit_Price, {currency(chr(39) + '€ ' + chr(39) + ' || Total_Amount')} AS Total_Amount FROM raw"),
         "strip_special_chars": _with(RAW, f"SELECT {each(S, strip.format)} FROM raw"),
         "spelled_numbers": _with(FRAW, f"SELECT \"Row ID\", {spelled(q('Units Sold'))} AS \"Units Sold\", {spelled(q('Segment'))} AS \"Segment\" FROM raw"),
+        "spelled_numbers_many": "SELECT p_partkey, CAST(CASE WHEN p_partkey < 1000 THEN p_partkey ELSE p_partkey * 7919 % 1000000 END AS VARCHAR) AS number FROM part",
         "normalize_headers": _with(FRAW, "SELECT " + ", ".join(f"{q(n)} AS {q(n.lower())}" for n in FN) + " FROM raw"),
         "schema_align": _with(RAW, f"SELECT {_partial(S, False)} FROM raw"),
         "schema_align_keep": _with(RAW, f"SELECT {_partial(S, False)}, 'x' AS Remark FROM raw"),
         "schema_enforce": _with(RAW, f"SELECT {_partial(S, True)} FROM raw"),
         "cast_dates_multi": _with(RAW, f"SELECT Order_ID, Order_Date, {parse_multi('Order_Date')} AS parsed FROM raw"),
+        "cast_dates_permissive": written_dates(),
         "cast_numeric": _with(RAW, "SELECT Order_ID, " + ", ".join(
             f"{to_int(n)} AS {n}_int, {to_double(n)} AS {n}_double" for n in ("Quantity", "Unit_Price", "Total_Amount")) + " FROM raw"),
         "stream_light_transform": _with(RAW, f"SELECT {light} FROM raw"),
@@ -632,13 +699,20 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {lit(n)} AS column_name FROM raw HAVING max(CAST(regexp_matches({q(n)}, '\\d{{4}}[-/]\\d{{1,2}}[-/]\\d{{1,2}}') AS INT)) = 1" for n in FN)),
         "rule_typos_heuristic": _with(FRAW, doubtful("raw")),
         "rule_typos_levenshtein": _with(RAW, typos("raw", False)),
+        "rule_typos_table": _with(RAW, typos("raw", False)),
+        "rule_typos_part_names": f"""WITH d AS (SELECT p_partkey AS k, p_name || ' ' || p_partkey AS w FROM part),
+            t AS (SELECT k, CASE k % 3 WHEN 0 THEN w[1:2] || w[4:] WHEN 1 THEN w || 'x' ELSE w END AS Product FROM d)
+            SELECT t.k::VARCHAR AS p_partkey, Product, 'Possible typo' AS dirty_reason, 'Product' AS column_flagged, d.w AS suggested_value, {META}
+            FROM t JOIN d ON abs(length(Product) - length(d.w)) <= 2 AND levenshtein(lower(Product), lower(d.w)) <= 2 AND lower(Product) <> lower(d.w)
+            WHERE lower(Product) NOT IN (SELECT lower(w) FROM d)""",
         "rule_typos_parity": _with(RAW, typos("raw", True)),
         "agg_region_conflicts": _with(CLEAN, conflicts("c")),
         "rule_region_conflicts": _with(CLEAN, region_conflicts("c")),
         "drop_conflict_customers": _with(CLEAN, f"SELECT * FROM c WHERE Customer_Name IS NULL OR Customer_Name NOT IN ({conflicts('c')})"),
         "reject_by_id": _with(CLEAN, f"SELECT * FROM c WHERE Order_ID IS NULL OR Order_ID NOT IN (SELECT Order_ID FROM ({type_rows('c')}) WHERE Order_ID IS NOT NULL)"),
         "load_existing_keys": "SELECT CAST(o_orderkey AS INT) AS Order_ID FROM orders",
-        "load_new_only": _with(f"{CLEAN}, {OLD}", "SELECT * FROM (SELECT " + ", ".join(f"{convert(n, q(n))} AS {q(n)}" for n in S) + " FROM c) WHERE Order_ID IS NULL OR Order_ID NOT IN (SELECT id FROM old)"),
+        "load_new_only": new_only,
+        "load_new_only_clustered": new_only,
         "audit_id_changes": _with(RAW, id_changes("raw", ["Order_ID", "Customer_Name"])),
         "audit_string_changes": _with(RAW, string_changes("raw")),
         "json_decode": f"SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS INT) END AS k, CASE WHEN event_type = 'error' THEN {event} END AS _corrupt_record FROM events",
@@ -649,7 +723,13 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_tables": _with(f"{sales_stages()}, dirty AS MATERIALIZED ({sales_quarantine()})", rule_records()),
         "kafka_topics": _with(sales_stages(), "SELECT CASE rule " + " ".join(f"WHEN {lit(r)} THEN {lit(t)}" for r, t in TOPIC)
                               + f" END AS topic, row_hash AS key, issue, Order_ID FROM ({sales_quarantine()})"),
-        "quality_report": _with(sales_stages(), f"SELECT 'raw' AS stage, count(*) AS rows FROM c UNION ALL SELECT rule, count(*) FROM ({sales_quarantine()}) GROUP BY rule UNION ALL SELECT 'loaded', count(*) FROM loaded"),
+        "kafka_events": _with(sales_stages(), f"""SELECT 'dirty-type-schema' AS topic, CAST(NULL AS VARCHAR) AS key, 'DIRTY_TYPE_SCHEMA' AS event_type,
+              CAST(NULL AS VARCHAR) AS action, 'dirty_type_conversion' AS table_name,
+              CAST(to_json(list_sort(list(DISTINCT f))) AS VARCHAR) AS columns, CAST(NULL AS VARCHAR) AS details
+            FROM (SELECT unnest(string_split(dirty_columns, ',')) AS f FROM ({type_rows('s2')}))
+            UNION ALL SELECT 'audit-events', NULL, NULL, 'INSERT', 'sales', NULL, 'Loaded ' || count(*) || ' rows' FROM loaded"""),
+        "quality_report": report,
+        "quality_report_one_write": report,
         "etl_financials_clean": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "etl_financials_repeat": _with(FINANCIAL_STAGES, "SELECT DISTINCT " + ", ".join(financial_typed(n) for n in FN) + " FROM f7"),
         "quarantine_financials": _with(FINANCIAL_STAGES, financial_quarantine()),
@@ -660,6 +740,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_two_jobs_quarantine": _with(RAW, stream_keys),
         "stream_etl_clean": stream_loaded,
         "stream_replay_idempotent": stream_loaded,
+        "stream_commit_replay": stream_loaded,
+        "stream_bounded_batches": _with(sales_stages(chars_leave=False, clean=stream_clean(ALONE)), "SELECT * FROM s8"),
+        "stream_conflicts_across_batches": " UNION ALL ".join(late_batch(k) for k in range(3)),
+        "stream_pipeline_quarantine": _with(sales_stages(chars_leave=False, clean=stream_clean()), sales_quarantine(stream=True)),
         "stream_quarantine": _with(RAW, stream_keys),
     }
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -29,7 +30,20 @@ from sievewright.plans import financials, sales
 from sievewright.plans.batch import run_batch
 from sievewright.plans.ingest import run_for_date
 from sievewright.sources import files, streams, tables
-from sievewright.sources.sinks import FINANCIALS_RULES, RULES, Sinks, rule_table, to_topics
+from sievewright.sources.commits import Store
+from sievewright.sources.sinks import (
+    AUDIT_TOPIC,
+    FINANCIALS_RULES,
+    RULES,
+    SCHEMA_TOPIC,
+    CommittedRun,
+    CommittedSinks,
+    Sinks,
+    rule_table,
+    to_event_topic,
+    to_topics,
+    type_schema_event,
+)
 from sievewright.storage import Workspace
 from sievewright.streaming import runner
 
@@ -91,6 +105,24 @@ def src_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv_files(spark, [ws.path("north"), ws.path("others")])
 
 
+@query
+def src_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV text, of which some have a value too many or too few, or a quote that does not close, and some a quoted comma."""
+    ws = Workspace(spark, "src_csv_malformed")
+    order, customer, state = (F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus"))
+    kind = F.col("o_orderkey") % 10
+    line = (F.when(kind == 1, F.concat_ws(",", order, customer, state, F.lit("5"))).when(kind == 2, F.concat_ws(",", order, customer))
+            .when(kind == 3, F.concat_ws(",", order, F.concat(F.lit('"'), customer), state))
+            .when(kind == 4, F.concat_ws(",", order, F.concat(F.lit('"'), customer, F.lit(',"')), state))
+            .otherwise(F.concat_ws(",", order, customer, state)))
+    # Header and lines of a file stand together: one file per writing task.
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"))
+    header = spark.createDataFrame([("id,customer,state",)], "value string")
+    lines.unionByName(header).coalesce(1).sortWithinPartitions(F.col("value") != "id,customer,state").write.text(ws.path("inbox/Test_Data"))
+    contract = StructType([StructField(c, StringType()) for c in ("id", "customer", "state")])
+    return files.read_csv_folder(spark, ws.path("inbox"), "test_data", contract, malformed="column")
+
+
 @query
 def sink_raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "sink_raw_landing")
@@ -198,6 +230,37 @@ def spelled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.spelled_number("Segment").alias("Segment"))
 
 
+# English number words.
+UNITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen",
+         "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen")
+TENS = ("", "", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety")
+
+
+def _in_words(n: Column) -> Column:
+    """A number below a million as English words."""
+    units, tens = (F.array(*[F.lit(w) for w in words]) for words in (UNITS, TENS))
+
+    def below_hundred(x: Column) -> Column:
+        unit = F.when(x % 10 > 0, F.concat(F.lit("-"), F.get(units, (x % 10).cast("int")))).otherwise("")
+        return F.when(x < 20, F.get(units, x.cast("int"))).otherwise(F.concat(F.get(tens, F.floor(x / 10).cast("int")), unit))
+
+    def below_thousand(x: Column) -> Column:
+        rest = F.when(x % 100 > 0, F.concat(F.lit(" and "), below_hundred(x % 100))).otherwise("")
+        return F.when(x < 100, below_hundred(x)).otherwise(F.concat(F.get(units, F.floor(x / 100).cast("int")), F.lit(" Hundred"), rest))
+
+    rest = F.when(n % 1000 > 0, F.concat(F.lit("  "), below_thousand(n % 1000))).otherwise("")
+    return F.when(n < 1000, below_thousand(n)).otherwise(F.concat(below_thousand(F.floor(n / 1000)), F.lit(" thousand"), rest))
+
+
+@query
+def spelled_numbers_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of numbers written out and read again."""
+    n = F.col("p_partkey") * 7919 % 1_000_000
+    written = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") < 1000, F.col("p_partkey")).otherwise(n).alias("n"))
+    rows = written.select("p_partkey", _in_words(F.col("n")).alias("written"))
+    return rows.select("p_partkey", text.spelled_number("written").alias("number"))
+
+
 @query
 def normalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = financials_raw(spark, sf_dir)
@@ -230,6 +293,29 @@ def cast_dates_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Order_ID", "Order_Date", dates.parse_multi(F.col("Order_Date"), signed_years=True).alias("parsed"))
 
 
+@query
+def cast_dates_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates written in twenty ways, among them ambiguous, partial and impossible ones."""
+    date = F.col("o_orderdate").cast("date")
+    y, m, d = F.date_format(date, "yyyy"), F.date_format(date, "MM"), F.date_format(date, "dd")
+    month, day = F.date_format(date, "MMMM"), F.dayofmonth(date).cast("string")
+    short = F.substring(month, 1, 3)
+    ways = [
+        F.concat_ws("-", y, m, d), F.concat_ws(" ", d, month, y), F.concat(short, F.lit(" "), day, F.lit(", "), y),
+        F.concat(F.date_format(date, "EEEE"), F.lit(", "), F.upper(month), F.lit(" "), day, F.lit("th "), y),
+        F.concat_ws("/", d, m, y), F.concat_ws("-", m, d, y), F.concat_ws(".", y, F.month(date).cast("string"), day), F.concat_ws(".", d, m, y),
+        F.concat(y, m, d), F.concat(F.concat_ws("-", y, m, d), F.lit("T23:59:59.5Z")), F.concat_ws("/", m, d, F.substring(y, 3, 2)),
+        F.concat_ws("-", day, short, F.substring(y, 3, 2)), F.concat_ws("-", y, F.lit("13"), F.lit("45")), F.concat_ws(" ", month, y),
+        F.concat_ws(" ", F.lit("31 February"), y), F.concat(F.concat_ws("/", m, d, y), F.lit(" 11:05 PM")), F.concat_ws("/", y, d, m),
+        F.concat_ws(" ", y, short, d), F.concat(F.concat_ws("-", y, m, d), F.lit(" 25:10")), F.concat(F.lit(" "), day, F.lit("th of "), month, F.lit("  "), y),
+    ]
+    text = F.lit(None).cast("string")
+    for k, way in enumerate(ways):
+        text = F.when(F.col("o_orderkey") % 20 == k, way).otherwise(text)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", "text", dates.parse_permissive(F.col("text")).alias("parsed"))
+
+
 @query
 def cast_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales_raw(spark, sf_dir)
@@ -262,17 +348,19 @@ REGISTRY["row_hash"] = REGISTRY.pop("row_hashes")
 
 @query
 def dedup_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three columns, so that most rows have copies."""
     rows = clean_sales(spark, sf_dir).select("Customer_Name", "Region", "Payment_Method")
-    return dedup.dedup_row_hash(rows.select("*", row_hash(rows.columns).alias("row_hash")))
+    return dedup.dedup_row_hash(rows.select("*", row_hash(rows.columns).alias("row_hash")), Workspace(spark, "dedup_row_hash"))
 
 
 @query
 def dedup_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.dedup_primary_key(clean_sales(spark, sf_dir), "Order_ID")
+    return dedup.dedup_primary_key(clean_sales(spark, sf_dir), "Order_ID", workspace=Workspace(spark, "dedup_primary_key"))
 
 
 @query
 def dedup_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three columns, so that some rows have copies."""
     return dedup.dedup_full_row(clean_sales(spark, sf_dir).select("Customer_Name", "Region", "Product"))
 
 
@@ -383,6 +471,26 @@ def rule_typos_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typos(spark, sf_dir, True)
 
 
+@query
+def rule_typos_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typo rule with its dictionary as a table."""
+    pairs = [(name, value) for name, values in STREAM_TYPO_DICTIONARY.items() for value in values]
+    dictionary = spark.createDataFrame(pairs, "column_name string, value string")
+    return records(rules.typos_by_table(sales_raw(spark, sf_dir), dictionary, SALES_STAMP, Workspace(spark, "rule_typos_table")))
+
+
+@query
+def rule_typos_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with a letter too few or too many against a dictionary of all part names."""
+    name, key = F.concat_ws(" ", "p_name", "p_partkey"), F.col("p_partkey") % 3
+    parts = table(spark, sf_dir, "part").select("p_partkey", name.alias("name"))
+    written = (F.when(key == 0, F.concat(F.expr("substring(name, 1, 2)"), F.expr("substring(name, 4)")))
+               .when(key == 1, F.concat("name", F.lit("x"))).otherwise(F.col("name")))
+    rows = parts.select("p_partkey", written.alias("Product"))
+    dictionary = parts.select(F.lit("Product").alias("column_name"), F.col("name").alias("value"))
+    return records(rules.typos_by_table(rows, dictionary, SALES_STAMP, Workspace(spark, "rule_typos_part_names")))
+
+
 # --- set rules ----------------------------------------------------------------------------------
 
 @query
@@ -399,7 +507,7 @@ def rule_region_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_conflict_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_sales(spark, sf_dir)
     customers = keyed.conflicting_keys(rows, "Customer_Name", "Region")
-    return keyed.drop_listed(rows, customers, "Customer_Name", salts=keyed.HOT_KEY_SALTS)
+    return keyed.drop_listed(rows, customers, "Customer_Name", hot=keyed.hot_keys(rows, "Customer_Name"))
 
 
 @query
@@ -423,6 +531,28 @@ def load_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.drop_listed(typed, loaded_keys(spark, sf_dir), "Order_ID", split_nulls=True)
 
 
+@query
+def load_new_only_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same against a target of several loads, which is asked for the ids of the load by file range."""
+    ws = Workspace(spark, "load_new_only_clustered")
+    store = _loaded_store(spark, sf_dir, ws)
+    typed = ws.hold(schema.convert_types(clean_sales(spark, sf_dir), SALES), "typed")
+    there = store.keys("target", "Order_ID").matching(typed.select("Order_ID"))
+    return keyed.drop_listed(typed, there, "Order_ID", split_nulls=True)
+
+
+def _loaded_store(spark: SparkSession, sf_dir: str, ws: Workspace) -> Store:
+    """A committed target that holds the finished orders, loaded in three ranges of ids and then compacted."""
+    store, loaded = Store(spark, ws.path("store")), ws.hold(loaded_keys(spark, sf_dir), "loaded")
+    middle = F.floor(F.col("Order_ID") / 1000) % 3
+    for part in range(3):
+        commit = store.commit(f"load-{part}")
+        commit.add("target", schema.convert_types(schema.align(loaded.where(middle == part), SALES), SALES), "Order_ID", files=4)
+        commit.publish()
+    store.compact("target", "Order_ID")
+    return store
+
+
 # --- audits -------------------------------------------------------------------------------------
 
 @query
@@ -488,11 +618,31 @@ def kafka_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.get_json_object("value", "$.Order_ID").alias("Order_ID"))
 
 
+@query
+def kafka_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load sends beside its records: the columns that the type rule reports, and the audit record."""
+    result = _sales_run(spark, sf_dir, "kafka_events")
+    sent = to_event_topic(type_schema_event(result.quarantine), SCHEMA_TOPIC).unionByName(
+        to_event_topic(audits.load_audit(result.clean, "admin", "sales"), AUDIT_TOPIC))
+    return sent.select("topic", "key", *[
+        F.get_json_object("value", f"$.{n}").alias(n) for n in ("event_type", "action", "table_name", "columns", "details")])
+
+
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_run(spark, sf_dir, "quality_report").report
 
 
+@query
+def quality_report_one_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a load into a committed target: the clean rows are written once, and counted on the way."""
+    ws = Workspace(spark, "quality_report_one_write")
+    store = _loaded_store(spark, sf_dir, ws)
+    landed = ws.hold(sales_raw(spark, sf_dir), "landed")
+    run_batch(spark, SALES_BATCH, landed, CommittedSinks(store.root), RUN_DATE, SALES_STAMP)
+    return store.read("report").drop("run")
+
+
 @query
 def etl_batch_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch pipeline with rejection of the dirty rows only, not of all rows with their id."""
@@ -599,6 +749,94 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(ws.path("out/target"))
 
 
+def _batches(spark: SparkSession, sf_dir: str, ws: Workspace, part: Column) -> DataFrame:
+    """The rows whose id no other row has, as a stream of one file per ``part``, in the order of the parts; a file is a micro-batch."""
+    rows = ws.hold(sales_raw(spark, sf_dir), "rows")
+    shared = rows.groupBy("Order_ID").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    alone = rows.join(shared, "Order_ID", "left_anti").select(*rows.columns)
+    for k in range(3):
+        alone.where(part == k).select(F.to_json(F.struct(*rows.columns)).alias("value")).coalesce(1).write.mode("append").text(ws.path("in"))
+    return streams.decode(streams.json_lines_stream(spark, ws.path("in"), max_files=1), all_text(SALES))
+
+
+class _StopsAtSecond(CommittedSinks):
+    """Fails at the second micro-batch."""
+
+    def begin(self, spark: SparkSession, run: str, key: str) -> CommittedRun:
+        if run.endswith("-1"):
+            raise RuntimeError("stopped at the second batch")
+        return super().begin(spark, run, key)
+
+
+def _in_two_runs(stream: DataFrame, sinks: CommittedSinks, job: runner.Job, **options) -> None:
+    """One micro-batch, then a failure and a restart that takes the others."""
+    for into in (_StopsAtSecond(sinks.root), sinks):
+        try:
+            runner.start_pipeline(stream, into, SALES_STREAM, SALES_STAMP, job, **options).awaitTermination()
+        except StreamingQueryException:
+            pass
+
+
+@query
+def stream_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three bounded micro-batches with a restart after the first; no id or customer is in two of them, so one batch gives the same."""
+    ws = Workspace(spark, "stream_bounded_batches")
+    stream = _batches(spark, sf_dir, ws, F.crc32(F.coalesce(text.title_words(F.col("Customer_Name")), F.lit(""))) % 3)
+    sinks = CommittedSinks(ws.path("out"))
+    _in_two_runs(stream, sinks, _job(ws, "bounded"))
+    if sinks.store(spark).last() != 3:
+        raise RuntimeError("the stream came in other batches than three")
+    return sinks.store(spark).read("target")
+
+
+@query
+def stream_conflicts_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in several micro-batches: a region that differs from an earlier batch is a conflict from then on."""
+    ws = Workspace(spark, "stream_conflicts_across_batches")
+    stream = _batches(spark, sf_dir, ws, F.coalesce(F.col("Order_ID").try_cast("bigint") % 3, F.lit(0)))
+    sinks = CommittedSinks(ws.path("out"))
+    _in_two_runs(stream, sinks, _job(ws, "conflicts"), remember_customers=True)
+    return sinks.store(spark).read("target")
+
+
+class _FailsAtLoad(CommittedSinks):
+    """Fails between the quarantine and the load of every run."""
+
+    def begin(self, spark: SparkSession, run: str, key: str) -> CommittedRun:
+        staged = super().begin(spark, run, key)
+
+        class Failing(CommittedRun):
+            def load(self, clean: DataFrame) -> int:
+                raise RuntimeError("stopped before the load")
+
+        return Failing(staged.root, staged.commit, staged.key)
+
+
+def _committed_stream(spark: SparkSession, sf_dir: str, ws: Workspace) -> Store:
+    """The stream pipeline into committed tables: a delivery that fails before the load, and the same delivery again."""
+    stream, sinks = _sales_stream(spark, sf_dir, ws), CommittedSinks(ws.path("out"))
+    try:
+        runner.start_pipeline(stream, _FailsAtLoad(sinks.root), SALES_STREAM, SALES_STAMP, _job(ws, "first")).awaitTermination()
+    except StreamingQueryException:
+        pass
+    runner.start_pipeline(stream, sinks, SALES_STREAM, SALES_STAMP, _job(ws, "first")).awaitTermination()
+    return sinks.store(spark)
+
+
+@query
+def stream_commit_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target as its log shows it, after a failure between quarantine and load and a second delivery."""
+    ws = Workspace(spark, "stream_commit_replay")
+    return _committed_stream(spark, sf_dir, ws).read("target")
+
+
+@query
+def stream_pipeline_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine of the stream pipeline, after the same failure and second delivery."""
+    ws = Workspace(spark, "stream_pipeline_quarantine")
+    return _committed_stream(spark, sf_dir, ws).read("quarantine").drop("run", "logged_at")
+
+
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "stream_quarantine")

@@ -85,32 +85,61 @@ def strict_issue(c: Column) -> Column:
     )
 
 
+# How the days of the week begin in English.
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+_TIME = r"(?:[ t]|, )+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)? ?([ap]m)? ?(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+
+
+def _time_fits(text: Column) -> Column:
+    """No time of day at the end, or one that there is."""
+    hour, minute, second = (F.regexp_extract(text, _TIME, i).try_cast("int") for i in (1, 2, 3))
+    half_day = F.regexp_extract(text, _TIME, 4) != ""
+    fits = (minute < 60) & (F.coalesce(second, F.lit(0)) < 60) & F.when(half_day, hour.between(1, 12)).otherwise(hour < 24)
+    return F.when(text.rlike(_TIME), F.coalesce(fits, F.lit(False))).otherwise(F.lit(True))
+
+
+def _full_year(year: Column) -> Column:
+    """Four digits as they are; two digits are of 1969 to 2068."""
+    short = F.concat(F.when(year.try_cast("int") >= 69, "19").otherwise("20"), year)
+    return F.when(F.length(year) == 4, year).when(F.length(year) == 2, short)
+
+
 def parse_permissive(c: Column) -> Column:
-    """The strict formats, then a fixed list of others: ``yyyy.M.d``, ``M.d.yyyy`` (else day first),
-    ``yyyyMMdd``, ``d MMM yyyy``, ``MMM d, yyyy`` (English month names, short or full) and a date
-    followed by ``HH:mm:ss``. Not a free-form parser."""
-    text = F.trim(c)
-    dots = F.split(text, r"\.")
-    words = F.split(F.lower(F.translate(text, ",", "")), " ")
-    months = F.str_to_map(F.lit(",".join(f"{m[:3]}:{i}" for i, m in enumerate(MONTH_NAMES, 1))))
-
-    def month(i):
-        name = F.get(words, i)
-        return F.when(name.isin(*MONTH_NAMES, *[m[:3] for m in MONTH_NAMES]),
-                      F.try_element_at(months, F.substring(name, 1, 3)))
-
-    return F.coalesce(
-        parse_strict(text),
-        F.when(text.rlike(r"^\d{4}\.\d{1,2}\.\d{1,2}$"), F.translate(text, ".", "-").try_cast("date")),
-        F.when(text.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"),
-               F.coalesce(_as_date(F.get(dots, 2), F.get(dots, 0), F.get(dots, 1)),
-                          _as_date(F.get(dots, 2), F.get(dots, 1), F.get(dots, 0)))),
-        F.when(text.rlike(r"^\d{8}$"),
-               _as_date(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))),
-        F.when(text.rlike(r"^\d{1,2} \p{L}+ \d{4}$") & month(1).isNotNull(),
-               _as_date(F.get(words, 2), month(1), F.get(words, 0))),
-        F.when(text.rlike(r"^\p{L}+ \d{1,2},? \d{4}$") & month(0).isNotNull(),
-               _as_date(F.get(words, 2), month(0), F.get(words, 1))),
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ Tt]\d{2}:\d{2}:\d{2}(\.\d+)?$"),
-               F.substring(text, 1, 10).try_cast("date")),
+    """A date in any usual notation, in any letter case; NULL for what is none.
+
+    The text is cut into numbers, words and what stands between. A weekday in front, a time of day behind, endings as in ``3rd`` and
+    ``of`` are left out; what then remains is three parts with a month name (``5 March 2024``, ``Mar 5, 2024``, ``2024-Mar-05``, any of
+    English in full, by three letters or as ``sept``), three numbers with the same separator out of ``- / .`` and blank, or eight digits
+    ``yyyyMMdd``. The order of three numbers:
+
+    * a first number of four digits is the year, then month and day;
+    * else the last one is the year, of four or two digits (two: 1969 to 2068); of the other two the day comes first after hyphens and the
+      month otherwise, unless that gives no date: then it is the other way round.
+
+    A day or a year that is missing is not made up, and a time that does not exist spoils the text.
+    """
+    text = F.lower(F.trim(c))
+    days = "|".join(f"{d}|{d[:3]}" for d in WEEKDAYS) + "|tues|thur|thurs"
+    body = F.regexp_replace(text, _TIME, "")
+    body = F.regexp_replace(body, rf"^(?:{days})\.?,? +", "")
+    body = F.regexp_replace(F.regexp_replace(body, r"(?<=\d)(?:st|nd|rd|th)\b", ""), r"\bof +", "")
+    parts = F.regexp_extract_all(body, F.lit(r"\d+|\p{L}+"), F.lit(0))
+    one, two, three = (F.get(parts, i) for i in range(3))
+    shape = F.regexp_replace(F.regexp_replace(body, r"\p{L}+", "a"), r"\d+", "9")
+    numbers = {n: i for i, m in enumerate(MONTH_NAMES, 1) for n in (m, m[:3])} | {"sept": 9}
+    months = F.str_to_map(F.lit(",".join(f"{n}:{i}" for n, i in numbers.items())))
+    short = lambda x: F.length(x) <= 2
+
+    def date(year: Column, month: Column, day: Column) -> Column:
+        return F.when(short(month) & short(day), _as_date(_full_year(year), month, day))
+
+    day_first, month_first = date(three, two, one), date(three, one, two)
+    named, month = F.try_element_at(months, two), F.try_element_at(months, one)
+    parsed = (
+        F.when(shape.rlike(r"^9([-/. ])9\1 ?9$"), F.when(F.length(one) == 4, date(one, two, three))
+               .when(F.contains(shape, F.lit("-")), F.coalesce(day_first, month_first)).otherwise(F.coalesce(month_first, day_first)))
+        .when(shape.rlike(r"^9[-/. ]+a[-/., ]+9$"), F.when(F.length(one) == 4, date(one, named, three)).otherwise(date(three, named, one)))
+        .when(shape.rlike(r"^a[-/. ]+9[-/., ]+9$"), date(three, month, two))
+        .when((shape == "9") & (F.length(one) == 8), _as_date(F.substring(one, 1, 4), F.substring(one, 5, 2), F.substring(one, 7, 2)))
     )
+    return F.when(_time_fits(text), parsed)

@@ -19,8 +19,9 @@ from sievewright.functions.dates import strict_issue
 from sievewright.functions.identity import row_hash
 from sievewright.functions.text import backticked, quoted
 from sievewright.operators.dedup import dedup_full_row, dedup_row_hash
-from sievewright.operators.keyed import HOT_KEY_SALTS, conflicting_keys, keep_listed
+from sievewright.operators.keyed import conflicting_keys, hot_keys, keep_listed
 from sievewright.operators.schema import align, normalize_headers
+from sievewright.storage import Workspace, is_small
 
 
 @dataclass(frozen=True)
@@ -67,14 +68,15 @@ def region_conflicts(df: DataFrame, profile: Profile, stamp: Stamp, conflicts: D
     """Rows of customers seen with more than one region; header names are lower-cased.
 
     Only the given rows are compared (in a stream: one micro-batch). Rows without a customer name never
-    conflict.
+    conflict, and stay out of the join.
     """
     rows = align_lower(df, profile.contract)
     customer, region = profile.customer_column.lower(), profile.region_column.lower()
     if conflicts is None:
         conflicts = conflicting_keys(rows, customer, region)
     names = rows.columns
-    hit = keep_listed(rows, conflicts, customer, conflicts.columns[0], HOT_KEY_SALTS)
+    named = rows.where(quoted(customer).isNotNull())
+    hit = keep_listed(named, conflicts, customer, conflicts.columns[0], hot=hot_keys(named, customer))
     return dedup_row_hash(hit.select(
         F.lit("Conflicting Region for Customer").alias("issue"), stamp.source(), stamp.logged(),
         _hash(names), *_business(names),
@@ -268,6 +270,65 @@ def typos(df: DataFrame, profile: Profile, stamp: Stamp, max_distance: int = 2)
     return dedup_full_row(found)
 
 
+#: Characters at the start of a text whose deletions are indexed.
+TYPO_PREFIX = 14
+
+
+def deletions(text: Column, count: int = 2, prefix: int = TYPO_PREFIX) -> Column:
+    """The beginning of a text with up to ``count`` characters left out, in every way.
+
+    Two texts at most ``count`` edits apart have one of these in common: leave out what differs. Of the text
+    that was cut off, as many characters are left out as the alignment is shifted by, which is part of that count.
+    """
+    start = F.substring(text, 1, prefix)
+    found = last = F.array(start)
+    for _ in range(count):
+        last = F.array_distinct(F.flatten(F.transform(last, lambda t: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))),
+            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))))))
+        found = F.array_union(found, last)
+    return found
+
+
+def near_words(texts: DataFrame, words: DataFrame, max_distance: int = 2) -> DataFrame:
+    """``column_name, text, value``: pairs of different texts at most ``max_distance`` edits apart, in lower case.
+
+    Joined on deletions instead of comparing every text with every word; the distance is computed for candidates only. ``texts`` has
+    ``column_name, text`` in lower case, ``words`` ``column_name, value``.
+    """
+    indexed = words.withColumn("word", F.lower("value")).withColumn("variant", F.explode(deletions(F.col("word"), max_distance)))
+    asked = texts.withColumn("variant", F.explode(deletions(F.col("text"), max_distance)))
+    candidates = asked.join(indexed, ["column_name", "variant"]).where(
+        (F.abs(F.length("text") - F.length("word")) <= max_distance) & (F.col("text") != F.col("word")))
+    pairs = candidates.select("column_name", "text", "word", "value").distinct()
+    return pairs.where(F.levenshtein("text", "word", max_distance).between(0, max_distance)).select("column_name", "text", "value")
+
+
+def typos_by_table(df: DataFrame, dictionary: DataFrame, stamp: Stamp, workspace: Workspace, max_distance: int = 2,
+                   flag_valid: bool = False) -> DataFrame:
+    """As :func:`typos`, with the dictionary as a table ``column_name, value`` of any size.
+
+    Every different text is looked up once, however many rows have it; the rows then meet the suggestions, which are broadcast if they
+    are few. Columns that ``df`` lacks are ignored, and so are NULLs on either side. ``df`` is read twice.
+    """
+    names = df.columns
+    words = workspace.hold(dictionary.select("column_name", "value").where("value IS NOT NULL").distinct(), "words")
+    listed = sorted({r["column_name"] for r in words.select("column_name").distinct().collect()} & set(names))
+    none = F.array().cast("array<struct<column_name:string,text:string>>")
+    cells = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lower(quoted(n)).alias("text")) for n in listed]) if listed else none
+    texts = df.select(F.inline(cells)).where("text IS NOT NULL").distinct()
+    if not flag_valid:
+        texts = texts.join(words.select("column_name", F.lower("value").alias("text")), ["column_name", "text"], "left_anti")
+    near = near_words(texts, words, max_distance).groupBy("column_name", "text").agg(F.sort_array(F.collect_set("value")).alias("values"))
+    near = workspace.hold(near, "near")
+    keys = F.broadcast(near) if is_small(near.select("column_name", "text", F.array_join("values", ","))) else near
+    flagged = df.withColumn("__cell", F.explode(cells))
+    found = flagged.join(keys, (F.col("__cell.column_name") == keys["column_name"]) & (F.col("__cell.text") == keys["text"])).select(
+        *_business(names), F.lit("Possible typo").alias("dirty_reason"), keys["column_name"].alias("column_flagged"),
+        F.explode("values").alias("suggested_value"), stamp.source(), stamp.logged())
+    return dedup_full_row(found)
+
+
 def with_record_hash(dirty: DataFrame) -> DataFrame:
     """Add the record hash used by the stream, over everything but the time stamp."""
     return dirty.withColumn("row_hash", row_hash([c for c in dirty.columns if c != "logged_at"]))

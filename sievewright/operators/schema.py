@@ -105,8 +105,8 @@ def _each_text_column(df: DataFrame, fn, skip=()) -> DataFrame:
     ])
 
 
-def blanks_to_null(df: DataFrame) -> DataFrame:
-    return _each_text_column(df, blank_to_null)
+def blanks_to_null(df: DataFrame, skip=()) -> DataFrame:
+    return _each_text_column(df, blank_to_null, skip)
 
 
 def clean_strings(df: DataFrame, mode: str = "words", skip=()) -> DataFrame:

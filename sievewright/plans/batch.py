@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sievewright.contracts import Profile
-from sievewright.operators.audits import audit_record, load_audit
+from sievewright.operators.audits import audit_record
 from sievewright.operators.rules import Stamp
 from sievewright.plans import financials, sales
 from sievewright.plans.sales import PipelineResult, report_of
 from sievewright.session import tune
+from sievewright.sources.commits import KeyLookup
+from sievewright.sources.files import malformed_records, split_malformed
 from sievewright.sources.sinks import JobSinks
 from sievewright.storage import Workspace
 
 
 def run_pipeline(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
-                 existing_keys: DataFrame | None = None) -> PipelineResult:
+                 existing_keys: DataFrame | KeyLookup | None = None) -> PipelineResult:
     if profile.region_column is None:
         return financials.run(df, profile, stamp, workspace, existing_keys)
     return sales.run(df, profile, stamp, workspace, existing_keys)
@@ -26,20 +28,25 @@ def run_batch(spark: SparkSession, profile: Profile, source: DataFrame, sinks: J
     """One load. Returns the row counts: what came in, records per rule, rows loaded.
 
     Safe to repeat: keys already in the target are not loaded again, and quarantine and report of the day
-    are replaced. An error is put on record as a rollback and raised again.
+    are replaced. An error is put on record as a rollback and raised again. The clean rows are written once and counted on
+    the way. Lines that the CSV readers could not read go to the quarantine.
     """
     tune(spark)
     workspace = Workspace(spark, f"{profile.name}-{run_date}")
+    into = sinks.begin(spark, run_date, profile.key)
     try:
-        keys = sinks.existing_keys(spark, profile.key)
-        result = run_pipeline(source, profile, stamp, workspace, keys)
-        records = workspace.hold(result.quarantine, "records")
-        clean = workspace.hold(result.clean, "clean")
-        counts = workspace.hold(report_of(result.judged, records, clean), "counts")
-        sinks.quarantine(records, run_date, run_date)
-        sinks.report(counts, run_date)
-        sinks.load(clean)
-        sinks.audit(load_audit(clean, username, sinks.name))
+        good, lines = split_malformed(source)
+        result = run_pipeline(good, profile, stamp, workspace, into.existing_keys(spark, profile.key))
+        found = result.quarantine if lines is None else result.quarantine.unionByName(
+            malformed_records(lines, stamp), allowMissingColumns=True)
+        records = workspace.hold(found, "records")
+        into.quarantine(records, run_date, run_date)
+        loaded = into.load(result.clean)
+        raw = result.judged if lines is None else source
+        counts = workspace.hold(report_of(raw, records, loaded), "counts")
+        into.report(counts, run_date)
+        into.publish()
+        sinks.audit(audit_record(spark, username, "INSERT", sinks.name, f"Loaded {loaded} rows"))
         return {r["stage"]: r["rows"] for r in counts.collect()}
     except Exception as error:
         sinks.audit(audit_record(spark, username, "ROLLBACK", sinks.name, str(error)))

@@ -22,7 +22,8 @@ from sievewright.operators.dedup import dedup_full_row
 from sievewright.operators.keyed import drop_listed
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import align, clean_strings, to_text
-from sievewright.plans.sales import PipelineResult
+from sievewright.plans.sales import PipelineResult, new_only
+from sievewright.sources.commits import KeyLookup
 from sievewright.storage import Workspace
 
 RULES = (
@@ -128,12 +129,14 @@ def quarantine_of(judged: DataFrame, dirty: DataFrame, profile: Profile, stamp:
 
 
 def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
-        existing_keys: DataFrame | None = None) -> PipelineResult:
+        existing_keys: DataFrame | KeyLookup | None = None) -> PipelineResult:
     """``existing_keys`` are keys already loaded; their rows are not loaded again."""
     judged = workspace.hold(
         settle_dates(prepare(df, profile), profile).withColumn("rule", leaves_at(profile)), "judged")
     dirty = workspace.hold(judged.where(F.col("rule").isNotNull()), "dirty")
     clean = clean_rows(judged, profile)
-    if existing_keys is not None:
+    if isinstance(existing_keys, KeyLookup):
+        clean = new_only(clean, existing_keys, profile, workspace)
+    elif existing_keys is not None:
         clean = drop_listed(clean, existing_keys, profile.key)
     return PipelineResult(clean, quarantine_of(judged, dirty, profile, stamp), judged)

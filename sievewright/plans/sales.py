@@ -6,13 +6,14 @@ projection (:func:`judge`), so the order is a matter of which boolean comes firs
     region -> customer conflict -> types (by id) -> nulls -> non-positive -> characters (by id)
            -> one row per id -> ids not loaded yet
 
-Shuffles of whole rows: the customer flag (none when the measured conflict set is small enough to broadcast)
-and the id aggregate of :func:`settle`, whose partitioning the final anti join reuses.
+Shuffles of whole rows, each avoided where the keys it is for are measured as few enough to broadcast: the customer flag, the id
+aggregate of :func:`settle`, the anti join with the ids the target holds.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +23,11 @@ from sievewright.functions import checks
 from sievewright.functions.identity import row_hash
 from sievewright.functions.text import quoted
 from sievewright.operators import rules
-from sievewright.operators.dedup import one_per_key
-from sievewright.operators.keyed import HOT_KEY_SALTS, conflicting_keys, drop_listed, flag_listed, keep_listed
+from sievewright.operators.dedup import hash_rank, one_per_key
+from sievewright.operators.keyed import conflicting_keys, drop_listed, flag_listed, hot_keys, keep_listed, seen_values
 from sievewright.operators.rules import Stamp
 from sievewright.operators.schema import align, clean_for
+from sievewright.sources.commits import KeyLookup
 from sievewright.storage import Workspace, is_small
 
 TYPED = "typed_"
@@ -44,11 +46,13 @@ ISSUES = {
 
 @dataclass(frozen=True)
 class PipelineResult:
-    """Lazy frames: rows to load, quarantined rows of all rules, the judged input, row counts."""
+    """Lazy frames: rows to load, quarantined rows of all rules, the judged input, row counts; if asked for, the regions that each
+    customer of the input appears with."""
 
     clean: DataFrame
     quarantine: DataFrame
     judged: DataFrame
+    seen: DataFrame | None = None
 
     @property
     def report(self) -> DataFrame:
@@ -105,11 +109,12 @@ def conflicting_customers(cleaned: DataFrame, profile: Profile) -> DataFrame:
     return conflicting_keys(cleaned, profile.customer_column, profile.region_column, profile.regions)
 
 
-def flag_conflicts(judged: DataFrame, profile: Profile, customers: DataFrame, small: bool = False) -> DataFrame:
-    """Mark the rows of the customers; a set too large to broadcast is joined with salted keys, because one
-    customer, or the rows without a customer, may be a large share of the table."""
+def flag_conflicts(judged: DataFrame, profile: Profile, customers: DataFrame, small: bool = False,
+                   hot: dict[object, int] | None = None) -> DataFrame:
+    """Mark the rows of the customers; in a join with a set too large to broadcast, the ``hot`` customers and the rows without a
+    customer are split, because either may be a large share of the table."""
     keys = F.broadcast(customers) if small else customers
-    return flag_listed(judged, keys, profile.customer_column, "is_" + CONFLICT, 1 if small else HOT_KEY_SALTS)
+    return flag_listed(judged, keys, profile.customer_column, "is_" + CONFLICT, hot=None if small else hot or {})
 
 
 def _reached_types() -> Column:
@@ -120,9 +125,12 @@ def _survives_rows() -> Column:
     return ~F.col("is_" + TYPE) & ~F.col("is_" + NULL) & ~F.col("is_" + NONPOSITIVE)
 
 
-def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False) -> DataFrame:
+def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False, workspace: Workspace | None = None) -> DataFrame:
     """From flagged rows to one clean row per id.
 
+    Given a workspace, and as long as every id is written in one way, the ids that are rejected or repeated are found first, by an
+    aggregate of a few numbers per id. If these are few enough to broadcast, the rows are neither shuffled nor sorted. Otherwise:
+
     Rejection by id and the choice of the surviving row are the same aggregate: per id, is any row
     type-dirty, is any row that got that far char-dirty, and which row has the smallest hash. Tasks
     reduce their own rows first, so a hot id costs one row per task, and no join is needed.
@@ -138,14 +146,18 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
     useful = alive | F.col("is_" + TYPE) if by_id else alive
     number = typed(profile, id_column)
     others = [n for n in profile.columns if n != id_column]
-    hashed = F.when(alive, F.struct(
-        row_hash_of_typed(profile).alias("hash"), *[typed(profile, n).alias(n) for n in others]))
-    rows = flagged.where(_reached_types() & useful & quoted(id_column).isNotNull()).select(
-        quoted(id_column).alias("id_text"), number.alias("id"),
+    reached = flagged.where(_reached_types() & useful & quoted(id_column).isNotNull())
+    state = [
+        quoted(id_column).alias("id_text"), number.alias("id"), alive.alias("alive"),
         (F.col("is_" + TYPE) if by_id else F.lit(False)).alias("bad_type"),
         (alive & F.col("is_" + CHARS) if by_id and profile.reject_chars else F.lit(False)).alias("bad_chars"),
-        hashed.alias("best"),
-    )
+    ]
+    whole = F.struct(row_hash_of_typed(profile).alias("hash"), *[typed(profile, n).alias(n) for n in others])
+    if workspace is not None and (one_text_per_id or not by_id):
+        listed = workspace.hold(_ids_to_look_at(reached.select(*state, row_hash_of_typed(profile).alias("hash"))), "listed")
+        if is_small(listed):
+            return _settle_listed(reached.where(alive & number.isNotNull()).select(number.alias("id"), whole.alias("best")), listed, profile)
+    rows = reached.select(*state[:2], *state[3:], F.when(alive, whole).alias("best"))
 
     def reduce_by(frame: DataFrame, *keys: str) -> DataFrame:
         return frame.groupBy(*keys).agg(
@@ -158,8 +170,33 @@ def settle(flagged: DataFrame, profile: Profile, one_text_per_id: bool = False)
     else:
         settled = reduce_by(rows.where(F.col("id").isNotNull()), "id")
         settled = settled.where(~F.col("bad_type") & F.col("best").isNotNull())
-    return settled.where(~F.col("bad_chars")).select(
-        *[F.col("id" if n == id_column else f"best.{n}").alias(n) for n in profile.columns])
+    return _business_columns(settled.where(~F.col("bad_chars")), profile)
+
+
+def _business_columns(settled: DataFrame, profile: Profile) -> DataFrame:
+    return settled.select(*[F.col("id" if n == profile.key else f"best.{n}").alias(n) for n in profile.columns])
+
+
+def _ids_to_look_at(state: DataFrame) -> DataFrame:
+    """The ids that are rejected or have several surviving rows, with the smallest rank of these: a hash aggregate of numbers, far
+    narrower than the rows."""
+    alive_rank = F.when(F.col("alive"), hash_rank(F.col("hash")))
+    numbers = state.where("id IS NOT NULL").groupBy("id").agg(
+        F.bool_or(F.col("bad_type") | F.col("bad_chars")).alias("bad"), F.count(alive_rank).alias("n"), F.min(alive_rank).alias("least"))
+    return numbers.where("bad OR n > 1").select(F.col("id").alias("listed_id"), "bad", "least")
+
+
+def _settle_listed(rows: DataFrame, listed: DataFrame, profile: Profile) -> DataFrame:
+    """The surviving rows: all whose id is not listed, and of the others the smallest per id that is not rejected.
+
+    The rows pass by the broadcast ids without a shuffle. Copies collapse before the few rows of repeated ids are compared as a whole.
+    """
+    joined = rows.join(F.broadcast(listed), F.col("id") == F.col("listed_id"), "left")
+    alone = joined.where(F.col("listed_id").isNull()).select("id", "best")
+    repeated = joined.where(~F.col("bad") & (hash_rank(F.col("best.hash")) == F.col("least"))).select("id", "best.*").dropDuplicates()
+    names = [c for c in repeated.columns if c != "id"]
+    first = repeated.groupBy("id").agg(F.min(F.struct(*[quoted(c) for c in names])).alias("best"))
+    return _business_columns(alone.unionByName(first), profile)
 
 
 def row_hash_of_typed(profile: Profile) -> Column:
@@ -167,10 +204,12 @@ def row_hash_of_typed(profile: Profile) -> Column:
     return row_hash([n if n in text else typed_name(n) for n in profile.columns])
 
 
-def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile,
+def new_only(clean: DataFrame, existing_keys: DataFrame | KeyLookup | None, profile: Profile,
              workspace: Workspace | None = None) -> DataFrame:
     """Drop ids the target already holds.
 
+    A target that can be asked by key (``KeyLookup``) is asked for the ids of the load, and reads only files that may hold one.
+
     The target may hold far more keys than one load brings rows. Given a workspace, a load small enough to
     broadcast its ids first picks those keys out of the target's, without a shuffle of either. Otherwise the
     keys are shuffled to the rows, which :func:`settle` has already partitioned by id.
@@ -178,6 +217,13 @@ def new_only(clean: DataFrame, existing_keys: DataFrame | None, profile: Profile
     if existing_keys is None:
         return clean
     id_column = profile.key
+    if isinstance(existing_keys, KeyLookup):
+        if workspace is None:
+            raise ValueError("a lookup by key reads the ids of the load several times and needs a workspace to hold them")
+        clean = workspace.hold(clean, "settled")
+        ids = clean.select(quoted(id_column))
+        held_already = existing_keys.matching(ids)
+        return drop_listed(clean, F.broadcast(held_already) if is_small(ids) else held_already, id_column)
     key = existing_keys.columns[0]
     if workspace is not None:
         clean = workspace.hold(clean, "settled")
@@ -297,9 +343,11 @@ def quarantine_of(flagged: DataFrame, dirty: DataFrame, profile: Profile, stamp:
     return records.unionByName(typo_records(flagged, dirty, profile, stamp))
 
 
-def report_of(raw: DataFrame, quarantine: DataFrame, clean: DataFrame) -> DataFrame:
-    """Row counts: what came in, records per rule, rows to load."""
-    def total(df: DataFrame, label: str) -> DataFrame:
+def report_of(raw: DataFrame, quarantine: DataFrame, clean: DataFrame | int) -> DataFrame:
+    """Row counts: what came in, records per rule, rows to load. ``clean`` may be a number that is known already."""
+    def total(df: DataFrame | int, label: str) -> DataFrame:
+        if isinstance(df, int):
+            return raw.sparkSession.createDataFrame([(label, df)], "stage string, rows bigint")
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(label).alias("stage"), "rows")
 
     per_rule = quarantine.groupBy(F.col("rule").alias("stage")).agg(F.count(F.lit(1)).alias("rows"))
@@ -313,18 +361,39 @@ def ids_written_one_way(flagged: DataFrame, profile: Profile) -> bool:
     return not flagged.agg(F.bool_or(differs).alias("differs")).first()["differs"]
 
 
+class SeenBefore(Protocol):
+    """The regions that earlier inputs had for customers, as :func:`seen_values` has them."""
+
+    def of(self, customers: DataFrame) -> DataFrame: ...
+
+
+def conflicts_with_earlier(cleaned: DataFrame, profile: Profile, earlier: SeenBefore, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The customers of this input that have several regions in it and all earlier ones together, and what it adds."""
+    name = profile.customer_column
+    own = workspace.hold(seen_values(cleaned, name, profile.region_column, profile.regions).where("seen <> 0"), "seen")
+    together = own.unionByName(earlier.of(own.select(quoted(name)))).groupBy(quoted(name)).agg(F.bit_or("seen").alias("seen"))
+    return together.where(F.bit_count("seen") > 1).select(quoted(name)), own
+
+
 def run(df: DataFrame, profile: Profile, stamp: Stamp, workspace: Workspace,
-        existing_keys: DataFrame | None = None) -> PipelineResult:
+        existing_keys: DataFrame | KeyLookup | None = None, earlier: SeenBefore | None = None) -> PipelineResult:
     """The whole pipeline over ``df``.
 
     Held in the workspace: the customers in conflict, the flagged rows, and the flagged rows some rule
     reports. The three results are lazy reads of those; decisions that depend on the data (broadcast or
-    shuffle, one id aggregate or two) are taken on measured sizes.
+    shuffle, one id aggregate or two) are taken on measured sizes. With ``earlier`` a customer is in conflict also by what
+    earlier inputs had; their rows that are loaded already stay.
     """
-    customers = workspace.hold(conflicting_customers(clean_for(df, profile), profile), "conflicts")
-    flagged = workspace.hold(
-        flag_conflicts(judge(df, profile), profile, customers, is_small(customers)), "flagged")
+    seen = None
+    if earlier is None:
+        found = conflicting_customers(clean_for(df, profile), profile)
+    else:
+        found, seen = conflicts_with_earlier(clean_for(df, profile), profile, earlier, workspace)
+    customers = workspace.hold(found, "conflicts")
+    small = is_small(customers)
+    hot = None if small else hot_keys(clean_for(df, profile), profile.customer_column)
+    flagged = workspace.hold(flag_conflicts(judge(df, profile), profile, customers, small, hot), "flagged")
     dirty = workspace.hold(flagged.where(any_flag()), "dirty")
     one_way = profile.reject_by == "row" or ids_written_one_way(flagged, profile)
-    clean = new_only(settle(flagged, profile, one_way), existing_keys, profile, workspace)
-    return PipelineResult(clean, quarantine_of(flagged, dirty, profile, stamp), flagged)
+    clean = new_only(settle(flagged, profile, one_way, workspace), existing_keys, profile, workspace)
+    return PipelineResult(clean, quarantine_of(flagged, dirty, profile, stamp), flagged, seen)

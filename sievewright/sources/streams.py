@@ -12,9 +12,15 @@ from sievewright.operators.schema import to_text
 CORRUPT = "_corrupt_record"
 
 
+#: What one micro-batch takes at most unless told otherwise: a backlog then arrives in batches of a size that is known, each
+#: with a commit of its own, instead of in one.
+MAX_OFFSETS = 1_000_000
+MAX_FILES = 1_000
+
+
 def kafka_read_options(servers: str, topic: str, starting: str = "earliest",
-                       max_offsets: int | None = None) -> dict[str, str]:
-    """``max_offsets`` caps the records of one micro-batch, which is how this engine limits its rate."""
+                       max_offsets: int | None = MAX_OFFSETS) -> dict[str, str]:
+    """``max_offsets`` caps the records of one micro-batch, which is how this engine limits its rate. None: no cap."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -25,8 +31,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return spark.readStream.format("kafka").options(**kafka_read_options(servers, topic, **options)).load()
 
 
-def json_lines_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """One text record per line in a ``value`` column, the same shape Kafka gives."""
+def json_lines_stream(spark: SparkSession, folder: str, max_files: int | None = MAX_FILES) -> DataFrame:
+    """One text record per line in a ``value`` column, the same shape Kafka gives. ``max_files`` caps a micro-batch."""
     reader = spark.readStream.format("text")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

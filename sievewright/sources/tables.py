@@ -122,6 +122,13 @@ class JdbcTarget:
     def read(self, spark: SparkSession, table: str, **split) -> DataFrame:
         return spark.read.format("jdbc").options(**self.read_options(table, **split)).load()
 
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        """Can the table be read? Anything else that is wrong with the database shows when it is written."""
+        try:
+            return bool(self.read(spark, table).columns)
+        except Exception:
+            return False
+
     def read_keys(self, spark: SparkSession, table: str, key: str, **split) -> DataFrame:
         """Only the key column travels: the scan prunes the others in the database."""
         return self.read(spark, table, **split).select(key)

@@ -125,21 +125,34 @@ def start_detectors(stream: DataFrame, quarantine: str, profile: Profile, stamp:
     return job.start(stream, body)
 
 
-def start_pipeline(stream: DataFrame, sinks: JobSinks, profile: Profile, stamp: Stamp, job: Job) -> StreamingQuery:
-    """The full pipeline per micro-batch: keys already loaded are skipped, so replays add nothing."""
+def start_pipeline(stream: DataFrame, sinks: JobSinks, profile: Profile, stamp: Stamp, job: Job,
+                   remember_customers: bool = False) -> StreamingQuery:
+    """The full pipeline per micro-batch: keys already loaded are skipped, so replays add nothing. A micro-batch whose run has been
+    published is left alone.
+
+    With ``remember_customers`` the regions of every customer are kept beside the target and published with it, so a customer whose
+    region changes in a later micro-batch is in conflict there. Rows loaded before stay.
+    """
     key = profile.key
 
     def body(batch: DataFrame, run: str) -> None:
         spark = batch.sparkSession
+        if sinks.done(spark, run):
+            return
+        into = sinks.begin(spark, run, key)
         workspace = Workspace(spark, job.name, mode="memory")
         try:
             good, bad = split_corrupt(workspace.hold(batch, "batch"))
-            result = sales.run(good, profile, stamp, workspace, sinks.existing_keys(spark, key))
+            earlier = into.earlier(spark, profile.customer_column) if remember_customers else None
+            result = sales.run(good, profile, stamp, workspace, into.existing_keys(spark, key), earlier)
             records = result.quarantine.unionByName(
                 bad.select(F.lit(CORRUPT_RULE).alias("rule"), F.col("payload").alias("bad_value")),
                 allowMissingColumns=True)
-            sinks.quarantine(workspace.hold(records, "records"), run, f"{stamp.run_ts:%Y-%m-%d}")
-            sinks.load(result.clean)
+            into.quarantine(workspace.hold(records, "records"), run, f"{stamp.run_ts:%Y-%m-%d}")
+            into.load(result.clean)
+            if result.seen is not None:
+                into.remember(result.seen, profile.customer_column)
+            into.publish()
             event = audits.audit_event(spark, "INSERT", sinks.name, "ETL_SUCCESS", stamp.source_file, stamp.run_ts)
         except Exception as error:
             event = audits.audit_event(spark, "ROLLBACK", sinks.name, str(error), stamp.source_file, stamp.run_ts)

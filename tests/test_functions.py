@@ -172,3 +172,25 @@ def test_row_hash_null_handling(spark):
     plain = column(df.select(identity.row_hash(df.columns)).collect())
     safe = column(df.select(identity.row_hash(df.columns, null_safe=True)).collect())
     assert plain[0] == plain[1] and safe[0] != safe[1]
+
+
+def test_dates_in_any_usual_notation(texts):
+    from datetime import date
+
+    from sievewright.functions.dates import parse_permissive
+
+    day = date(2024, 3, 5)
+    expected = {
+        "2024-03-05": day, "2024/3/5": day, "2024.03.05": day, "20240305": day, "2024 3 5": day, "3/5/2024": day, "05-03-2024": day, "3.5.2024": day,
+        "13/3/2024": date(2024, 3, 13), "3-13-2024": date(2024, 3, 13), "13.3.2024": date(2024, 3, 13), "03/05/24": day, "5-3-69": date(1969, 3, 5),
+        "5-3-68": date(2068, 3, 5), "5 March 2024": day, "5. MARCH 2024": day, "March 5, 2024": day, "mar 5 2024": day, "5-Mar-24": day, "Mar-05-2024": day,
+        "2024-mar-05": day, "2024 March 5": day, "Tue, 5 Mar 2024": day, "Tuesday, March 5th, 2024": day, "Thurs. 5 sept 2024": date(2024, 9, 5),
+        "the 5th of March 2024": None, "5th of March 2024": day, "1st may 2024": date(2024, 5, 1), "2nd Aug 2024": date(2024, 8, 2),
+        "2024-03-05 10:20": day, "2024-03-05T10:20:30Z": day, "2024-03-05 10:20:30.123+02:00": day, "3/5/2024 11:05 PM": day, "5 Mar 2024, 9:00 am": day,
+        "2024-03-05 24:00": None, "2024-03-05 10:60": None, "3/5/2024 13:05 PM": None, "2024-02-30": None, "29 February 2023": None,
+        "29 Feb 2024": date(2024, 2, 29), "31/31/2024": None, "0/5/2024": None, "2024-13-05": None, "March 2024": None, "2024": None, "5 March": None, "5/3": None,
+        "5/3-2024": None, "5 Foo 2024": None, "marchy 5 2024": None, "5 March 024": None, "123 March 2024": None, "202403": None, "20241345": None, "": None, "  ": None,
+        "next week": None, "1/2/3/4": None, "5 March 2024 x": None, "5 March 20245": None, None: None, "  2024-03-05  ": day,
+    }
+    got = texts(list(expected), "c", parse_permissive(F.col("c")))
+    assert {c: d for c, d in got} == expected

@@ -1,6 +1,9 @@
+import random
+import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievewright.contracts import (
     DIRTY_METADATA,
@@ -11,8 +14,10 @@ from sievewright.contracts import (
     all_text,
     contract_from_names,
 )
+from sievewright.functions.identity import row_hash
 from sievewright.operators import dedup, keyed, rules, schema
 from sievewright.operators.rules import Stamp
+from sievewright.storage import Workspace
 
 STAMP = Stamp(datetime(2024, 1, 1), "file.csv")
 GOOD = ("1", "Ann Lee", "West", "2024-01-05", "Bolt", "2", "5", "10", "Cash")
@@ -191,3 +196,92 @@ def test_row_rules_conserve_rows(spark):
     kept, removed = df.where(~bad), df.where(bad)
     assert sorted(map(tuple, kept.union(removed).collect())) == sorted(map(tuple, df.collect()))
     assert removed.count() == 2
+
+
+def first_steps(df, *columns):
+    """Names of the operators between a scan of these columns and the first shuffle, on every path of the plan."""
+    scan = r"FileScan parquet \[" + ",".join(rf"{c}#\d+" for c in columns) + r"\]"
+    names, path = set(), []
+    for line in df._jdf.queryExecution().sparkPlan().toString().splitlines():
+        text = line.lstrip(" :+-")
+        depth, name = len(line) - len(text), text.split(" ")[0].split("(")[0]
+        path = [(d, n) for d, n in path if d < depth] + [(depth, name)]
+        if re.search(scan, line):
+            steps = [n for _, n in path]
+            names |= set(steps[max((i for i, n in enumerate(steps) if "Exchange" in n), default=0):])
+    return names
+
+
+def test_dedup_in_two_phases(spark):
+    ws = Workspace(spark, "t")
+    rng = random.Random(3)
+    rows = [(str(rng.randint(1, 300)) if rng.random() < 0.97 else None, rng.choice("abc"), rng.choice([1, 2, None])) for _ in range(600)]
+    rows += [("hot", "a", 1)] * 300 + [("hot", "b", k) for k in range(30)]
+    df = ws.hold(spark.createDataFrame(rows, "k string, a string, n int"), "rows")
+    plain = sorted(dedup.dedup_primary_key(df, "k").collect(), key=repr)
+    phased = dedup.dedup_primary_key(df, "k", workspace=Workspace(spark, "t"))
+    assert sorted(phased.collect(), key=repr) == plain and len(plain) > 200
+    assert "SortAggregate" in first_steps(dedup.dedup_primary_key(df, "k"), "k", "a", "n")
+    assert "FileScan" in first_steps(phased, "k", "a", "n") and not {"Sort", "SortAggregate"} & first_steps(phased, "k", "a", "n")
+    hashed = ws.hold(df.select("*", row_hash(["a", "n"]).alias("row_hash")), "hashed")
+    assert sorted(dedup.dedup_row_hash(hashed, Workspace(spark, "t")).collect(), key=repr) == sorted(dedup.dedup_row_hash(hashed).collect(), key=repr)
+
+
+def test_two_phases_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "is_small", lambda keys: False)
+    df = Workspace(spark, "t").hold(spark.createDataFrame([("k", "b"), ("k", "a"), (None, "z"), (None, "y")], "k string, a string"), "rows")
+    got = dedup.dedup_primary_key(df, "k", workspace=Workspace(spark, "t")).collect()
+    assert sorted(got, key=repr) == sorted(dedup.dedup_primary_key(df, "k").collect(), key=repr)
+
+
+def test_hot_keys_are_measured(spark):
+    rows = [("hot",)] * 500 + [("warm",)] * 200 + [(f"k{i}",) for i in range(300)] + [(None,)] * 900
+    df = spark.createDataFrame(rows, "k string")
+    found = keyed.hot_keys(df, "k")
+    assert found["hot"] >= 4 and found["warm"] >= 2 and not {k for k in found if k not in ("hot", "warm")}
+    assert keyed.hot_keys(df.where("k IS NULL"), "k") == {} == keyed.hot_keys(df.where("k LIKE 'k%'"), "k")
+
+
+def test_exact_copies_of_a_hot_key_spread(spark):
+    """A third of the rows are copies of one row, another third have no key: no task gets much more than its share."""
+    n = 3000
+    df = spark.range(3 * n, numPartitions=6).select(
+        F.when(F.col("id") < n, "hot").when(F.col("id") < 2 * n, None).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), F.lit(1).alias("v"))
+    keys = spark.createDataFrame([("hot",), ("k8000",)], "k string").hint("merge")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        for join, expected in ((keyed.flag_listed(df, keys, "k", "hit", hot=keyed.hot_keys(df, "k")), 3 * n),
+                               (keyed.drop_listed(df, keys, "k", hot=keyed.hot_keys(df, "k")), 2 * n - 1),
+                               (keyed.keep_listed(df, keys, "k", hot=keyed.hot_keys(df, "k")), n + 1)):
+            sizes = [r["count"] for r in join.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert sum(sizes) == expected and max(sizes) < 3 * expected / 24 + 100
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_typo_table_equals_all_pairs(spark):
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcé ") for _ in range(rng.randint(0, 22))) for _ in range(150)})
+    texts = sorted({*words[::3], *("".join(rng.choice("abcé ") for _ in range(rng.randint(0, 22))) for _ in range(100)),
+                    *(w[:k] + w[k + 1:] for w in words for k in (0, len(w) // 2, len(w))), *(w[:3] + "x" + w[3:] + "y" for w in words)})
+    df = spark.createDataFrame([(t, str(i)) for i, t in enumerate([*texts, None])], "c string, id string")
+    dictionary = spark.createDataFrame([("c", w.upper()) for w in words] + [("c", None), ("other", "x")], "column_name string, value string")
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for flag_valid in (False, True):
+        got = {(r["c"], r["suggested_value"]) for r in rules.typos_by_table(df, dictionary, STAMP, Workspace(spark, "t"), flag_valid=flag_valid).collect()}
+        known = set(words)
+        assert got == {(t, w.upper()) for t in texts if flag_valid or t.lower() not in known for w in words
+                       if t.lower() != w and abs(len(t) - len(w)) <= 2 and distance(t.lower(), w) <= 2}
+        assert got
+    assert rules.typos_by_table(df, dictionary.where("column_name = 'other'"), STAMP, Workspace(spark, "t")).count() == 0
