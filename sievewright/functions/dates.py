@@ -98,12 +98,6 @@ def _time_fits(text: Column) -> Column:
     return F.when(text.rlike(_TIME), F.coalesce(fits, F.lit(False))).otherwise(F.lit(True))
 
 
-def _full_year(year: Column) -> Column:
-    """Four digits as they are; two digits are of 1969 to 2068."""
-    short = F.concat(F.when(year.try_cast("int") >= 69, "19").otherwise("20"), year)
-    return F.when(F.length(year) == 4, year).when(F.length(year) == 2, short)
-
-
 def parse_permissive(c: Column) -> Column:
     """A date in any usual notation, in any letter case; NULL for what is none.
 
@@ -119,27 +113,36 @@ def parse_permissive(c: Column) -> Column:
     A day or a year that is missing is not made up, and a time that does not exist spoils the text.
     """
     text = F.lower(F.trim(c))
-    days = "|".join(f"{d}|{d[:3]}" for d in WEEKDAYS) + "|tues|thur|thurs"
-    body = F.regexp_replace(text, _TIME, "")
-    body = F.regexp_replace(body, rf"^(?:{days})\.?,? +", "")
-    body = F.regexp_replace(F.regexp_replace(body, r"(?<=\d)(?:st|nd|rd|th)\b", ""), r"\bof +", "")
-    parts = F.regexp_extract_all(body, F.lit(r"\d+|\p{L}+"), F.lit(0))
-    one, two, three = (F.get(parts, i) for i in range(3))
-    shape = F.regexp_replace(F.regexp_replace(body, r"\p{L}+", "a"), r"\d+", "9")
-    numbers = {n: i for i, m in enumerate(MONTH_NAMES, 1) for n in (m, m[:3])} | {"sept": 9}
-    months = F.str_to_map(F.lit(",".join(f"{n}:{i}" for n, i in numbers.items())))
-    short = lambda x: F.length(x) <= 2
-
-    def date(year: Column, month: Column, day: Column) -> Column:
-        return F.when(short(month) & short(day), _as_date(_full_year(year), month, day))
-
-    day_first, month_first = date(three, two, one), date(three, one, two)
-    named, month = F.try_element_at(months, two), F.try_element_at(months, one)
-    parsed = (
-        F.when(shape.rlike(r"^9([-/. ])9\1 ?9$"), F.when(F.length(one) == 4, date(one, two, three))
-               .when(F.contains(shape, F.lit("-")), F.coalesce(day_first, month_first)).otherwise(F.coalesce(month_first, day_first)))
-        .when(shape.rlike(r"^9[-/. ]+a[-/., ]+9$"), F.when(F.length(one) == 4, date(one, named, three)).otherwise(date(three, named, one)))
-        .when(shape.rlike(r"^a[-/. ]+9[-/., ]+9$"), date(three, month, two))
-        .when((shape == "9") & (F.length(one) == 8), _as_date(F.substring(one, 1, 4), F.substring(one, 5, 2), F.substring(one, 7, 2)))
-    )
-    return F.when(_time_fits(text), parsed)
+    for pattern, by in _REWRITE:
+        text = F.regexp_replace(text, pattern, by)
+    parsed = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
+    return F.coalesce(parse_strict(c), F.when(_time_fits(F.lower(F.trim(c))), parsed))
+
+
+_DAYS = "|".join(f"{d}|{d[:3]}" for d in WEEKDAYS) + "|tues|thur|thurs"
+_YEAR = r"(\d{4}|\d{2})"
+_ABOVE_TWELVE = r"(1[3-9]|[2-9]\d)"
+#: Steps that turn a notation into year-month-day, each a pattern and what takes its place. One expression per step: the parts of a
+#: text are never named, so nothing is repeated, and the whole stays small enough to be compiled.
+_REWRITE = (
+    (_TIME, ""),
+    (rf"^(?:{_DAYS})\.?,? +", ""),
+    (r"(?<=\d)(?:st|nd|rd|th)\b", ""),
+    (r"\bof +", ""),
+    # The name of a month becomes its number behind a mark.
+    *((rf"\b(?:{m}|{m[:3]}{'|sept' if m == 'september' else ''})\b", f"\x01{i}") for i, m in enumerate(MONTH_NAMES, 1)),
+    ("^(\\d{4})[-/. ]+\x01(\\d+)[-/., ]+(\\d{1,2})$", "$1-$2-$3"),
+    (f"^(\\d{{1,2}})[-/. ]+\x01(\\d+)[-/., ]+{_YEAR}$", "y$3-$2-$1"),
+    (f"^\x01(\\d+)[-/. ]+(\\d{{1,2}})[-/., ]+{_YEAR}$", "y$3-$1-$2"),
+    (r"^(\d{4})([-/. ])(\d{1,2})\2 ?(\d{1,2})$", "$1-$3-$4"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    # Day first after hyphens, month first otherwise, unless that makes a month above twelve.
+    (rf"^(\d{{1,2}})- ?{_ABOVE_TWELVE}- ?{_YEAR}$", "y$3-$1-$2"),
+    (rf"^(\d{{1,2}})-(\d{{1,2}})- ?{_YEAR}$", "y$3-$2-$1"),
+    (rf"^{_ABOVE_TWELVE}([/. ])(\d{{1,2}})\2 ?{_YEAR}$", "y$4-$3-$1"),
+    (rf"^(\d{{1,2}})([/. ])(\d{{1,2}})\2 ?{_YEAR}$", "y$4-$1-$3"),
+    # A year that stood behind is marked, as it may have two digits.
+    (r"^y(\d{4})", "$1"),
+    (r"^y(69|[7-9]\d)-", "19$1-"),
+    (r"^y(\d{2})-", "20$1-"),
+)
