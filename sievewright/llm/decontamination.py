@@ -72,10 +72,11 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
     together as one in ``n_items``, and are left out of ``items_sha256``. A benchmark too large to broadcast is joined in parts.
     """
     windows = space.hold(item_windows(benchmark, size).withColumn("id", F.xxhash64("window")), "windows")
-    # Finding the words costs more than all that follows: they are written once.
-    cut = space.hold(keyed_docs.select(*KEY, words().alias("words")), "words")
-    wanted = prefixes(cut.select(F.explode("words").alias("word")), windows, space)
-    places = cut.select(*KEY, F.posexplode("words").alias("pos", "word"))
+    # Finding the words costs more than all that follows: they are written once, joined by blanks, which no word holds.
+    joined = space.hold(keyed_docs.select(*KEY, F.array_join(words(), " ").alias("joined")), "words")
+    cut = F.when(F.col("joined") != "", F.split("joined", " ")).otherwise(F.array().cast("array<string>"))
+    wanted = prefixes(joined.select(F.explode(cut).alias("word")), windows, space)
+    places = joined.select(*KEY, F.posexplode(cut).alias("pos", "word"))
     candidates = _union(
         places.join(part, "word").select(*KEY, "pos", F.explode("wants").alias("want")).where("pos >= want.at")
         .select(*KEY, (F.col("pos") - F.col("want.at")).alias("start"), "want.id", "want.len")
@@ -86,7 +87,7 @@ def judge(keyed_docs: DataFrame, benchmark: DataFrame, space: Workspace, size: i
         x -> named_struct('start', x.start, 'len', x.len, 'id', x.id, 'window', slice(words, x.start + 1, x.len))),
         x -> xxhash64(x.window) = x.id)""")
     base = space.hold(
-        cut.join(per_doc, KEY, "left")
+        joined.join(per_doc, KEY, "left").select(*KEY, cut.alias("words"), "tries")
         .select(*KEY, F.size("words").cast("bigint").alias("n_words"), there.alias("found")), "base")
     hits = _union(
         base.select(*KEY, F.explode("found").alias("x")).select(*KEY, "x.start", "x.len", F.col("x.window").alias("window"))
